@@ -16,19 +16,28 @@ from pyspark.sql import functions as F
 TWO_POW_52 = float(2**52)
 
 
-def hash_key(seed: int, round_: int | Column, *keys: Column | str) -> Column:
-    parts = [F.lit(str(int(seed))), round_ if isinstance(round_, Column) else F.lit(str(int(round_)))]
+def hash_key(seed: int, round_: int | str | Column, *keys: Column | str) -> Column:
+    """``"seed:round:key1:key2..."``; ``round_`` is a round number or a short label."""
+    parts = [F.lit(str(int(seed))), round_ if isinstance(round_, Column) else F.lit(str(round_))]
     parts += [F.col(k).cast("string") if isinstance(k, str) else k.cast("string") for k in keys]
     return F.concat_ws(":", *parts)
 
 
-def u01(seed: int, round_: int | Column, *keys: Column | str) -> Column:
+def u01(seed: int, round_: int | str | Column, *keys: Column | str) -> Column:
     """Uniform [0,1) double determined by seed, round and the key columns."""
     h = F.substring(F.md5(hash_key(seed, round_, *keys)), 1, 13)
     return F.conv(h, 16, 10).cast("bigint") / F.lit(TWO_POW_52)
 
 
-def u01_sql(seed: int, round_: int, *key_sql: str) -> str:
+def u01_sql(seed: int, round_: int | str, *key_sql: str) -> str:
     """The same number as DuckDB SQL text (used by the oracle queries)."""
-    parts = " || ':' || ".join([f"'{int(seed)}'", f"'{int(round_)}'"] + [f"CAST({k} AS VARCHAR)" for k in key_sql])
+    parts = " || ':' || ".join([f"'{int(seed)}'", f"'{round_}'"] + [f"CAST({k} AS VARCHAR)" for k in key_sql])
     return f"(CAST('0x' || substr(md5({parts}), 1, 13) AS BIGINT) / 4503599627370496.0)"
+
+
+def u01_value(seed: int, round_: int | str, *keys: object) -> float:
+    """The same number for literal keys, computed in Python (for scalar draws)."""
+    import hashlib
+
+    text = ":".join([str(int(seed)), str(round_)] + [str(k) for k in keys])
+    return int(hashlib.md5(text.encode()).hexdigest()[:13], 16) / TWO_POW_52
