@@ -38,3 +38,31 @@ def fold_key(word: Column | str) -> Column:
     would merge words that a case-insensitive comparison keeps apart.
     """
     return F.lower(_c(word))
+
+
+def sorted_folds(tokens: Column | str) -> Column:
+    """Tokens as ``struct<f: folded, p: position, w: word>`` sorted by (f, p)."""
+    return F.array_sort(
+        F.transform(_c(tokens), lambda w, i: F.struct(fold_key(w).alias("f"), i.alias("p"), w.alias("w")))
+    )
+
+
+def run_ends(sorted_col: Column | str) -> Column:
+    """0-based indexes of the last element of every run of equal ``f``."""
+    s = _c(sorted_col)
+    n = F.size(s)
+    idx = F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)))
+    return F.filter(idx, lambda i: (i < n) & ((i == n - 1) | (s[i]["f"] != s[i + 1]["f"])))
+
+
+def run_entries(sorted_col: Column | str, ends_col: Column | str) -> Column:
+    """``array<struct<fold, word, n>>`` from the sorted tokens and the run ends."""
+    s, ends = _c(sorted_col), _c(ends_col)
+    return F.transform(
+        ends,
+        lambda e, j: F.struct(
+            s[e]["f"].alias("fold"),
+            s[e]["w"].alias("word"),
+            (e - F.when(j == 0, F.lit(-1)).otherwise(ends[j - 1])).cast("bigint").alias("n"),
+        ),
+    )

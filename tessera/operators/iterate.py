@@ -2,8 +2,8 @@
 
 Greedy selections (farthest-first traversal, k-means++ seeding) are sequential
 by nature: round h needs the point chosen in round h-1.  Each round is one
-distributed aggregate over a persisted state frame that yields one chosen row
-per group; the next state is a narrow projection of the previous one.  Only
+distributed job over a persisted state frame that yields the chosen row of
+every group; the next state is a narrow projection of the previous one.  Only
 two states are cached at a time.  Every ``checkpoint_every`` rounds the state
 is written to the shared checkpoint folder, so the lineage, and the work to
 redo after a lost executor, stay short.
@@ -12,6 +12,7 @@ redo after a lost executor, stay short.
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import Any
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -21,11 +22,11 @@ from tessera.session import ensure_checkpoint_dir
 DEFAULT_CHECKPOINT_EVERY = 8
 
 
-def _hold(df: DataFrame) -> DataFrame:
+def hold(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def _drop(*dfs: DataFrame | None) -> None:
+def drop(*dfs: DataFrame | None) -> None:
     for df in dfs:
         if df is not None:
             df.unpersist()
@@ -40,32 +41,32 @@ def checkpointed(df: DataFrame) -> DataFrame:
 def greedy_rounds(
     state: DataFrame,
     rounds: range,
-    choose: Callable[[DataFrame, int], DataFrame],
-    update: Callable[[DataFrame, DataFrame, int], DataFrame],
+    choose: Callable[[DataFrame, int], Any],
+    update: Callable[[DataFrame, Any, int], DataFrame],
     checkpoint_every: int = DEFAULT_CHECKPOINT_EVERY,
-) -> DataFrame:
+) -> tuple[DataFrame, list[Any]]:
     """Run ``state = update(state, choose(state, h), h)`` for every h in ``rounds``.
 
-    ``choose`` must return a small frame (one row per group).  It is written
-    to the checkpoint folder right away (one job, which also fills the cache of
-    ``state``), so the next state's plan refers to it as a leaf: without that
-    cut, every state would contain the previous one twice and the plan would
-    double each round.  Returns the final state, persisted; the caller
-    releases it.
+    ``choose`` runs one job and returns the round's picks, either as rows
+    (one per group, small) or as a frame that it has already written to the
+    checkpoint folder (so that the next state refers to it as a leaf rather
+    than repeating the previous state's plan).  The job also fills the cache
+    of ``state``.  Returns the final state (persisted, possibly not yet
+    computed) and the list of picks; call :func:`drop` on the state when done.
     """
     every = max(1, int(checkpoint_every))
-    state = _hold(state)
-    prev_state = None
+    state = hold(state)
+    prev = None
+    picks: list[Any] = []
     for h in rounds:
-        pick = checkpointed(choose(state, h))
-        _drop(prev_state)
-        new_state = _hold(update(state, pick, h))
-        prev_state, state = state, new_state
-        if h % every == 0:
-            cut = _hold(checkpointed(state))
-            _drop(state, prev_state)
-            prev_state, state = None, cut
-    if prev_state is not None:
-        state.count()  # fill the last state's cache before its input is released
-        _drop(prev_state)
-    return state
+        pick = choose(state, h)
+        picks.append(pick)
+        drop(prev)
+        new_state = hold(update(state, pick, h))
+        prev, state = state, new_state
+        if h % every == 0 and h != rounds[-1]:
+            cut = hold(checkpointed(state))
+            drop(state, prev)
+            prev, state = None, cut
+    drop(prev)
+    return state, picks

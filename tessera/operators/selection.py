@@ -27,13 +27,15 @@ from pyspark.sql import functions as F
 from tessera.functions.rand import u01
 from tessera.functions.vectors import sqdist
 from tessera.operators import checks, vectors
-from tessera.operators.iterate import DEFAULT_CHECKPOINT_EVERY, checkpointed, greedy_rounds
+from tessera.operators.iterate import DEFAULT_CHECKPOINT_EVERY, checkpointed, drop, greedy_rounds
 from tessera.operators.sampling import mass_expr, with_block
 
-# Per-round picks (one row per block) are broadcast while blocks * dim stays under this.
-MAX_BROADCAST_PICK_VALUES = 8_000_000
+# Per-round picks (one row per block) come back to the driver while
+# blocks * dim stays under this; beyond it they stay distributed and are
+# written to the checkpoint folder instead.
+MAX_COLLECTED_PICK_VALUES = 4_000_000
 
-_RESULT_SCHEMA = "pos int, id bigint, v array<double>"
+_PICK_FIELDS = ["cid", "cv"]
 
 
 def _empty(points: DataFrame, keys: list[str]) -> DataFrame:
@@ -41,18 +43,33 @@ def _empty(points: DataFrame, keys: list[str]) -> DataFrame:
     return points.select(*cols).limit(0)
 
 
-def _attach(state: DataFrame, pick: DataFrame, keys: list[str], n_groups: int | None, dim: int | None) -> DataFrame:
-    """Give every state row its group's pick (``cid``, ``cv``).
+def _vec_lit(v) -> F.Column:
+    """An ``array<double>`` literal, built as one SQL expression (one JVM call).
+    ``repr`` of a Python float round-trips exactly."""
+    vals = ", ".join(repr(float(x)) + "D" for x in v)
+    return F.expr(f"CAST(array({vals}) AS array<double>)") if vals else F.array().cast("array<double>")
 
-    One group: the pick is a scalar value (no join).  Several groups: a join on
-    the block key, broadcast while the picks are small (one row per block), a
-    shuffled join beyond that, which is only reached when blocks are many and
-    therefore small.
+
+def _attach(state: DataFrame, pick, keys: list[str]) -> DataFrame:
+    """Give every state row its group's pick as columns ``cid``, ``cv``.
+
+    ``pick`` is a list of rows (collected, one per group) or a checkpointed
+    frame.  One group: the pick enters as literals, no join.  Several
+    groups: a join on the block key; collected picks are a local relation
+    that is broadcast (its size was checked), a checkpointed frame is joined
+    by a shuffle, which is only used when blocks are many and so small.
     """
-    if not keys:
-        return state.withColumn("cid", pick.select("cid").scalar()).withColumn("cv", pick.select("cv").scalar())
-    small = n_groups is not None and n_groups * max(1, dim or 64) <= MAX_BROADCAST_PICK_VALUES
-    return state.join(F.broadcast(pick) if small else pick, on=keys, how="left")
+    spark = state.sparkSession
+    if isinstance(pick, list):
+        if not keys:
+            row = pick[0] if pick else None
+            cid = F.lit(row["cid"] if row else None).cast("bigint")
+            cv = _vec_lit(row["cv"]) if row else F.lit(None).cast("array<double>")
+            return state.withColumn("cid", cid).withColumn("cv", cv)
+        schema = ", ".join(f"{k} int" for k in keys) + ", cid bigint, cv array<double>"
+        small = spark.createDataFrame([tuple(r[k] for k in keys) + (r["cid"], r["cv"]) for r in pick], schema)
+        return state.join(F.broadcast(small), on=keys, how="left")
+    return state.join(pick, on=keys, how="left")
 
 
 def _first_pick(points: DataFrame, keys: list[str], first_id: int | None, seed: int | None) -> DataFrame:
@@ -73,11 +90,16 @@ def _dim(points: DataFrame) -> int:
     return int(row[0]["d"]) if row else 0
 
 
+def _fetch(frame: DataFrame, collect: bool):
+    """Run a pick frame now: rows to the driver, or a checkpointed frame."""
+    return frame.collect() if collect else checkpointed(frame)
+
+
 def _traverse(
     points: DataFrame,
     k: int,
     keys: list[str],
-    n_groups: int | None,
+    n_groups: int,
     first_id: int | None,
     seed: int | None,
     choose_next,
@@ -85,11 +107,12 @@ def _traverse(
     checkpoint_every: int,
 ) -> DataFrame:
     """Shared loop of farthest-first and k-means++: returns ``keys, pos, id, v``."""
+    spark = points.sparkSession
     dim = _dim(points)
+    collect = n_groups * max(1, dim) <= MAX_COLLECTED_PICK_VALUES
     base = points.select(*keys, "id", "v", *extra_cols)
-    first = _first_pick(base, keys, first_id, seed)
-    first = checkpointed(first)
-    s0 = _attach(base, first, keys, n_groups, dim)
+    first = _fetch(_first_pick(base, keys, first_id, seed), collect)
+    s0 = _attach(base, first, keys)
     state = s0.select(
         *keys,
         "id",
@@ -99,26 +122,43 @@ def _traverse(
         F.when(F.col("id") == F.col("cid"), F.lit(0)).alias("pos"),
     )
 
-    def update(st: DataFrame, pick: DataFrame, h: int) -> DataFrame:
-        s = _attach(st, pick, keys, n_groups, dim)
+    def choose(st: DataFrame, h: int):
+        return choose_next(st, h, collect)
+
+    def update(st: DataFrame, pick, h: int) -> DataFrame:
+        s = _attach(st, pick, keys)
         open_ = F.col("pos").isNull()
-        last_round = h == k - 1
-        m = F.col("m") if last_round else F.when(open_ & F.col("cid").isNotNull(), F.least("m", sqdist("v", "cv"))).otherwise(F.col("m"))
+        if h == k - 1:
+            m = F.col("m")
+        else:
+            m = F.when(open_ & F.col("cid").isNotNull(), F.least("m", sqdist("v", "cv"))).otherwise(F.col("m"))
         pos = F.when(open_ & (F.col("id") == F.col("cid")), F.lit(h)).otherwise(F.col("pos"))
         return s.select(*keys, "id", "v", *extra_cols, m.alias("m"), pos.alias("pos"))
 
-    final = greedy_rounds(state, range(1, k), choose_next, update, checkpoint_every)
+    if collect:
+        # Every pick is already on the driver: the result is built from them
+        # and the last state is never computed.
+        final, picks = greedy_rounds(state, range(1, k), choose, update, checkpoint_every)
+        rows = [tuple(r[c] for c in keys) + (pos, r["cid"], r["cv"]) for pos, rs in enumerate([first, *picks]) for r in rs]
+        drop(final)
+        schema = "".join(f"{c} int, " for c in keys) + "pos int, id bigint, v array<double>"
+        return spark.createDataFrame(rows, schema)
+    final, _ = greedy_rounds(state, range(1, k), choose, update, checkpoint_every)
     result = checkpointed(final.where(F.col("pos").isNotNull()).select(*keys, "pos", "id", "v"))
-    final.unpersist()
+    drop(final)
     return result
 
 
 def _farthest_choice(keys: list[str]):
-    def choose(state: DataFrame, h: int) -> DataFrame:
+    def choose(state: DataFrame, h: int, collect: bool):
         cand = state.where(F.col("pos").isNull())
+        if not keys and collect:
+            # One group: a top-1 that every task computes for its own rows.
+            top = cand.orderBy(F.col("m").desc(), F.col("id").asc()).limit(1)
+            return top.select(F.col("id").alias("cid"), F.col("v").alias("cv")).collect()
         best = F.max_by(F.struct("id", "v"), F.struct(F.col("m"), -F.col("id")))
         agg = cand.groupBy(*keys).agg(best.alias("c"))
-        return agg.select(*keys, F.col("c.id").alias("cid"), F.col("c.v").alias("cv"))
+        return _fetch(agg.select(*keys, F.col("c.id").alias("cid"), F.col("c.v").alias("cv")), collect)
 
     return choose
 
@@ -140,7 +180,7 @@ def kcenter(
     if k == 0:
         return _empty(points, [])
     checks.check_k_le_n(k, points.count())
-    return _traverse(points, k, [], 1, first_id, seed, _farthest_choice([]), [], checkpoint_every)
+    return _traverse(points.select("id", "v"), k, [], 1, first_id, seed, _farthest_choice([]), [], checkpoint_every)
 
 
 def kcenter_blocks(
@@ -169,7 +209,7 @@ def kcenter_blocks(
     ).collect()[0]
     if on_small_block == "error" and sizes["smallest"] is not None and sizes["smallest"] < k:
         raise ValueError(f"a block has {sizes['smallest']} points, fewer than k = {k}")
-    out = _traverse(pts, k, ["block"], sizes["blocks"], None, seed, _farthest_choice(["block"]), [], checkpoint_every)
+    out = _traverse(pts, k, ["block"], sizes["blocks"] or 0, None, seed, _farthest_choice(["block"]), [], checkpoint_every)
     return out.withColumnRenamed("block", block_col) if block_col != "block" else out
 
 
@@ -198,16 +238,13 @@ def kmeanspp(
     checks.check_k_le_n(k, points.count())
     pts = points.select("id", "v", (F.col(weight_col).cast("double") if weight_col else F.lit(1.0)).alias("w"))
 
-    def choose(state: DataFrame, h: int) -> DataFrame:
+    def choose(state: DataFrame, h: int, collect: bool):
         cand = state.where(F.col("pos").isNull())
         mass = mass_expr(F.col("m"), F.col("w"), exponent)
-        race = -F.log(F.lit(1.0) - u01(seed, h, "id")) / mass
-        agg = cand.agg(
-            F.min_by(F.struct("id", "v"), F.when(mass > 0, F.struct(race.alias("r"), F.col("id")))).alias("c_race"),
-            F.min_by(F.struct("id", "v"), F.col("id")).alias("c_any"),
-        )
-        c = F.coalesce(F.col("c_race"), F.col("c_any"))
-        return agg.select(c["id"].alias("cid"), c["v"].alias("cv"))
+        race = F.when(mass > 0, -F.log(F.lit(1.0) - u01(seed, h, "id")) / mass)
+        # Positive masses race; if none is left, the smallest remaining id.
+        top = cand.orderBy(F.when(mass > 0, 0).otherwise(1), race.asc_nulls_last(), F.col("id")).limit(1)
+        return _fetch(top.select(F.col("id").alias("cid"), F.col("v").alias("cv")), collect)
 
     first_seed = None if first_id is not None else seed
     return _traverse(pts, k, [], 1, first_id, first_seed, choose, ["w"], checkpoint_every)

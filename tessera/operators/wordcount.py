@@ -12,8 +12,10 @@ Three counts with three different answers:
   folded again, ignoring case, inside each (key, word) group before the sum by
   spelling.  The random key spreads a hot word over ``sqrt(N)`` reducers.
 
-Every fold is an aggregate with a partial step: all tokens of one line come
-from one input row, so the per-line fold completes before the first shuffle.
+All tokens of one line come from one input row, so the per-line fold is
+done inside that row with array functions (sort, then one pass over runs of
+equal folded words): no shuffle until the words are summed.  Every later
+fold is an aggregate with a map-side partial step.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.rand import u01
-from tessera.functions.text import fold_key, tokenize
+from tessera.functions.text import run_ends, run_entries, sorted_folds, tokenize
 
 
 def tokens(lines: DataFrame) -> DataFrame:
@@ -35,16 +37,19 @@ def word_count(lines: DataFrame) -> DataFrame:
     return tokens(lines).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _line_folded(toks: DataFrame) -> DataFrame:
-    """One row per (line, case-folded word): last spelling in the line and count."""
-    return toks.groupBy("doc_id", "line_no", fold_key("word").alias("fold")).agg(
-        F.max_by("word", "pos").alias("word"), F.count(F.lit(1)).alias("n")
-    )
+def line_folded(lines: DataFrame) -> DataFrame:
+    """One row per (line, case-folded word): ``doc_id, line_no, fold, word, n``
+    with the word spelled as its last occurrence in the line.  Computed
+    inside each line's row (no shuffle)."""
+    s = lines.select("doc_id", "line_no", sorted_folds(tokenize("line")).alias("_s"))
+    e = s.select("doc_id", "line_no", "_s", run_ends("_s").alias("_e"))
+    out = e.select("doc_id", "line_no", F.explode(run_entries("_s", "_e")).alias("_x"))
+    return out.select("doc_id", "line_no", "_x.fold", "_x.word", "_x.n")
 
 
 def word_count_line_folded(lines: DataFrame) -> DataFrame:
     """Case folded inside each line, then summed by spelling: ``word, n``."""
-    return _line_folded(tokens(lines)).groupBy("word").agg(F.sum("n").alias("n"))
+    return line_folded(lines).groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def word_count_salted(lines: DataFrame, seed: int = 0) -> DataFrame:
@@ -56,7 +61,7 @@ def word_count_salted(lines: DataFrame, seed: int = 0) -> DataFrame:
     ``(doc_id, line_no)``; round two sums by spelling.
     """
     n_lines = lines.select(F.count(F.lit(1))).scalar()
-    per_line = _line_folded(tokens(lines))
+    per_line = line_folded(lines)
     salt = F.floor(u01(seed, 0, "doc_id", "line_no", "fold") * F.sqrt(n_lines.cast("double"))).cast("bigint")
     round1 = per_line.groupBy(salt.alias("salt"), "fold").agg(
         F.max_by("word", F.struct("doc_id", "line_no")).alias("word"), F.sum("n").alias("n")

@@ -42,7 +42,7 @@ def _r(c: str, alias: str | None = None):
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines_from(load_table(spark, sf_dir, "documents"))
+    return lines_from(load_table(spark, sf_dir, "documents", spread=True))
 
 
 # --------------------------------------------------------------------------- numbers

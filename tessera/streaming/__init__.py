@@ -1,0 +1,8 @@
+"""Streaming.
+
+The operators this library rebuilds are batch programs: none of them reads a
+stream, keeps state across micro-batches or handles late data, so there is no
+streaming operator here.  The text and numeric operators are plain DataFrame
+transformations, so they also accept a streaming DataFrame where Spark's
+streaming rules allow the aggregate (e.g. ``word_count`` in complete mode).
+"""
