@@ -25,9 +25,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.rand import u01
-from tessera.functions.vectors import sqdist
+from tessera.functions.vectors import l2dist, sqdist
 from tessera.operators import checks, vectors
-from tessera.operators.iterate import DEFAULT_CHECKPOINT_EVERY, checkpointed, drop, greedy_rounds
+from tessera.operators.iterate import DEFAULT_CHECKPOINT_EVERY, checkpointed, drop, greedy_rounds, hold
 from tessera.operators.sampling import mass_expr, with_block
 
 # Per-round picks (one row per block) come back to the driver while
@@ -85,11 +85,6 @@ def _first_pick(points: DataFrame, keys: list[str], first_id: int | None, seed:
     return agg.where(F.col("c").isNotNull()).select(*keys, F.col("c.id").alias("cid"), F.col("c.v").alias("cv"))
 
 
-def _dim(points: DataFrame) -> int:
-    row = points.select(F.size("v").alias("d")).limit(1).collect()
-    return int(row[0]["d"]) if row else 0
-
-
 def _fetch(frame: DataFrame, collect: bool):
     """Run a pick frame now: rows to the driver, or a checkpointed frame."""
     return frame.collect() if collect else checkpointed(frame)
@@ -99,19 +94,25 @@ def _traverse(
     points: DataFrame,
     k: int,
     keys: list[str],
-    n_groups: int,
+    collect: bool,
     first_id: int | None,
     seed: int | None,
     choose_next,
     extra_cols: list[str],
     checkpoint_every: int,
 ) -> DataFrame:
-    """Shared loop of farthest-first and k-means++: returns ``keys, pos, id, v``."""
+    """Shared loop of farthest-first and k-means++: returns ``keys, pos, id, v``.
+
+    With one group (no ``keys``) a round that finds no unchosen point means
+    k > n; that is reported then, instead of counting the points first.
+    """
     spark = points.sparkSession
-    dim = _dim(points)
-    collect = n_groups * max(1, dim) <= MAX_COLLECTED_PICK_VALUES
     base = points.select(*keys, "id", "v", *extra_cols)
     first = _fetch(_first_pick(base, keys, first_id, seed), collect)
+    if not keys and not first:
+        if first_id is not None:
+            raise ValueError(f"first_id {first_id} is not a point id")
+        raise ValueError(f"k ({k}) cannot be greater than the number of points (0)")
     s0 = _attach(base, first, keys)
     state = s0.select(
         *keys,
@@ -123,7 +124,10 @@ def _traverse(
     )
 
     def choose(st: DataFrame, h: int):
-        return choose_next(st, h, collect)
+        pick = choose_next(st, h, collect)
+        if not keys and not pick:
+            raise ValueError(f"k ({k}) cannot be greater than the number of points ({h})")
+        return pick
 
     def update(st: DataFrame, pick, h: int) -> DataFrame:
         s = _attach(st, pick, keys)
@@ -179,8 +183,7 @@ def kcenter(
     checks.check_k(k)
     if k == 0:
         return _empty(points, [])
-    checks.check_k_le_n(k, points.count())
-    return _traverse(points.select("id", "v"), k, [], 1, first_id, seed, _farthest_choice([]), [], checkpoint_every)
+    return _traverse(points.select("id", "v"), k, [], True, first_id, seed, _farthest_choice([]), [], checkpoint_every)
 
 
 def kcenter_blocks(
@@ -204,12 +207,16 @@ def kcenter_blocks(
     pts = points.withColumnRenamed(block_col, "block") if block_col != "block" else points
     if k == 0:
         return _empty(pts, ["block"])
-    sizes = pts.groupBy("block").agg(F.count(F.lit(1)).alias("n")).agg(
-        F.count(F.lit(1)).alias("blocks"), F.min("n").alias("smallest")
-    ).collect()[0]
+    sizes = (
+        pts.groupBy("block")
+        .agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("d"))
+        .agg(F.count(F.lit(1)).alias("blocks"), F.min("n").alias("smallest"), F.max("d").alias("dim"))
+        .collect()[0]
+    )
     if on_small_block == "error" and sizes["smallest"] is not None and sizes["smallest"] < k:
         raise ValueError(f"a block has {sizes['smallest']} points, fewer than k = {k}")
-    out = _traverse(pts, k, ["block"], sizes["blocks"] or 0, None, seed, _farthest_choice(["block"]), [], checkpoint_every)
+    collect = (sizes["blocks"] or 0) * max(1, sizes["dim"] or 1) <= MAX_COLLECTED_PICK_VALUES
+    out = _traverse(pts, k, ["block"], collect, None, seed, _farthest_choice(["block"]), [], checkpoint_every)
     return out.withColumnRenamed("block", block_col) if block_col != "block" else out
 
 
@@ -235,7 +242,6 @@ def kmeanspp(
     checks.check_exponent(exponent)
     if k == 0:
         return _empty(points, [])
-    checks.check_k_le_n(k, points.count())
     pts = points.select("id", "v", (F.col(weight_col).cast("double") if weight_col else F.lit(1.0)).alias("w"))
 
     def choose(state: DataFrame, h: int, collect: bool):
@@ -247,34 +253,71 @@ def kmeanspp(
         return _fetch(top.select(F.col("id").alias("cid"), F.col("v").alias("cv")), collect)
 
     first_seed = None if first_id is not None else seed
-    return _traverse(pts, k, [], 1, first_id, first_seed, choose, ["w"], checkpoint_every)
+    return _traverse(pts, k, [], True, first_id, first_seed, choose, ["w"], checkpoint_every)
+
+
+def _best_partners(left: DataFrame, cands: DataFrame, small: bool) -> DataFrame:
+    """For every point of ``left``: its farthest point of ``cands`` with a larger id
+    (ties to the smaller id).  ``i, j, d``; a point with no larger candidate has no row."""
+    a = left.select(F.col("id").alias("i"), F.col("v").alias("vi"))
+    b = cands.select(F.col("id").alias("j"), F.col("v").alias("vj"))
+    pairs = a.join(F.broadcast(b) if small else b, F.col("i") < F.col("j"))
+    d = l2dist("vi", "vj")
+    best = pairs.groupBy("i").agg(F.max_by(F.struct(F.col("j"), d.alias("d")), F.struct(d, -F.col("j"))).alias("b"))
+    return best.select("i", F.col("b.j").alias("j"), F.col("b.d").alias("d"))
 
 
-def max_matching(points: DataFrame, k: int) -> DataFrame:
+def max_matching(points: DataFrame, k: int, checkpoint_every: int = DEFAULT_CHECKPOINT_EVERY) -> DataFrame:
     """Greedy max-sum diversity on a bounded point set: ``pos, id, v``.
 
     ⌊k/2⌋ rounds each take the farthest pair among the remaining points (ties
     to the smallest ``(i, j)``); if k is odd the smallest remaining id is
-    added.  With ``k >= n`` all points are returned.  Each round is one
-    nested-loop join over the remaining set, which is a coreset whose size is
-    bounded by the parameters (``blocks * k``), not by the data.
+    added.  With ``k >= n`` all points are returned.
+
+    The set is a coreset whose size is bounded by the parameters
+    (``blocks * k``), not by the data.  Every point keeps its farthest
+    partner among the remaining points with a larger id; the best pair is
+    the best of those.  After a pair is taken only the points whose partner
+    was one of the two are recomputed, so all distances are computed once
+    and a round costs (points affected) x (points remaining).
     """
     checks.check_k(k)
     spark = points.sparkSession
-    pts = checkpointed(points.select("id", "v"))
-    n = pts.count()
+    pts = hold(checkpointed(points.select("id", "v")))
+    stats = pts.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("d")).collect()[0]
+    n = stats["n"]
     if k >= n:
+        drop(pts)
         return _all_in_order(pts)
+    small = n * max(1, stats["d"] or 1) <= MAX_COLLECTED_PICK_VALUES
+    state = hold(_best_partners(pts, pts, small))
     chosen: list[int] = []
-    for _ in range(k // 2):
-        remaining = pts.where(~F.col("id").isin(chosen)) if chosen else pts
-        row = vectors.farthest_pair(remaining).collect()[0]
-        chosen += [int(row["i"]), int(row["j"])]
+    prev = None
+    for r in range(k // 2):
+        top = state.orderBy(F.col("d").desc(), F.col("i").asc(), F.col("j").asc()).limit(1).collect()
+        drop(prev)
+        if not top:  # cannot happen while k < n; kept as a guard
+            raise RuntimeError("no pair left")
+        i, j = int(top[0]["i"]), int(top[0]["j"])
+        chosen += [i, j]
+        if r == k // 2 - 1:
+            break
+        gone = [i, j]
+        remaining = pts.where(~F.col("id").isin(chosen))
+        keep = state.where(~F.col("i").isin(gone) & ~F.col("j").isin(gone))
+        stale = state.where(F.col("j").isin(gone) & ~F.col("i").isin(gone)).select(F.col("i").alias("id"))
+        redo = _best_partners(pts.join(stale, on="id", how="left_semi"), remaining, small)
+        new_state = keep.unionByName(redo)
+        if (r + 1) % max(1, checkpoint_every) == 0:
+            new_state = checkpointed(new_state)
+        prev, state = state, hold(new_state)
+    drop(prev, state)
     if k % 2:
-        remaining = pts.where(~F.col("id").isin(chosen)) if chosen else pts
-        chosen.append(int(remaining.agg(F.min("id")).collect()[0][0]))
+        rest = pts.where(~F.col("id").isin(chosen)) if chosen else pts
+        chosen.append(int(rest.agg(F.min("id")).collect()[0][0]))
+    drop(pts)  # the result reads the checkpointed points
     order = spark.createDataFrame([(p, i) for p, i in enumerate(chosen)], "pos int, id bigint")
-    return order.join(pts, on="id").select("pos", "id", "v")
+    return pts.join(F.broadcast(order), on="id").select("pos", "id", "v")
 
 
 def _all_in_order(pts: DataFrame) -> DataFrame:

@@ -125,6 +125,19 @@ def test_max_matching_brute_force(spark):
     assert S.max_matching(P, 20).count() == 12
 
 
+def test_max_matching_many_rounds_and_ties(spark):
+    rng = np.random.default_rng(15)
+    X = rng.normal(size=(14, 2))
+    P = _pts(spark, X)
+    for k in (8, 11):
+        got = [r["id"] for r in S.max_matching(P, k, checkpoint_every=2).orderBy("pos").collect()]
+        assert got == brute.greedy_matching(list(range(14)), X, k)
+    # a grid: many equal distances, ties go to the smallest (i, j)
+    G = np.array([[x, y] for x in range(3) for y in range(3)], dtype=float)
+    got = [r["id"] for r in S.max_matching(_pts(spark, G), 6).orderBy("pos").collect()]
+    assert got == brute.greedy_matching(list(range(9)), G, 6)
+
+
 def test_diversify_and_score(spark):
     rng = np.random.default_rng(13)
     P = _pts(spark, rng.normal(size=(100, 4)))
