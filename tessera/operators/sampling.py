@@ -71,17 +71,15 @@ def sampling_mass(
     centers: DataFrame,
     exponent: float = 2.0,
     weight_col: str | None = None,
-    n_centers: int | None = None,
 ) -> DataFrame:
-    """``id, mass`` for every point that is not a center (by id)."""
-    nc = vectors.nearest_center(points.select("id", "v"), centers.select("id", "v"), n_centers=n_centers)
-    w = points.select("id", F.col(weight_col).alias("w")) if weight_col else None
+    """``id, mass`` for every point that is not a center (by id).
+
+    The centers (a bounded set) are excluded by a broadcast anti join on id.
+    """
+    keep = (weight_col,) if weight_col else ()
+    nc = vectors.nearest_center(points, centers.select("id", "v"), keep=keep)
     non_centers = nc.join(F.broadcast(centers.select("id")), on="id", how="left_anti")
-    if w is not None:
-        non_centers = non_centers.join(w, on="id")
-        weight = F.col("w")
-    else:
-        weight = F.lit(1.0)
+    weight = F.col(weight_col).cast("double") if weight_col else F.lit(1.0)
     return non_centers.select("id", mass_expr(F.col("sqdist"), weight, exponent).alias("mass"))
 
 

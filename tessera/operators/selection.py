@@ -256,17 +256,6 @@ def kmeanspp(
     return _traverse(pts, k, [], True, first_id, first_seed, choose, ["w"], checkpoint_every)
 
 
-def _best_partners(left: DataFrame, cands: DataFrame, small: bool) -> DataFrame:
-    """For every point of ``left``: its farthest point of ``cands`` with a larger id
-    (ties to the smaller id).  ``i, j, d``; a point with no larger candidate has no row."""
-    a = left.select(F.col("id").alias("i"), F.col("v").alias("vi"))
-    b = cands.select(F.col("id").alias("j"), F.col("v").alias("vj"))
-    pairs = a.join(F.broadcast(b) if small else b, F.col("i") < F.col("j"))
-    d = l2dist("vi", "vj")
-    best = pairs.groupBy("i").agg(F.max_by(F.struct(F.col("j"), d.alias("d")), F.struct(d, -F.col("j"))).alias("b"))
-    return best.select("i", F.col("b.j").alias("j"), F.col("b.d").alias("d"))
-
-
 def max_matching(points: DataFrame, k: int, checkpoint_every: int = DEFAULT_CHECKPOINT_EVERY) -> DataFrame:
     """Greedy max-sum diversity on a bounded point set: ``pos, id, v``.
 
@@ -276,10 +265,11 @@ def max_matching(points: DataFrame, k: int, checkpoint_every: int = DEFAULT_CHEC
 
     The set is a coreset whose size is bounded by the parameters
     (``blocks * k``), not by the data.  Every point keeps its farthest
-    partner among the remaining points with a larger id; the best pair is
-    the best of those.  After a pair is taken only the points whose partner
-    was one of the two are recomputed, so all distances are computed once
-    and a round costs (points affected) x (points remaining).
+    partner among the remaining points with a larger id
+    (:func:`vectors.farthest_partner`, a projection over the inlined set);
+    the best pair is the best of those.  After a pair is taken only the
+    points whose partner was one of the two are recomputed, so a round costs
+    (points affected) x (points remaining).
     """
     checks.check_k(k)
     spark = points.sparkSession
@@ -289,8 +279,8 @@ def max_matching(points: DataFrame, k: int, checkpoint_every: int = DEFAULT_CHEC
     if k >= n:
         drop(pts)
         return _all_in_order(pts)
-    small = n * max(1, stats["d"] or 1) <= MAX_COLLECTED_PICK_VALUES
-    state = hold(_best_partners(pts, pts, small))
+    dim = int(stats["d"] or 0)
+    state = hold(vectors.farthest_partner(pts, pts, n, dim))
     chosen: list[int] = []
     prev = None
     for r in range(k // 2):
@@ -306,7 +296,7 @@ def max_matching(points: DataFrame, k: int, checkpoint_every: int = DEFAULT_CHEC
         remaining = pts.where(~F.col("id").isin(chosen))
         keep = state.where(~F.col("i").isin(gone) & ~F.col("j").isin(gone))
         stale = state.where(F.col("j").isin(gone) & ~F.col("i").isin(gone)).select(F.col("i").alias("id"))
-        redo = _best_partners(pts.join(stale, on="id", how="left_semi"), remaining, small)
+        redo = vectors.farthest_partner(pts.join(F.broadcast(stale), on="id", how="left_semi"), remaining, n - len(chosen), dim)
         new_state = keep.unionByName(redo)
         if (r + 1) % max(1, checkpoint_every) == 0:
             new_state = checkpointed(new_state)
@@ -345,7 +335,7 @@ def diversify_and_score(points: DataFrame, k: int, blocks: int, seed: int = 0, b
 def seed_and_score(points: DataFrame, k: int, seed: int = 0, exponent: float = 2.0, first_id: int | None = None, denominator: str = "non_centers") -> DataFrame:
     """k-means++ seeding with unit weights, scored by the k-means objective."""
     centers = kmeanspp(points, k, seed=seed, exponent=exponent, first_id=first_id)
-    return vectors.kmeans_objective(points.select("id", "v"), centers.select("id", "v"), denominator, n_centers=k)
+    return vectors.kmeans_objective(points.select("id", "v"), centers.select("id", "v"), denominator)
 
 
 def coreset_kmeans(
@@ -362,4 +352,4 @@ def coreset_kmeans(
     checks.check_k1(k1, k)
     x = kcenter(points.select("id", "v"), k1, first_id=first_id)
     centers = kmeanspp(x.select("id", "v"), k, seed=seed, exponent=exponent, first_id=first_id)
-    return vectors.kmeans_objective(points.select("id", "v"), centers.select("id", "v"), denominator, n_centers=k)
+    return vectors.kmeans_objective(points.select("id", "v"), centers.select("id", "v"), denominator)

@@ -1,15 +1,19 @@
 """Point-set operators over ``DataFrame[id bigint, v array<double>]``.
 
-Centers are a set whose size is a parameter (k), never a function of the
-data.  They reach every task as one array value (a scalar subquery computed
-once), so assigning points to centers is a projection: no join and no
-shuffle.  The size is checked before that path is taken; above the bound the
-assignment falls back to a join that Spark distributes.
-
-All-pairs operators (:func:`pairwise_distances`, :func:`farthest_pair`,
-:func:`mean_pairwise_distance`) are quadratic by definition.  The library
-applies them only to sets whose size is bounded by parameters: a coreset of
-``blocks * k`` points or a result of ``k`` points.
+A *bounded* point set — centers (k of them), a coreset (``blocks * k``), a
+result (k) — reaches every task as array values: scalar subqueries computed
+once and shipped with the stage, in chunks of at most
+``MAX_INLINE_VALUES`` numbers each.  Every point then folds over those arrays
+in place (nearest center, farthest partner, sum of distances), so these
+operators are projections: no join, no shuffle, and no (point, point) rows.
+The size of the set is measured first (one small job) and decides the number
+of chunks, so a larger set costs more passes over the arrays, never a
+larger value.
+
+Comparing every point with every member of the set is the definition of
+these operators (the k-means assignment, the farthest pair, the mean pairwise
+distance); the library applies them only to sets whose size is bounded by
+parameters.
 """
 
 from __future__ import annotations
@@ -21,57 +25,72 @@ from pyspark.sql import functions as F
 
 from tessera.functions.vectors import l2dist, sqdist
 
-# Centers up to this many (rows x dimensions) travel as one array value.
-MAX_INLINE_CENTER_VALUES = 4_000_000
+# Numbers (members x dimensions) per inline chunk.
+MAX_INLINE_VALUES = 1_000_000
 
 
-def _centers_value(centers: DataFrame) -> Column:
-    """All centers as one ``array<struct<id, v>>`` value, computed once per query."""
-    return centers.select(F.collect_list(F.struct(F.col("id").alias("id"), F.col("v").alias("v")))).scalar()
+def set_size(df: DataFrame) -> tuple[int, int]:
+    """Number of points and their dimension, one small job."""
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("d")).collect()[0]
+    return int(row["n"]), int(row["d"] or 0)
 
 
-def inline_centers_ok(n_centers: int, dim: int | None) -> bool:
-    return n_centers * max(1, dim or 1) <= MAX_INLINE_CENTER_VALUES
+def _n_chunks(n: int, dim: int) -> int:
+    return max(1, math.ceil(n * max(1, dim) / MAX_INLINE_VALUES))
 
 
-def nearest_center(points: DataFrame, centers: DataFrame, n_centers: int | None = None, dim: int | None = None) -> DataFrame:
-    """For every point: the nearest center (smallest id on ties) and the squared distance.
+def _inline(df: DataFrame, members: DataFrame, n: int, dim: int, prefix: str) -> tuple[DataFrame, list[str]]:
+    """``df`` with the members attached as array columns ``prefix0..``.
 
-    ``n_centers`` (and ``dim``) may be passed when the caller knows them;
-    otherwise the centers are counted.  Output: ``id, center_id, sqdist``.
+    Each column holds one chunk (``array<struct<id, v>>``); chunks split the
+    members by a hash of their id.
     """
-    if n_centers is None:
-        n_centers = centers.count()
-    if dim is None:
-        first = centers.select(F.size("v").alias("d")).limit(1).collect()
-        dim = first[0]["d"] if first else 1
-    if inline_centers_ok(n_centers, dim):
-        with_cs = points.select("id", "v", _centers_value(centers).alias("_cs"))
-        best = F.array_min(
-            F.transform(
-                F.col("_cs"), lambda c: F.struct(sqdist(F.col("v"), c["v"]).alias("d"), c["id"].alias("cid"))
-            )
-        )
-        return with_cs.select("id", best["cid"].alias("center_id"), best["d"].alias("sqdist"))
-    # Large center sets: every (point, center) pair is needed anyway; let Spark
-    # distribute the product and fold it per point right after.
-    pairs = points.alias("p").join(centers.alias("c"))
-    d = sqdist(F.col("p.v"), F.col("c.v"))
-    return pairs.groupBy(F.col("p.id").alias("id")).agg(
-        F.min_by(F.col("c.id"), F.struct(d, F.col("c.id"))).alias("center_id"), F.min(d).alias("sqdist")
-    )
-
+    chunks = _n_chunks(n, dim)
+    names, cols = [], []
+    for c in range(chunks):
+        part = members if chunks == 1 else members.where(F.pmod(F.xxhash64("id"), F.lit(chunks)) == c)
+        value = part.select(F.collect_list(F.struct(F.col("id").alias("id"), F.col("v").alias("v")))).scalar()
+        names.append(f"{prefix}{c}")
+        cols.append(value.alias(names[-1]))
+    return df.select("*", *cols), names
+
+
+def _combine(exprs: list[Column], pick) -> Column:
+    return exprs[0] if len(exprs) == 1 else pick(*exprs)
+
+
+def nearest_center(
+    points: DataFrame,
+    centers: DataFrame,
+    n_centers: int | None = None,
+    dim: int | None = None,
+    keep: tuple[str, ...] = (),
+) -> DataFrame:
+    """For every point: the nearest center (smallest id on ties) and the squared distance.
 
-def kmeans_objectives(points: DataFrame, centers: DataFrame, n_centers: int | None = None) -> DataFrame:
+    Output: ``id, center_id, sqdist`` plus the ``keep`` columns of ``points``.
+    """
+    if n_centers is None or dim is None:
+        n_centers, dim = set_size(centers)
+    with_cs, names = _inline(points.select("id", "v", *keep), centers.select("id", "v"), n_centers, dim, "_cs")
+    per_chunk = [
+        F.array_min(F.transform(F.col(c), lambda m: F.struct(sqdist(F.col("v"), m["v"]).alias("d"), m["id"].alias("cid"))))
+        for c in names
+    ]
+    # ``least`` skips the NULL of an empty chunk; structs compare by d, then id.
+    best = with_cs.select("id", *keep, _combine(per_chunk, F.least).alias("_b"))
+    return best.select("id", F.col("_b.cid").alias("center_id"), F.col("_b.d").alias("sqdist"), *keep)
+
+
+def kmeans_objectives(points: DataFrame, centers: DataFrame) -> DataFrame:
     """Sum over points of the squared distance to the nearest center, divided by
     ``n - |C|`` (``obj_non_center``) and by ``n`` (``obj_all``), one row.
 
     A point equal to a center is at distance 0 from it, so it adds nothing to
     the sum either way.  ``n = |C|`` gives NULL for ``obj_non_center``.
     """
-    if n_centers is None:
-        n_centers = centers.count()
-    nc = nearest_center(points, centers, n_centers=n_centers)
+    n_centers, dim = set_size(centers)
+    nc = nearest_center(points, centers, n_centers=n_centers, dim=dim)
     total, n = F.sum("sqdist"), F.count(F.lit(1)).cast("double")
     return nc.agg(
         F.try_divide(total, n - F.lit(float(n_centers))).alias("obj_non_center"),
@@ -79,14 +98,12 @@ def kmeans_objectives(points: DataFrame, centers: DataFrame, n_centers: int | No
     )
 
 
-def kmeans_objective(
-    points: DataFrame, centers: DataFrame, denominator: str = "non_centers", n_centers: int | None = None
-) -> DataFrame:
+def kmeans_objective(points: DataFrame, centers: DataFrame, denominator: str = "non_centers") -> DataFrame:
     """The k-means objective with one denominator: ``n - |C|`` (``"non_centers"``,
     the default) or ``n`` (``"all"``).  Output: one row ``objective``."""
     if denominator not in ("non_centers", "all"):
         raise ValueError("denominator must be 'non_centers' or 'all'")
-    both = kmeans_objectives(points, centers, n_centers)
+    both = kmeans_objectives(points, centers)
     col = "obj_non_center" if denominator == "non_centers" else "obj_all"
     return both.select(F.col(col).alias("objective"))
 
@@ -101,14 +118,49 @@ def points_not_in(points: DataFrame, centers: DataFrame) -> DataFrame:
     return points.join(F.broadcast(centers.select("v").distinct()), on="v", how="left_anti")
 
 
+def farthest_partner(left: DataFrame, cands: DataFrame, n: int | None = None, dim: int | None = None) -> DataFrame:
+    """For every point ``i`` of ``left``: the farthest point ``j`` of ``cands``
+    with ``j > i`` (ties to the smaller ``j``).  Output ``i, j, d``; a point
+    with no larger candidate has no row."""
+    if n is None or dim is None:
+        n, dim = set_size(cands)
+    with_c, names = _inline(left.select("id", "v"), cands.select("id", "v"), n, dim, "_cd")
+    me = F.col("id")
+    per_chunk = [
+        F.array_max(
+            F.transform(
+                F.filter(F.col(c), lambda m: m["id"] > me),
+                lambda m: F.struct(l2dist(F.col("v"), m["v"]).alias("d"), (-m["id"]).alias("nj")),
+            )
+        )
+        for c in names
+    ]
+    best = with_c.select(me.alias("i"), _combine(per_chunk, F.greatest).alias("_b")).where(F.col("_b").isNotNull())
+    return best.select("i", (-F.col("_b.nj")).alias("j"), F.col("_b.d").alias("d"))
+
+
 def pairwise_distances(points: DataFrame) -> DataFrame:
     """Every unordered pair ``i < j`` with its Euclidean distance: ``i, j, dist``.
 
-    Quadratic: use on bounded sets (coresets, results).
+    The output is quadratic in the size of the set by definition: use on
+    bounded sets (coresets, results).
     """
-    a = points.select(F.col("id").alias("i"), F.col("v").alias("vi"))
-    b = points.select(F.col("id").alias("j"), F.col("v").alias("vj"))
-    return a.join(F.broadcast(b), F.col("i") < F.col("j")).select("i", "j", l2dist("vi", "vj").alias("dist"))
+    n, dim = set_size(points)
+    with_p, names = _inline(points.select("id", "v"), points.select("id", "v"), n, dim, "_pp")
+    me = F.col("id")
+    pairs = F.flatten(
+        F.array(
+            *[
+                F.transform(
+                    F.filter(F.col(c), lambda m: m["id"] > me),
+                    lambda m: F.struct(m["id"].alias("j"), l2dist(F.col("v"), m["v"]).alias("dist")),
+                )
+                for c in names
+            ]
+        )
+    )
+    out = with_p.select(me.alias("i"), F.explode(pairs).alias("_p"))
+    return out.select("i", F.col("_p.j").alias("j"), F.col("_p.dist").alias("dist"))
 
 
 def farthest_pair(points: DataFrame) -> DataFrame:
@@ -116,22 +168,26 @@ def farthest_pair(points: DataFrame) -> DataFrame:
 
     One row ``i, j, dist`` (none if fewer than two points).
     """
-    pairs = pairwise_distances(points)
-    best = F.max_by(F.struct("i", "j", "dist"), F.struct(F.col("dist"), -F.col("i"), -F.col("j")))
-    return pairs.agg(best.alias("b")).where(F.col("b").isNotNull()).select("b.i", "b.j", "b.dist")
+    fp = farthest_partner(points, points)
+    top = fp.orderBy(F.col("d").desc(), F.col("i").asc(), F.col("j").asc()).limit(1)
+    return top.select("i", "j", F.col("d").alias("dist"))
 
 
 def mean_pairwise_distance(points: DataFrame) -> DataFrame:
     """Mean Euclidean distance over all pairs of distinct points.
 
     0 for an empty set, NaN for a single point (0/0).  Output: ``avg_dist``.
+    Every point sums its distances to the points with a larger id; the mean
+    over unordered pairs equals the mean over ordered pairs.
     """
-    n = points.select(F.count(F.lit(1))).scalar()
-    pairs = pairwise_distances(points)
-    s = pairs.agg(F.sum("dist").alias("s"), F.count(F.lit(1)).alias("c"))
-    return s.select(
-        F.when(n == 0, F.lit(0.0))
-        .when(n == 1, F.lit(math.nan))
-        .otherwise(F.col("s") / F.col("c"))
-        .alias("avg_dist")
-    )
+    n, dim = set_size(points)
+    with_p, names = _inline(points.select("id", "v"), points.select("id", "v"), n, dim, "_pm")
+    me = F.col("id")
+    sums = [
+        F.aggregate(F.filter(F.col(c), lambda m: m["id"] > me), F.lit(0.0), lambda acc, m: acc + l2dist(F.col("v"), m["v"]))
+        for c in names
+    ]
+    total = with_p.select(sum(sums[1:], sums[0]).alias("s")).agg(F.sum("s").alias("s"))
+    pairs = n * (n - 1) / 2.0
+    value = F.lit(0.0) if n == 0 else (F.lit(math.nan) if n == 1 else F.col("s") / F.lit(pairs))
+    return total.select(value.alias("avg_dist"))

@@ -200,7 +200,7 @@ def _kc_centers(spark, sf_dir, k=K_NEAREST):
 
 
 def q_vec_nearest_center(spark, sf_dir):
-    nc = vectors.nearest_center(_points(spark, sf_dir), _kc_centers(spark, sf_dir).select("id", "v"), n_centers=K_NEAREST)
+    nc = vectors.nearest_center(_points(spark, sf_dir), _kc_centers(spark, sf_dir).select("id", "v"))
     return nc.select("id", "center_id", _r("sqdist"))
 
 
@@ -214,7 +214,7 @@ def q_vec_points_not_in(spark, sf_dir):
 
 def q_vec_kmeans_objective(spark, sf_dir):
     c = _kc_centers(spark, sf_dir).select("id", "v")
-    both = vectors.kmeans_objectives(_points(spark, sf_dir), c, n_centers=K_NEAREST)
+    both = vectors.kmeans_objectives(_points(spark, sf_dir), c)
     return both.select(_r("obj_non_center"), _r("obj_all"))
 
 
@@ -237,7 +237,7 @@ def q_sel_random_point(spark, sf_dir):
 def _mass_cdf(spark, sf_dir):
     pts = _points(spark, sf_dir)
     first = sampling.random_point(pts, SEED)
-    return sampling.cumulative_mass(sampling.sampling_mass(pts, first, 2.0, n_centers=1))
+    return sampling.cumulative_mass(sampling.sampling_mass(pts, first, 2.0))
 
 
 def q_sel_sampling_mass(spark, sf_dir):

@@ -38,15 +38,32 @@ def test_nearest_center_and_objective(spark):
     assert abs(o["obj_non_center"] - total / 37) < 1e-9 and abs(o["obj_all"] - total / 40) < 1e-9
 
 
-def test_nearest_center_join_fallback(spark, monkeypatch):
+def test_chunked_inline_sets(spark, monkeypatch):
+    """Many small chunks give the same answers as one chunk."""
     rng = np.random.default_rng(3)
     X = rng.normal(size=(15, 3))
     P = _pts(spark, X)
-    C = P.where("id < 4")
-    inline = sorted(map(tuple, V.nearest_center(P, C).collect()))
-    monkeypatch.setattr(V, "MAX_INLINE_CENTER_VALUES", 0)
-    joined = sorted(map(tuple, V.nearest_center(P, C).collect()))
-    assert [(a, b) for a, b, _ in inline] == [(a, b) for a, b, _ in joined]
+    C = P.where("id < 6")
+    one = sorted(map(tuple, V.nearest_center(P, C).collect()))
+    fp1 = V.farthest_pair(P).collect()
+    pw1 = sorted(map(tuple, V.pairwise_distances(P).collect()))
+    m1 = V.mean_pairwise_distance(P).collect()[0][0]
+    monkeypatch.setattr(V, "MAX_INLINE_VALUES", 7)
+    assert V._n_chunks(15, 3) == 7
+    many = sorted(map(tuple, V.nearest_center(P, C).collect()))
+    assert one == many
+    assert V.farthest_pair(P).collect() == fp1
+    assert sorted(map(tuple, V.pairwise_distances(P).collect())) == pw1
+    assert abs(V.mean_pairwise_distance(P).collect()[0][0] - m1) < 1e-12
+
+
+def test_pairwise_brute_force(spark):
+    rng = np.random.default_rng(16)
+    X = rng.normal(size=(9, 4))
+    got = {(r["i"], r["j"]): r["dist"] for r in V.pairwise_distances(_pts(spark, X)).collect()}
+    assert len(got) == 36
+    for (i, j), d in got.items():
+        assert i < j and abs(d - np.sqrt(brute.sqd(X[i], X[j]))) < 1e-12
 
 
 def test_mean_pairwise_edges(spark):
