@@ -84,17 +84,20 @@ def sampling_mass(
 
 
 def cumulative_mass(df: DataFrame, order_col: str = "id", mass_col: str = "mass", buckets: int | None = None) -> DataFrame:
-    """Add ``cdf``: the running sum of ``mass`` in ``order_col`` order over the total.
+    """Add ``cdf``: the running sum of the (non-negative) ``mass`` in ``order_col``
+    order over the total.
 
     Two levels: rows are cut into ``buckets`` contiguous ranges of the order
-    column (approximate quantiles), each range gets its running sum in its own
-    task, and a bucket's offset is the sum of the ranges before it (a frame of
-    ``buckets`` rows, broadcast back).
+    column (approximate quantiles of that column alone), each range gets its
+    running sum in its own task, and a range's offset is the sum of the
+    ranges before it, from a frame of ``buckets`` rows that also carries the
+    total and is broadcast back.  Bucket sums are read off the windowed rows,
+    so the input is computed once (one shuffle by bucket, reused).
     """
     spark = df.sparkSession
     nb = int(buckets or max(2, spark.sparkContext.defaultParallelism))
-    total = df.select(F.sum(F.col(mass_col))).scalar()
-    bounds = sorted(set(df.approxQuantile(order_col, [i / nb for i in range(1, nb)], 0.001)))
+    probs = [i / nb for i in range(1, nb)]
+    bounds = sorted(set(df.approxQuantile(order_col, probs, 0.001))) if probs else []
     bucket = F.lit(0)
     for b in bounds:
         bucket = bucket + F.when(F.col(order_col) > F.lit(b), 1).otherwise(0)
@@ -102,16 +105,18 @@ def cumulative_mass(df: DataFrame, order_col: str = "id", mass_col: str = "mass"
     within = F.sum(F.col(mass_col)).over(
         Window.partitionBy("_bucket").orderBy(order_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    sums = tagged.groupBy("_bucket").agg(F.sum(F.col(mass_col)).alias("_bsum"))
+    running = tagged.withColumn("_within", within)
+    # Masses are non-negative, so a bucket's sum is its largest running sum;
+    # reading it off the windowed rows lets both branches share one shuffle.
+    sums = running.groupBy("_bucket").agg(F.max("_within").alias("_bsum"))
+    every = Window.orderBy("_bucket")
     offsets = sums.select(
         "_bucket",
-        F.coalesce(
-            F.sum("_bsum").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)
-        ).alias("_offset"),
+        F.coalesce(F.sum("_bsum").over(every.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)).alias("_offset"),
+        F.sum("_bsum").over(every.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_total"),
     )
-    running = tagged.withColumn("_within", within)
     out = running.join(F.broadcast(offsets), on="_bucket")
-    return out.select(*df.columns, ((F.col("_offset") + F.col("_within")) / total).alias("cdf"))
+    return out.select(*df.columns, ((F.col("_offset") + F.col("_within")) / F.col("_total")).alias("cdf"))
 
 
 def draw_by_cdf(cdf: DataFrame, r: float, order_col: str = "id") -> DataFrame:
