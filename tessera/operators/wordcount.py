@@ -20,13 +20,21 @@ fold is an aggregate with a map-side partial step.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.rand import u01
 from tessera.functions.text import run_ends, run_entries, sorted_folds, tokenize
 
 
+def line_count(documents: DataFrame, text_col: str = "text") -> Column:
+    """Number of lines of all documents as a scalar column: newlines + 1 per
+    text, counted without splitting the texts into rows."""
+    text = F.col(text_col)
+    per_doc = F.length(text) - F.length(F.translate(text, "\n", "")) + F.lit(1)
+    return documents.select(F.sum(per_doc).cast("bigint")).scalar()
+
+
 def tokens(lines: DataFrame) -> DataFrame:
     """One row per token: ``doc_id, line_no, pos, word`` (``pos`` from 0)."""
     return lines.select("doc_id", "line_no", F.posexplode(tokenize("line")).alias("pos", "word"))
@@ -52,15 +60,22 @@ def word_count_line_folded(lines: DataFrame) -> DataFrame:
     return line_folded(lines).groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def word_count_salted(lines: DataFrame, seed: int = 0) -> DataFrame:
+def word_count_salted(lines: DataFrame, seed: int = 0, n_lines: Column | int | None = None) -> DataFrame:
     """Two-round salted count: ``word, n``.
 
     The salt of a folded (line, word) entry is ``floor(u01(seed, 0, doc_id,
-    line_no, fold) * sqrt(N))``.  Round one folds case inside each
-    (salt, fold) group, keeping the spelling of the latest line by
-    ``(doc_id, line_no)``; round two sums by spelling.
+    line_no, fold) * sqrt(N))`` with N the number of lines.  Round one folds
+    case inside each (salt, fold) group, keeping the spelling of the latest
+    line by ``(doc_id, line_no)``; round two sums by spelling.
+
+    ``n_lines`` may be given (a number or a scalar column) when N is cheaper
+    to get than by counting ``lines``, e.g. :func:`line_count` on the
+    documents.
     """
-    n_lines = lines.select(F.count(F.lit(1))).scalar()
+    if n_lines is None:
+        n_lines = lines.select(F.count(F.lit(1))).scalar()
+    elif not isinstance(n_lines, Column):
+        n_lines = F.lit(int(n_lines))
     per_line = line_folded(lines)
     salt = F.floor(u01(seed, 0, "doc_id", "line_no", "fold") * F.sqrt(n_lines.cast("double"))).cast("bigint")
     round1 = per_line.groupBy(salt.alias("salt"), "fold").agg(

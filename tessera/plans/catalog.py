@@ -127,7 +127,8 @@ def q_txt_word_count_line_folded(spark, sf_dir):
 
 
 def q_txt_word_count_salted(spark, sf_dir):
-    return wordcount.word_count_salted(_lines(spark, sf_dir), seed=SALT_SEED)
+    n_lines = wordcount.line_count(load_table(spark, sf_dir, "documents"))
+    return wordcount.word_count_salted(_lines(spark, sf_dir), seed=SALT_SEED, n_lines=n_lines)
 
 
 def q_txt_word_frequency(spark, sf_dir):

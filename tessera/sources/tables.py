@@ -40,6 +40,12 @@ def spread_small_input(df: DataFrame) -> DataFrame:
     return df.repartition(2 * slots)
 
 
+def numbers_from_values(spark: SparkSession, values, num_partitions: int | None = None) -> DataFrame:
+    """A number set from values held by the driver (small inputs and tests)."""
+    df = spark.createDataFrame([(float(v),) for v in values], "value double")
+    return df.repartition(num_partitions) if num_partitions else df
+
+
 def numbers_from(df: DataFrame, col: str, *keep: str) -> DataFrame:
     """A number set from one numeric column, cast to double."""
     return df.select(*keep, F.col(col).cast("double").alias("value"))

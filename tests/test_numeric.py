@@ -42,3 +42,10 @@ def test_abs_deviation(spark):
     df = spark.createDataFrame([(1, 1.0), (2, 3.0)], "k long, value double")
     got = {r["k"]: r["abs_dev"] for r in N.abs_deviation(df, "value", "k").collect()}
     assert got == {1: 1.0, 2: 1.0}
+
+
+def test_numbers_from_values(spark):
+    from tessera.sources.tables import numbers_from_values
+
+    df = numbers_from_values(spark, [1, 2.5, -3], num_partitions=2)
+    assert sorted(r["value"] for r in df.collect()) == [-3.0, 1.0, 2.5]

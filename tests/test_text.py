@@ -67,3 +67,12 @@ def test_top_words(spark):
         W.top_words(counts, -1)
     freq = W.word_frequency(counts).collect()
     assert [r["word"] for r in freq] == ["b", "a", "c"]
+
+
+def test_line_count_matches_lines(spark):
+    from tests.conftest import SF_SMALL
+    from tessera.sources.tables import lines_from, load_table
+
+    docs = load_table(spark, SF_SMALL, "documents")
+    n = spark.range(1).select(W.line_count(docs)).collect()[0][0]
+    assert n == lines_from(docs).count()
