@@ -11,11 +11,6 @@ def check_k(k: int, name: str = "k") -> int:
     return k
 
 
-def check_k_le_n(k: int, n: int) -> None:
-    if k > n:
-        raise ValueError(f"k ({k}) cannot be greater than the number of points ({n})")
-
-
 def check_blocks(blocks: int) -> int:
     if not isinstance(blocks, int) or blocks < 1:
         raise ValueError("the number of blocks must be >= 1")

@@ -30,9 +30,9 @@ from tessera.operators import checks, vectors
 from tessera.operators.iterate import DEFAULT_CHECKPOINT_EVERY, checkpointed, drop, greedy_rounds, hold
 from tessera.operators.sampling import mass_expr, with_block
 
-# Per-round picks (one row per block) come back to the driver while
-# blocks * dim stays under this; beyond it they stay distributed and are
-# written to the checkpoint folder instead.
+# Picks (one row per block per round) come back to the driver while all of
+# them together, blocks * k * dim numbers, stay under this; beyond it they
+# stay distributed and are written to the checkpoint folder instead.
 MAX_COLLECTED_PICK_VALUES = 4_000_000
 
 _PICK_FIELDS = ["cid", "cv"]
@@ -69,6 +69,9 @@ def _attach(state: DataFrame, pick, keys: list[str]) -> DataFrame:
         schema = ", ".join(f"{k} int" for k in keys) + ", cid bigint, cv array<double>"
         small = spark.createDataFrame([tuple(r[k] for k in keys) + (r["cid"], r["cv"]) for r in pick], schema)
         return state.join(F.broadcast(small), on=keys, how="left")
+    if not keys:
+        # One row, written to the checkpoint folder: attached as scalar values.
+        return state.withColumn("cid", pick.select("cid").scalar()).withColumn("cv", pick.select("cv").scalar())
     return state.join(pick, on=keys, how="left")
 
 
@@ -85,6 +88,12 @@ def _first_pick(points: DataFrame, keys: list[str], first_id: int | None, seed:
     return agg.where(F.col("c").isNotNull()).select(*keys, F.col("c.id").alias("cid"), F.col("c.v").alias("cv"))
 
 
+def _dim_hint(points: DataFrame) -> int:
+    """Dimension of the first point (a one-row job); 1 for an empty set."""
+    row = points.select(F.size("v").alias("d")).limit(1).collect()
+    return max(1, int(row[0]["d"])) if row else 1
+
+
 def _fetch(frame: DataFrame, collect: bool):
     """Run a pick frame now: rows to the driver, or a checkpointed frame."""
     return frame.collect() if collect else checkpointed(frame)
@@ -109,7 +118,9 @@ def _traverse(
     spark = points.sparkSession
     base = points.select(*keys, "id", "v", *extra_cols)
     first = _fetch(_first_pick(base, keys, first_id, seed), collect)
-    if not keys and not first:
+    if not keys and not collect and first.isEmpty():
+        first = []
+    if not keys and isinstance(first, list) and not first:
         if first_id is not None:
             raise ValueError(f"first_id {first_id} is not a point id")
         raise ValueError(f"k ({k}) cannot be greater than the number of points (0)")
@@ -125,7 +136,8 @@ def _traverse(
 
     def choose(st: DataFrame, h: int):
         pick = choose_next(st, h, collect)
-        if not keys and not pick:
+        empty = (not pick) if isinstance(pick, list) else (not keys and pick.isEmpty())
+        if not keys and empty:
             raise ValueError(f"k ({k}) cannot be greater than the number of points ({h})")
         return pick
 
@@ -161,7 +173,7 @@ def _farthest_choice(keys: list[str]):
             top = cand.orderBy(F.col("m").desc(), F.col("id").asc()).limit(1)
             return top.select(F.col("id").alias("cid"), F.col("v").alias("cv")).collect()
         best = F.max_by(F.struct("id", "v"), F.struct(F.col("m"), -F.col("id")))
-        agg = cand.groupBy(*keys).agg(best.alias("c"))
+        agg = cand.groupBy(*keys).agg(best.alias("c")).where(F.col("c").isNotNull())
         return _fetch(agg.select(*keys, F.col("c.id").alias("cid"), F.col("c.v").alias("cv")), collect)
 
     return choose
@@ -183,7 +195,8 @@ def kcenter(
     checks.check_k(k)
     if k == 0:
         return _empty(points, [])
-    return _traverse(points.select("id", "v"), k, [], True, first_id, seed, _farthest_choice([]), [], checkpoint_every)
+    collect = k * _dim_hint(points) <= MAX_COLLECTED_PICK_VALUES
+    return _traverse(points.select("id", "v"), k, [], collect, first_id, seed, _farthest_choice([]), [], checkpoint_every)
 
 
 def kcenter_blocks(
@@ -215,7 +228,7 @@ def kcenter_blocks(
     )
     if on_small_block == "error" and sizes["smallest"] is not None and sizes["smallest"] < k:
         raise ValueError(f"a block has {sizes['smallest']} points, fewer than k = {k}")
-    collect = (sizes["blocks"] or 0) * max(1, sizes["dim"] or 1) <= MAX_COLLECTED_PICK_VALUES
+    collect = (sizes["blocks"] or 0) * k * max(1, sizes["dim"] or 1) <= MAX_COLLECTED_PICK_VALUES
     out = _traverse(pts, k, ["block"], collect, None, seed, _farthest_choice(["block"]), [], checkpoint_every)
     return out.withColumnRenamed("block", block_col) if block_col != "block" else out
 
@@ -253,7 +266,8 @@ def kmeanspp(
         return _fetch(top.select(F.col("id").alias("cid"), F.col("v").alias("cv")), collect)
 
     first_seed = None if first_id is not None else seed
-    return _traverse(pts, k, [], True, first_id, first_seed, choose, ["w"], checkpoint_every)
+    collect = k * _dim_hint(points) <= MAX_COLLECTED_PICK_VALUES
+    return _traverse(pts, k, [], collect, first_id, first_seed, choose, ["w"], checkpoint_every)
 
 
 def max_matching(points: DataFrame, k: int, checkpoint_every: int = DEFAULT_CHECKPOINT_EVERY) -> DataFrame:

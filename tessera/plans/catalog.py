@@ -127,7 +127,7 @@ def q_txt_word_count_line_folded(spark, sf_dir):
 
 
 def q_txt_word_count_salted(spark, sf_dir):
-    n_lines = wordcount.line_count(load_table(spark, sf_dir, "documents"))
+    n_lines = wordcount.line_count(load_table(spark, sf_dir, "documents", spread=True))
     return wordcount.word_count_salted(_lines(spark, sf_dir), seed=SALT_SEED, n_lines=n_lines)
 
 

@@ -156,3 +156,15 @@ def test_invariant_to_shuffle_partitions(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert a == b
+
+
+def test_global_distributed_picks(spark, monkeypatch):
+    rng = np.random.default_rng(17)
+    P = _pts(spark, rng.normal(size=(40, 3)))
+    a = [r["id"] for r in S.kcenter(P, 5).orderBy("pos").collect()]
+    b = [r["id"] for r in S.kmeanspp(P, 4, seed=3).orderBy("pos").collect()]
+    monkeypatch.setattr(S, "MAX_COLLECTED_PICK_VALUES", 0)
+    assert [r["id"] for r in S.kcenter(P, 5, checkpoint_every=2).orderBy("pos").collect()] == a
+    assert [r["id"] for r in S.kmeanspp(P, 4, seed=3).orderBy("pos").collect()] == b
+    with pytest.raises(ValueError):
+        S.kcenter(P.where("id < 3"), 4)
