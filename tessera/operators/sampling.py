@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from tessera.functions.rand import u01
 from tessera.operators import vectors
 
+# Fixed values (must equal the reference's for the same results):
+# random weights are integers in [0, WEIGHT_RANGE).
 WEIGHT_RANGE = 1000
 
 
@@ -74,11 +76,13 @@ def sampling_mass(
 ) -> DataFrame:
     """``id, mass`` for every point that is not a center (by id).
 
-    The centers (a bounded set) are excluded by a broadcast anti join on id.
+    The centers are excluded by an anti join on id, broadcast when measured small.
     """
     keep = (weight_col,) if weight_col else ()
-    nc = vectors.nearest_center(points, centers.select("id", "v"), keep=keep)
-    non_centers = nc.join(F.broadcast(centers.select("id")), on="id", how="left_anti")
+    n_centers, dim = vectors.set_size(centers)
+    nc = vectors.nearest_center(points, centers.select("id", "v"), n_centers, dim, keep=keep)
+    ids = vectors.broadcast_if_small(centers.select("id"), n_centers)
+    non_centers = nc.join(ids, on="id", how="left_anti")
     weight = F.col(weight_col).cast("double") if weight_col else F.lit(1.0)
     return non_centers.select("id", mass_expr(F.col("sqdist"), weight, exponent).alias("mass"))
 

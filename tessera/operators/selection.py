@@ -310,7 +310,8 @@ def max_matching(points: DataFrame, k: int, checkpoint_every: int = DEFAULT_CHEC
         remaining = pts.where(~F.col("id").isin(chosen))
         keep = state.where(~F.col("i").isin(gone) & ~F.col("j").isin(gone))
         stale = state.where(F.col("j").isin(gone) & ~F.col("i").isin(gone)).select(F.col("i").alias("id"))
-        redo = vectors.farthest_partner(pts.join(F.broadcast(stale), on="id", how="left_semi"), remaining, n - len(chosen), dim)
+        stale_ids = vectors.broadcast_if_small(stale, n)  # at most n ids
+        redo = vectors.farthest_partner(pts.join(stale_ids, on="id", how="left_semi"), remaining, n - len(chosen), dim)
         new_state = keep.unionByName(redo)
         if (r + 1) % max(1, checkpoint_every) == 0:
             new_state = checkpointed(new_state)
@@ -321,7 +322,7 @@ def max_matching(points: DataFrame, k: int, checkpoint_every: int = DEFAULT_CHEC
         chosen.append(int(rest.agg(F.min("id")).collect()[0][0]))
     drop(pts)  # the result reads the checkpointed points
     order = spark.createDataFrame([(p, i) for p, i in enumerate(chosen)], "pos int, id bigint")
-    return pts.join(F.broadcast(order), on="id").select("pos", "id", "v")
+    return pts.join(F.broadcast(order), on="id").select("pos", "id", "v")  # k < n rows
 
 
 def _all_in_order(pts: DataFrame) -> DataFrame:

@@ -27,6 +27,14 @@ from tessera.functions.vectors import l2dist, sqdist
 
 # Numbers (members x dimensions) per inline chunk.
 MAX_INLINE_VALUES = 1_000_000
+# A join side is broadcast only when measured at or under this many numbers.
+MAX_BROADCAST_VALUES = 8_000_000
+
+
+def broadcast_if_small(df: DataFrame, n_rows: int, width: int = 1) -> DataFrame:
+    """``broadcast(df)`` when ``n_rows * width`` (measured by the caller) is under
+    the bound; otherwise ``df`` as is, and Spark shuffles both sides."""
+    return F.broadcast(df) if n_rows * max(1, width) <= MAX_BROADCAST_VALUES else df
 
 
 def set_size(df: DataFrame) -> tuple[int, int]:
@@ -108,14 +116,20 @@ def kmeans_objective(points: DataFrame, centers: DataFrame, denominator: str = "
     return both.select(F.col(col).alias("objective"))
 
 
+def _center_vectors(centers: DataFrame) -> DataFrame:
+    n, dim = set_size(centers)
+    return broadcast_if_small(centers.select("v").distinct(), n, dim)
+
+
 def points_in(points: DataFrame, centers: DataFrame) -> DataFrame:
-    """Points whose vector equals (by value) the vector of some center."""
-    return points.join(F.broadcast(centers.select("v").distinct()), on="v", how="left_semi")
+    """Points whose vector equals (by value) the vector of some center.
+    A join on the vector value; the centers are broadcast when measured small."""
+    return points.join(_center_vectors(centers), on="v", how="left_semi")
 
 
 def points_not_in(points: DataFrame, centers: DataFrame) -> DataFrame:
     """Points whose vector equals no center's vector."""
-    return points.join(F.broadcast(centers.select("v").distinct()), on="v", how="left_anti")
+    return points.join(_center_vectors(centers), on="v", how="left_anti")
 
 
 def farthest_partner(left: DataFrame, cands: DataFrame, n: int | None = None, dim: int | None = None) -> DataFrame:
