@@ -2,7 +2,7 @@
 
 from tessera.sources.tables import lines_from, load_table, numbers_from, numbers_from_values, points_from
 from tessera.sources.text import read_lines, read_numbers, read_points
-from tessera.sources.sinks import write_numbers, write_points
+from tessera.sources.sinks import write_numbers, write_points, write_scored_points
 
 __all__ = [
     "load_table",
@@ -15,4 +15,5 @@ __all__ = [
     "read_points",
     "write_numbers",
     "write_points",
+    "write_scored_points",
 ]

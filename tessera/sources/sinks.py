@@ -30,3 +30,15 @@ def write_points(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "er
 def write_numbers(df: DataFrame, path: str, col: str = "value", mode: str = "errorifexists") -> None:
     """Write a number column as text, one number per line (``read_numbers`` reads it back)."""
     df.select(F.col(col).cast("string").alias("value")).write.mode(mode).text(path)
+
+
+def write_scored_points(points: DataFrame, score: DataFrame, path: str, fmt: str = "text", mode: str = "errorifexists") -> None:
+    """Write a selection and its score together: ``path/score`` (one row, e.g.
+    ``k, avg_dist``) and ``path/points`` (as :func:`write_points`)."""
+    base = path.rstrip("/")
+    if fmt == "text":
+        line = F.concat_ws(",", *[F.col(c).cast("string") for c in score.columns]).alias("value")
+        score.select(line).coalesce(1).write.mode(mode).text(f"{base}/score")
+    else:
+        getattr(score.coalesce(1).write.mode(mode), fmt)(f"{base}/score")
+    write_points(points, f"{base}/points", fmt=fmt, mode=mode)

@@ -56,3 +56,21 @@ def test_points_parquet_json(spark, scratch):
         write_points(pts, path, fmt=fmt)
         back = getattr(spark.read, fmt)(path)
         assert back.count() == 1
+
+
+def test_write_scored_points(spark, scratch):
+    import numpy as np
+
+    from tessera.operators import selection as S
+    from tessera.sources.sinks import write_scored_points
+
+    rng = np.random.default_rng(30)
+    pts = spark.createDataFrame([(i, [float(x) for x in rng.normal(size=3)]) for i in range(30)], "id long, v array<double>")
+    result, score = S.diversify_and_score(pts, 4, 2)
+    path = os.path.join(scratch, "div")
+    write_scored_points(result.select("id", "v"), score, path)
+    line = spark.read.text(f"{path}/score").collect()[0]["value"]
+    k, avg = line.split(",")
+    assert int(k) == 4 and abs(float(avg) - score.collect()[0]["avg_dist"]) < 1e-12
+    back = read_points(spark, f"{path}/points", with_id=True)
+    assert sorted(r["id"] for r in back.collect()) == sorted(r["id"] for r in result.collect())
