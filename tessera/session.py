@@ -9,6 +9,34 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# Settings for a large cluster (~100 TB inputs, ~1000 executors).  Shuffles
+# start wide and AQE coalesces them to ~256 MB partitions, splits skewed join
+# partitions, and file splits stay at 256 MB so a scan task fits in executor
+# memory.  Apply with ``builder.config(map=CLUSTER_CONF)`` or spark-defaults;
+# ``spark.checkpoint.dir`` must name a folder every executor can reach.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
+
+
+def cluster_session(app: str = "tessera") -> SparkSession:
+    """A session for a cluster: ``CLUSTER_CONF`` on top of what the launcher set."""
+    builder = SparkSession.builder.appName(app)
+    for key, value in CLUSTER_CONF.items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
+    ensure_checkpoint_dir(spark)
+    return spark
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "tessera") -> SparkSession:
     """A local session tuned for the fixture sizes (tests, bench)."""
     spark = (
