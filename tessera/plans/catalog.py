@@ -285,6 +285,11 @@ def q_sel_kcenter_blocks(spark, sf_dir):
     return _coreset(spark, sf_dir).select("block", "pos", "id")
 
 
+def q_sel_kcenter_blocks_mod(spark, sf_dir):
+    pts = sampling.with_block(_points(spark, sf_dir), BLOCKS, method="mod")
+    return selection.kcenter_blocks(pts, K_CENTER).select("block", "pos", "id")
+
+
 def q_sel_max_matching(spark, sf_dir):
     return selection.max_matching(_coreset(spark, sf_dir).select("id", "v"), K_DIV).select("pos", "id")
 
@@ -370,6 +375,9 @@ def _vec_sql() -> dict[str, str]:
     ppx, ppx_res = V.traverse("x", K_PP, "px_", first="seed", seed=SEED, kind="pp")
     out["sel_coreset_kmeans"] = V.with_(P, *k20, x, *ppx) + objective(ppx_res)
     out["sel_kcenter_blocks"] = V.with_(P, bp, *kb) + f"SELECT block, pos, id FROM {kb_res}"
+    bm = f"bm AS MATERIALIZED (SELECT id, v, CAST(id % {BLOCKS} AS INTEGER) AS block FROM p)"
+    kbm, kbm_res = V.traverse("bm", K_CENTER, "km_", blocked=True)
+    out["sel_kcenter_blocks_mod"] = V.with_(P, bm, *kbm) + f"SELECT block, pos, id FROM {kbm_res}"
     mm, mm_res = V.matching("cs", K_DIV, "mm_")
     out["sel_max_matching"] = V.with_(*core, *mm) + f"SELECT pos, id FROM {mm_res}"
     out["sel_diversify"] = out["sel_max_matching"]
@@ -419,6 +427,7 @@ _QUERIES: dict[str, QueryFn] = {
     "sel_seed_and_score": q_sel_seed_and_score,
     "sel_coreset_kmeans": q_sel_coreset_kmeans,
     "sel_kcenter_blocks": q_sel_kcenter_blocks,
+    "sel_kcenter_blocks_mod": q_sel_kcenter_blocks_mod,
     "sel_max_matching": q_sel_max_matching,
     "sel_max_matching_odd": q_sel_max_matching_odd,
     "sel_diversify": q_sel_diversify,

@@ -76,3 +76,14 @@ def test_line_count_matches_lines(spark):
     docs = load_table(spark, SF_SMALL, "documents")
     n = spark.range(1).select(W.line_count(docs)).collect()[0][0]
     assert n == lines_from(docs).count()
+
+
+def test_counts_do_not_depend_on_partitioning(spark):
+    from tests.conftest import SF_SMALL
+    from tessera.sources.tables import lines_from, load_table
+
+    docs = load_table(spark, SF_SMALL, "documents")
+    a = lines_from(docs)
+    b = lines_from(docs.repartition(7))
+    for fn in (W.word_count, W.word_count_line_folded, W.word_count_salted):
+        assert sorted(map(tuple, fn(a).collect())) == sorted(map(tuple, fn(b).collect()))
