@@ -172,8 +172,16 @@ def _farthest_choice(keys: list[str]):
             # One group: a top-1 that every task computes for its own rows.
             top = cand.orderBy(F.col("m").desc(), F.col("id").asc()).limit(1)
             return top.select(F.col("id").alias("cid"), F.col("v").alias("cv")).collect()
-        best = F.max_by(F.struct("id", "v"), F.struct(F.col("m"), -F.col("id")))
-        agg = cand.groupBy(*keys).agg(best.alias("c")).where(F.col("c").isNotNull())
+        if not keys:
+            best = F.max_by(F.struct("id", "v"), F.struct(F.col("m"), -F.col("id")))
+            agg = cand.agg(best.alias("c")).where(F.col("c").isNotNull())
+            return _fetch(agg.select(F.col("c.id").alias("cid"), F.col("c.v").alias("cv")), collect)
+        # Per block: the largest distance by a hash aggregate (fixed-width, no
+        # sort), then among the rows at that distance the smallest id.  Only
+        # tied rows carry their vectors into an aggregate.
+        top_m = cand.groupBy(*keys).agg(F.max("m").alias("_mm"))
+        at_top = cand.join(F.broadcast(top_m) if collect else top_m, on=keys).where(F.col("m") == F.col("_mm"))
+        agg = at_top.groupBy(*keys).agg(F.min_by(F.struct("id", "v"), F.col("id")).alias("c"))
         return _fetch(agg.select(*keys, F.col("c.id").alias("cid"), F.col("c.v").alias("cv")), collect)
 
     return choose

@@ -168,3 +168,10 @@ def test_global_distributed_picks(spark, monkeypatch):
     assert [r["id"] for r in S.kmeanspp(P, 4, seed=3).orderBy("pos").collect()] == b
     with pytest.raises(ValueError):
         S.kcenter(P.where("id < 3"), 4)
+
+
+def test_kcenter_blocks_ties_go_to_smallest_id(spark):
+    P = _pts(spark, [[1.0, 1.0]] * 10, ids=[9, 3, 7, 1, 5, 8, 2, 6, 4, 0])
+    P = M.with_block(P, 2, method="mod")
+    got = sorted((r["block"], r["pos"], r["id"]) for r in S.kcenter_blocks(P, 3).collect())
+    assert got == [(0, 0, 0), (0, 1, 2), (0, 2, 4), (1, 0, 1), (1, 1, 3), (1, 2, 5)]
