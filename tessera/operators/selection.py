@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.rand import u01
-from tessera.functions.vectors import l2dist, sqdist
+from tessera.functions.vectors import sqdist
 from tessera.operators import checks, vectors
 from tessera.operators.iterate import DEFAULT_CHECKPOINT_EVERY, checkpointed, drop, greedy_rounds, hold
 from tessera.operators.sampling import mass_expr, with_block
@@ -35,9 +35,6 @@ from tessera.operators.sampling import mass_expr, with_block
 # stay distributed and are written to the checkpoint folder instead.
 MAX_COLLECTED_PICK_VALUES = 4_000_000
 
-_PICK_FIELDS = ["cid", "cv"]
-
-
 def _empty(points: DataFrame, keys: list[str]) -> DataFrame:
     cols = [F.col(k) for k in keys] + [F.lit(None).cast("int").alias("pos"), F.col("id"), F.col("v")]
     return points.select(*cols).limit(0)
@@ -56,8 +53,9 @@ def _attach(state: DataFrame, pick, keys: list[str]) -> DataFrame:
     ``pick`` is a list of rows (collected, one per group) or a checkpointed
     frame.  One group: the pick enters as literals, no join.  Several
     groups: a join on the block key; collected picks are a local relation
-    that is broadcast (its size was checked), a checkpointed frame is joined
-    by a shuffle, which is only used when blocks are many and so small.
+    that is broadcast (its size was checked); a checkpointed frame (used
+    when blocks are too many to collect) is joined by a shuffle, with AQE
+    splitting a skewed block.
     """
     spark = state.sparkSession
     if isinstance(pick, list):
