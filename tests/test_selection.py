@@ -175,3 +175,20 @@ def test_kcenter_blocks_ties_go_to_smallest_id(spark):
     P = M.with_block(P, 2, method="mod")
     got = sorted((r["block"], r["pos"], r["id"]) for r in S.kcenter_blocks(P, 3).collect())
     assert got == [(0, 0, 0), (0, 1, 2), (0, 2, 4), (1, 0, 1), (1, 1, 3), (1, 2, 5)]
+
+
+def test_matching_half_of_optimum_dispersion(spark):
+    import itertools
+
+    rng = np.random.default_rng(18)
+    for trial in range(2):
+        X = rng.normal(size=(9, 2))
+        P = _pts(spark, X)
+        k = 4
+
+        def spread(idx):
+            return sum(np.sqrt(brute.sqd(X[a], X[b])) for a, b in itertools.combinations(idx, 2))
+
+        got = [r["id"] for r in S.max_matching(P, k).collect()]
+        best = max(spread(c) for c in itertools.combinations(range(9), k))
+        assert spread(got) >= 0.5 * best - 1e-12
