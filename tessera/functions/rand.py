@@ -29,6 +29,13 @@ def u01(seed: int, round_: int | str | Column, *keys: Column | str) -> Column:
     return F.conv(h, 16, 10).cast("bigint") / F.lit(TWO_POW_52)
 
 
+def u01_spark_sql(seed: int, round_: int | str, *cols: str) -> str:
+    """:func:`u01` as Spark SQL text over column names (one call into the JVM)."""
+    keys = ", ".join(f"CAST(`{c}` AS STRING)" for c in cols)
+    h = f"substring(md5(concat_ws(':', '{int(seed)}', '{round_}', {keys})), 1, 13)"
+    return f"(CAST(conv({h}, 16, 10) AS BIGINT) / {TWO_POW_52!r}D)"
+
+
 def u01_sql(seed: int, round_: int | str, *key_sql: str) -> str:
     """The same number as DuckDB SQL text (used by the oracle queries)."""
     parts = " || ':' || ".join([f"'{int(seed)}'", f"'{round_}'"] + [f"CAST({k} AS VARCHAR)" for k in key_sql])

@@ -20,8 +20,20 @@ def to_vector(c: Column | str) -> Column:
     return _c(c).cast("array<double>")
 
 
+def sqdist_sql(a: str, b: str) -> str:
+    """:func:`sqdist` as Spark SQL text over two column names."""
+    return f"aggregate(zip_with(`{a}`, `{b}`, (x, y) -> (x - y) * (x - y)), 0D, (acc, d) -> acc + d)"
+
+
 def sqdist(a: Column | str, b: Column | str) -> Column:
-    """Squared Euclidean distance of two equally long vectors."""
+    """Squared Euclidean distance of two equally long vectors.
+
+    With two column names the expression is built from SQL text (one call
+    into the JVM); with Column arguments (e.g. lambda variables) from the
+    function API.  Both are the same expression.
+    """
+    if isinstance(a, str) and isinstance(b, str):
+        return F.expr(sqdist_sql(a, b))
     diffs = F.zip_with(_c(a), _c(b), lambda x, y: (x - y) * (x - y))
     return F.aggregate(diffs, F.lit(0.0), lambda acc, d: acc + d)
 

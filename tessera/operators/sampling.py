@@ -68,6 +68,17 @@ def mass_expr(m: F.Column, w: F.Column, exponent: float) -> F.Column:
     return w * dpow
 
 
+def mass_sql(m: str, w: str, exponent: float) -> str:
+    """:func:`mass_expr` as Spark SQL text over column names."""
+    if exponent == 2:
+        dpow = f"`{m}`"
+    elif exponent == 4:
+        dpow = f"(`{m}` * `{m}`)"
+    else:
+        dpow = f"pow(`{m}`, {exponent / 2.0!r}D)"
+    return f"(`{w}` * {dpow})"
+
+
 def sampling_mass(
     points: DataFrame,
     centers: DataFrame,

@@ -24,11 +24,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.rand import u01
-from tessera.functions.vectors import sqdist
+from tessera.functions.rand import u01, u01_spark_sql
+from tessera.functions.vectors import sqdist, sqdist_sql
 from tessera.operators import checks, vectors
 from tessera.operators.iterate import DEFAULT_CHECKPOINT_EVERY, checkpointed, drop, greedy_rounds, hold
-from tessera.operators.sampling import mass_expr, with_block
+from tessera.operators.sampling import mass_sql, with_block
 
 # Picks (one row per block per round) come back to the driver while all of
 # them together, blocks * k * dim numbers, stay under this; beyond it they
@@ -40,11 +40,21 @@ def _empty(points: DataFrame, keys: list[str]) -> DataFrame:
     return points.select(*cols).limit(0)
 
 
-def _vec_lit(v) -> F.Column:
-    """An ``array<double>`` literal, built as one SQL expression (one JVM call).
-    ``repr`` of a Python float round-trips exactly."""
-    vals = ", ".join(repr(float(x)) + "D" for x in v)
-    return F.expr(f"CAST(array({vals}) AS array<double>)") if vals else F.array().cast("array<double>")
+def _vec_sql(v) -> str:
+    """An ``array<double>`` literal as SQL text (``repr`` of a float round-trips exactly)."""
+    if v is None:
+        return "CAST(NULL AS array<double>)"
+    vals = ", ".join(_num_sql(x) for x in v)
+    return f"CAST(array({vals}) AS array<double>)"
+
+
+def _num_sql(x: float) -> str:
+    x = float(x)
+    if x != x:
+        return "CAST('NaN' AS DOUBLE)"
+    if x in (float("inf"), float("-inf")):
+        return f"CAST('{'-' if x < 0 else ''}Infinity' AS DOUBLE)"
+    return repr(x) + "D"
 
 
 def _attach(state: DataFrame, pick, keys: list[str]) -> DataFrame:
@@ -61,9 +71,8 @@ def _attach(state: DataFrame, pick, keys: list[str]) -> DataFrame:
     if isinstance(pick, list):
         if not keys:
             row = pick[0] if pick else None
-            cid = F.lit(row["cid"] if row else None).cast("bigint")
-            cv = _vec_lit(row["cv"]) if row else F.lit(None).cast("array<double>")
-            return state.withColumn("cid", cid).withColumn("cv", cv)
+            cid = str(int(row["cid"])) if row else "NULL"
+            return state.selectExpr("*", f"CAST({cid} AS BIGINT) AS cid", f"{_vec_sql(row['cv'] if row else None)} AS cv")
         schema = ", ".join(f"{k} int" for k in keys) + ", cid bigint, cv array<double>"
         small = spark.createDataFrame([tuple(r[k] for k in keys) + (r["cid"], r["cv"]) for r in pick], schema)
         return state.join(F.broadcast(small), on=keys, how="left")
@@ -140,14 +149,14 @@ def _traverse(
         return pick
 
     def update(st: DataFrame, pick, h: int) -> DataFrame:
+        # Built as SQL text: a round then costs a few calls into the JVM.
         s = _attach(st, pick, keys)
-        open_ = F.col("pos").isNull()
         if h == k - 1:
-            m = F.col("m")
+            m = "m"
         else:
-            m = F.when(open_ & F.col("cid").isNotNull(), F.least("m", sqdist("v", "cv"))).otherwise(F.col("m"))
-        pos = F.when(open_ & (F.col("id") == F.col("cid")), F.lit(h)).otherwise(F.col("pos"))
-        return s.select(*keys, "id", "v", *extra_cols, m.alias("m"), pos.alias("pos"))
+            m = f"CASE WHEN pos IS NULL AND cid IS NOT NULL THEN least(m, {sqdist_sql('v', 'cv')}) ELSE m END"
+        pos = f"CASE WHEN pos IS NULL AND id = cid THEN {h} ELSE pos END"
+        return s.selectExpr(*keys, "id", "v", *extra_cols, f"{m} AS m", f"{pos} AS pos")
 
     if collect:
         # Every pick is already on the driver: the result is built from them
@@ -264,12 +273,14 @@ def kmeanspp(
     pts = points.select("id", "v", (F.col(weight_col).cast("double") if weight_col else F.lit(1.0)).alias("w"))
 
     def choose(state: DataFrame, h: int, collect: bool):
-        cand = state.where(F.col("pos").isNull())
-        mass = mass_expr(F.col("m"), F.col("w"), exponent)
-        race = F.when(mass > 0, -F.log(F.lit(1.0) - u01(seed, h, "id")) / mass)
+        cand = state.where("pos IS NULL")
+        mass = mass_sql("m", "w", exponent)
+        race = f"CASE WHEN {mass} > 0 THEN -ln(1D - {u01_spark_sql(seed, h, 'id')}) / ({mass}) END"
         # Positive masses race; if none is left, the smallest remaining id.
-        top = cand.orderBy(F.when(mass > 0, 0).otherwise(1), race.asc_nulls_last(), F.col("id")).limit(1)
-        return _fetch(top.select(F.col("id").alias("cid"), F.col("v").alias("cv")), collect)
+        top = cand.orderBy(
+            F.expr(f"CASE WHEN {mass} > 0 THEN 0 ELSE 1 END"), F.expr(race).asc_nulls_last(), F.col("id")
+        ).limit(1)
+        return _fetch(top.selectExpr("id AS cid", "v AS cv"), collect)
 
     first_seed = None if first_id is not None else seed
     collect = k * _dim_hint(points) <= MAX_COLLECTED_PICK_VALUES
