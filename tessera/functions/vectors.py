@@ -22,7 +22,12 @@ def to_vector(c: Column | str) -> Column:
 
 def sqdist_sql(a: str, b: str) -> str:
     """:func:`sqdist` as Spark SQL text over two column names."""
-    return f"aggregate(zip_with(`{a}`, `{b}`, (x, y) -> (x - y) * (x - y)), 0D, (acc, d) -> acc + d)"
+    return sqdist_sql_expr(f"`{a}`", f"`{b}`")
+
+
+def sqdist_sql_expr(a: str, b: str) -> str:
+    """:func:`sqdist` as Spark SQL text over two SQL expressions (e.g. a lambda field)."""
+    return f"aggregate(zip_with({a}, {b}, (x_, y_) -> (x_ - y_) * (x_ - y_)), 0D, (acc_, d_) -> acc_ + d_)"
 
 
 def sqdist(a: Column | str, b: Column | str) -> Column:

@@ -23,7 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.vectors import l2dist, sqdist
+from tessera.functions.vectors import sqdist_sql_expr
 
 # Numbers (members x dimensions) per inline chunk.
 MAX_INLINE_VALUES = 1_000_000
@@ -63,8 +63,15 @@ def _inline(df: DataFrame, members: DataFrame, n: int, dim: int, prefix: str) ->
     return df.select("*", *cols), names
 
 
-def _combine(exprs: list[Column], pick) -> Column:
-    return exprs[0] if len(exprs) == 1 else pick(*exprs)
+def _combine(exprs: list[str], pick: str) -> str:
+    """One SQL expression from per-chunk expressions (``least`` / ``greatest``
+    skip the NULL of an empty chunk)."""
+    return exprs[0] if len(exprs) == 1 else f"{pick}({', '.join(exprs)})"
+
+
+# The folds below are built as SQL text (one call into the JVM each); the
+# lambda variable ``q_`` is one member of the inlined set.
+_D2 = sqdist_sql_expr("v", "q_.v")
 
 
 def nearest_center(
@@ -81,12 +88,9 @@ def nearest_center(
     if n_centers is None or dim is None:
         n_centers, dim = set_size(centers)
     with_cs, names = _inline(points.select("id", "v", *keep), centers.select("id", "v"), n_centers, dim, "_cs")
-    per_chunk = [
-        F.array_min(F.transform(F.col(c), lambda m: F.struct(sqdist(F.col("v"), m["v"]).alias("d"), m["id"].alias("cid"))))
-        for c in names
-    ]
-    # ``least`` skips the NULL of an empty chunk; structs compare by d, then id.
-    best = with_cs.select("id", *keep, _combine(per_chunk, F.least).alias("_b"))
+    per_chunk = [f"array_min(transform(`{c}`, q_ -> named_struct('d', {_D2}, 'cid', q_.id)))" for c in names]
+    # structs compare by d, then id: the nearest center, smallest id on ties
+    best = with_cs.selectExpr("id", *keep, f"{_combine(per_chunk, 'least')} AS _b")
     return best.select("id", F.col("_b.cid").alias("center_id"), F.col("_b.d").alias("sqdist"), *keep)
 
 
@@ -139,18 +143,12 @@ def farthest_partner(left: DataFrame, cands: DataFrame, n: int | None = None, di
     if n is None or dim is None:
         n, dim = set_size(cands)
     with_c, names = _inline(left.select("id", "v"), cands.select("id", "v"), n, dim, "_cd")
-    me = F.col("id")
     per_chunk = [
-        F.array_max(
-            F.transform(
-                F.filter(F.col(c), lambda m: m["id"] > me),
-                lambda m: F.struct(l2dist(F.col("v"), m["v"]).alias("d"), (-m["id"]).alias("nj")),
-            )
-        )
+        f"array_max(transform(filter(`{c}`, q_ -> q_.id > id), q_ -> named_struct('d', sqrt({_D2}), 'nj', -q_.id)))"
         for c in names
     ]
-    best = with_c.select(me.alias("i"), _combine(per_chunk, F.greatest).alias("_b")).where(F.col("_b").isNotNull())
-    return best.select("i", (-F.col("_b.nj")).alias("j"), F.col("_b.d").alias("d"))
+    best = with_c.selectExpr("id AS i", f"{_combine(per_chunk, 'greatest')} AS _b").where("_b IS NOT NULL")
+    return best.selectExpr("i", "-_b.nj AS j", "_b.d AS d")
 
 
 def pairwise_distances(points: DataFrame) -> DataFrame:
@@ -161,20 +159,11 @@ def pairwise_distances(points: DataFrame) -> DataFrame:
     """
     n, dim = set_size(points)
     with_p, names = _inline(points.select("id", "v"), points.select("id", "v"), n, dim, "_pp")
-    me = F.col("id")
-    pairs = F.flatten(
-        F.array(
-            *[
-                F.transform(
-                    F.filter(F.col(c), lambda m: m["id"] > me),
-                    lambda m: F.struct(m["id"].alias("j"), l2dist(F.col("v"), m["v"]).alias("dist")),
-                )
-                for c in names
-            ]
-        )
-    )
-    out = with_p.select(me.alias("i"), F.explode(pairs).alias("_p"))
-    return out.select("i", F.col("_p.j").alias("j"), F.col("_p.dist").alias("dist"))
+    per_chunk = [
+        f"transform(filter(`{c}`, q_ -> q_.id > id), q_ -> named_struct('j', q_.id, 'dist', sqrt({_D2})))" for c in names
+    ]
+    out = with_p.selectExpr("id AS i", f"explode(flatten(array({', '.join(per_chunk)}))) AS _p")
+    return out.selectExpr("i", "_p.j AS j", "_p.dist AS dist")
 
 
 def farthest_pair(points: DataFrame) -> DataFrame:
@@ -196,12 +185,8 @@ def mean_pairwise_distance(points: DataFrame) -> DataFrame:
     """
     n, dim = set_size(points)
     with_p, names = _inline(points.select("id", "v"), points.select("id", "v"), n, dim, "_pm")
-    me = F.col("id")
-    sums = [
-        F.aggregate(F.filter(F.col(c), lambda m: m["id"] > me), F.lit(0.0), lambda acc, m: acc + l2dist(F.col("v"), m["v"]))
-        for c in names
-    ]
-    total = with_p.select(sum(sums[1:], sums[0]).alias("s")).agg(F.sum("s").alias("s"))
+    sums = [f"aggregate(filter(`{c}`, q_ -> q_.id > id), 0D, (s_, q_) -> s_ + sqrt({_D2}))" for c in names]
+    total = with_p.selectExpr(f"{' + '.join(sums)} AS s").agg(F.sum("s").alias("s"))
     pairs = n * (n - 1) / 2.0
     value = F.lit(0.0) if n == 0 else (F.lit(math.nan) if n == 1 else F.col("s") / F.lit(pairs))
     return total.select(value.alias("avg_dist"))
