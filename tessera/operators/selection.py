@@ -82,16 +82,24 @@ def _attach(state: DataFrame, pick, keys: list[str]) -> DataFrame:
     return state.join(pick, on=keys, how="left")
 
 
-def _first_pick(points: DataFrame, keys: list[str], first_id: int | None, seed: int | None) -> DataFrame:
+def _first_pick(
+    points: DataFrame, keys: list[str], first_id: int | None, seed: int | None, small: bool = True
+) -> DataFrame:
+    """The first center of every group: ``first_id``, else the smallest
+    ``u01(seed, 0, id)`` (ties by id) when seeded, else the smallest id."""
     src = points
     if first_id is not None:
         src = points.where(F.col("id") == F.lit(int(first_id)))
-        order = F.col("id")
-    elif seed is not None:
-        order = F.struct(u01(seed, 0, "id").alias("u"), F.col("id"))
+    key = u01(seed, 0, "id") if (seed is not None and first_id is None) else F.col("id")
+    if keys:
+        # Smallest key per block by a hash aggregate, then the smallest id
+        # among the rows at that key: no sort of the points.
+        tagged = src.select(*keys, "id", "v", key.alias("_k"))
+        low = tagged.groupBy(*keys).agg(F.min("_k").alias("_mk"))
+        tagged = tagged.join(F.broadcast(low) if small else low, on=keys).where(F.col("_k") == F.col("_mk"))
+        agg = tagged.groupBy(*keys).agg(F.min_by(F.struct("id", "v"), F.col("id")).alias("c"))
     else:
-        order = F.col("id")
-    agg = src.groupBy(*keys).agg(F.min_by(F.struct("id", "v"), order).alias("c"))
+        agg = src.agg(F.min_by(F.struct("id", "v"), F.struct(key, F.col("id"))).alias("c"))
     return agg.where(F.col("c").isNotNull()).select(*keys, F.col("c.id").alias("cid"), F.col("c.v").alias("cv"))
 
 
@@ -124,7 +132,7 @@ def _traverse(
     """
     spark = points.sparkSession
     base = points.select(*keys, "id", "v", *extra_cols)
-    first = _fetch(_first_pick(base, keys, first_id, seed), collect)
+    first = _fetch(_first_pick(base, keys, first_id, seed, small=collect), collect)
     if not keys and not collect and first.isEmpty():
         first = []
     if not keys and isinstance(first, list) and not first:
