@@ -7,7 +7,7 @@ right over the dimensions; the DuckDB oracle sums in the same order.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -51,3 +51,15 @@ def l2dist(a: Column | str, b: Column | str) -> Column:
 def norm2(a: Column | str) -> Column:
     """Squared norm."""
     return F.aggregate(_c(a), F.lit(0.0), lambda acc, x: acc + x * x)
+
+
+def require_finite(df: DataFrame, col: str = "v") -> DataFrame:
+    """Fail the job on a vector with a NaN or infinite coordinate (or a NULL vector).
+
+    A NaN distance would win every farthest-point comparison in Spark's
+    ordering, so such points are refused at the source.  The check is a
+    filter that keeps every row and raises on a bad one; it runs inside the
+    scan's task, no extra pass.
+    """
+    ok = F.forall(F.col(col), lambda x: ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    return df.where(ok | F.raise_error(F.lit(f"non-finite or missing vector in column {col}")))

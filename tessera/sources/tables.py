@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.text import split_lines
-from tessera.functions.vectors import to_vector
+from tessera.functions.vectors import require_finite, to_vector
 
 
 def load_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
@@ -63,6 +63,10 @@ def lines_from(df: DataFrame, text_col: str = "text", doc_col: str = "doc_id") -
     )
 
 
-def points_from(df: DataFrame, vec_col: str = "embedding", id_col: str = "vec_id") -> DataFrame:
-    """A point set: the id and the vector cast element by element to double."""
-    return df.select(F.col(id_col).cast("bigint").alias("id"), to_vector(vec_col).alias("v"))
+def points_from(
+    df: DataFrame, vec_col: str = "embedding", id_col: str = "vec_id", check_finite: bool = True
+) -> DataFrame:
+    """A point set: the id and the vector cast element by element to double.
+    Non-finite coordinates fail the job (see :func:`require_finite`)."""
+    pts = df.select(F.col(id_col).cast("bigint").alias("id"), to_vector(vec_col).alias("v"))
+    return require_finite(pts) if check_finite else pts

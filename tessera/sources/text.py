@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions.vectors import require_finite
+
 
 def read_numbers(spark: SparkSession, path: str, mode: str = "strict") -> DataFrame:
     """White-space separated doubles, any number per line.
@@ -39,7 +41,9 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_points(spark: SparkSession, path: str, sep: str = r"[,\s]+", with_id: bool = False) -> DataFrame:
+def read_points(
+    spark: SparkSession, path: str, sep: str = r"[,\s]+", with_id: bool = False, check_finite: bool = True
+) -> DataFrame:
     """One vector per text line, coordinates separated by ``sep`` (a regex).
 
     With ``with_id=True`` the first field of each line is the point id;
@@ -48,11 +52,13 @@ def read_points(spark: SparkSession, path: str, sep: str = r"[,\s]+", with_id: b
     raw = spark.read.text(path).select(F.trim(F.col("value")).alias("line")).where(F.col("line") != "")
     fields = F.split(F.col("line"), sep)
     if with_id:
-        return raw.select(
+        pts = raw.select(
             F.element_at(fields, 1).cast("bigint").alias("id"),
             F.transform(F.slice(fields, 2, F.size(fields) - 1), lambda x: x.cast("double")).alias("v"),
         )
-    return raw.select(
-        F.monotonically_increasing_id().alias("id"),
-        F.transform(fields, lambda x: x.cast("double")).alias("v"),
-    )
+    else:
+        pts = raw.select(
+            F.monotonically_increasing_id().alias("id"),
+            F.transform(fields, lambda x: x.cast("double")).alias("v"),
+        )
+    return require_finite(pts) if check_finite else pts

@@ -74,3 +74,17 @@ def test_write_scored_points(spark, scratch):
     assert int(k) == 4 and abs(float(avg) - score.collect()[0]["avg_dist"]) < 1e-12
     back = read_points(spark, f"{path}/points", with_id=True)
     assert sorted(r["id"] for r in back.collect()) == sorted(r["id"] for r in result.collect())
+
+
+def test_non_finite_points_refused(spark, scratch):
+    from tessera.sources.tables import points_from
+
+    df = spark.createDataFrame([(1, [1.0, 2.0]), (2, [float("nan"), 0.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="non-finite"):
+        points_from(df).collect()
+    assert points_from(df, check_finite=False).count() == 2
+    p = os.path.join(scratch, "inf.txt")
+    with open(p, "w") as f:
+        f.write("1 2\nInfinity 3\n")
+    with pytest.raises(Exception, match="non-finite"):
+        read_points(spark, p).collect()
