@@ -19,7 +19,7 @@ def check_blocks(blocks: int) -> int:
 
 def check_k1(k1: int, k: int) -> None:
     if k1 < k:
-        raise ValueError("k1 cannot be lower than k")
+        raise ValueError(f"the coreset needs at least k = {k} centers, k1 is {k1}")
 
 
 def check_exponent(exponent: float) -> float:

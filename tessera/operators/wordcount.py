@@ -24,15 +24,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.rand import u01
-from tessera.functions.text import run_ends, run_entries, sorted_folds, tokenize
+from tessera.functions.text import count_lines, run_ends, run_entries, sorted_folds, tokenize
 
 
 def line_count(documents: DataFrame, text_col: str = "text") -> Column:
-    """Number of lines of all documents as a scalar column: newlines + 1 per
-    text, counted without splitting the texts into rows."""
-    text = F.col(text_col)
-    per_doc = F.length(text) - F.length(F.translate(text, "\n", "")) + F.lit(1)
-    return documents.select(F.sum(per_doc).cast("bigint")).scalar()
+    """Number of lines of all documents as a scalar column, counted without
+    splitting the texts into rows."""
+    return documents.select(F.sum(count_lines(text_col)).cast("bigint")).scalar()
 
 
 def tokens(lines: DataFrame) -> DataFrame:
@@ -66,7 +64,9 @@ def word_count_salted(lines: DataFrame, seed: int = 0, n_lines: Column | int | N
     The salt of a folded (line, word) entry is ``floor(u01(seed, 0, doc_id,
     line_no, fold) * sqrt(N))`` with N the number of lines.  Round one folds
     case inside each (salt, fold) group, keeping the spelling of the latest
-    line by ``(doc_id, line_no)``; round two sums by spelling.
+    line by ``(doc_id, line_no)``; round two sums by spelling.  The spellings
+    of a group are first reduced by hash aggregates over fixed-width line
+    numbers, so no sort touches the tokens.
 
     ``n_lines`` may be given (a number or a scalar column) when N is cheaper
     to get than by counting ``lines``, e.g. :func:`line_count` on the
@@ -78,9 +78,11 @@ def word_count_salted(lines: DataFrame, seed: int = 0, n_lines: Column | int | N
         n_lines = F.lit(int(n_lines))
     per_line = line_folded(lines)
     salt = F.floor(u01(seed, 0, "doc_id", "line_no", "fold") * F.sqrt(n_lines.cast("double"))).cast("bigint")
-    round1 = per_line.groupBy(salt.alias("salt"), "fold").agg(
-        F.max_by("word", F.struct("doc_id", "line_no")).alias("word"), F.sum("n").alias("n")
+    line_key = F.col("doc_id").cast("decimal(38,0)") * F.lit(1 << 31) + F.col("line_no")
+    spellings = per_line.groupBy(salt.alias("salt"), "fold", "word").agg(
+        F.sum("n").alias("n"), F.max(line_key.cast("decimal(38,0)")).alias("last")
     )
+    round1 = spellings.groupBy("salt", "fold").agg(F.max_by("word", "last").alias("word"), F.sum("n").alias("n"))
     return round1.groupBy("word").agg(F.sum("n").alias("n"))
 
 

@@ -20,7 +20,7 @@ from tessera.plans import sql_vec as V
 from tessera.session import scratch_path
 from tessera.sources.sinks import write_numbers, write_points
 from tessera.sources.tables import lines_from, load_table, numbers_from, points_from
-from tessera.sources.text import read_numbers, read_points
+from tessera.sources.text import read_lines, read_numbers, read_points
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -42,7 +42,7 @@ def _r(c: str, alias: str | None = None):
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines_from(load_table(spark, sf_dir, "documents", spread=True))
+    return lines_from(load_table(spark, sf_dir, "documents"))
 
 
 # --------------------------------------------------------------------------- numbers
@@ -114,6 +114,12 @@ def q_txt_lines(spark, sf_dir):
     return _lines(spark, sf_dir)
 
 
+def q_txt_lines_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "lines-text")
+    _lines(spark, sf_dir).select("line").write.text(path)
+    return read_lines(spark, path).select("line")
+
+
 def q_txt_tokens(spark, sf_dir):
     return wordcount.tokens(_lines(spark, sf_dir))
 
@@ -127,7 +133,7 @@ def q_txt_word_count_line_folded(spark, sf_dir):
 
 
 def q_txt_word_count_salted(spark, sf_dir):
-    n_lines = wordcount.line_count(load_table(spark, sf_dir, "documents", spread=True))
+    n_lines = wordcount.line_count(load_table(spark, sf_dir, "documents"))
     return wordcount.word_count_salted(_lines(spark, sf_dir), seed=SALT_SEED, n_lines=n_lines)
 
 
@@ -143,6 +149,7 @@ _SALT = u01_sql(SALT_SEED, 0, "doc_id", "line_no", "fold")
 
 _TXT_SQL = {
     "txt_lines": T.with_(T.LINES) + "SELECT doc_id, line_no, line FROM lines",
+    "txt_lines_roundtrip": T.with_(T.LINES) + "SELECT line FROM lines",
     "txt_tokens": T.with_(T.LINES, T.TOKENS) + "SELECT doc_id, line_no, pos, word FROM toks",
     "txt_word_count": T.with_(T.LINES, T.TOKENS, T.WORD_COUNT) + "SELECT word, n FROM wc",
     "txt_word_count_line_folded": T.with_(T.LINES, T.TOKENS, T.PER_LINE)
@@ -400,6 +407,7 @@ _QUERIES: dict[str, QueryFn] = {
     "num_residue_sums_signed": q_num_residue_sums_signed,
     "num_population_variance": q_num_population_variance,
     "txt_lines": q_txt_lines,
+    "txt_lines_roundtrip": q_txt_lines_roundtrip,
     "txt_tokens": q_txt_tokens,
     "txt_word_count": q_txt_word_count,
     "txt_word_count_line_folded": q_txt_word_count_line_folded,

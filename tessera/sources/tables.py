@@ -17,27 +17,9 @@ from tessera.functions.text import split_lines
 from tessera.functions.vectors import require_finite, to_vector
 
 
-def load_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """Read one fixture table.  ``spread=True`` is for tables whose rows carry
-    heavy per-row work (whole documents): see :func:`spread_small_input`."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread_small_input(df) if spread else df
-
-
-def spread_small_input(df: DataFrame) -> DataFrame:
-    """Round-robin the rows over all task slots when the input has fewer files
-    than slots.
-
-    A parquet split is at least one row group, so a table stored as a few
-    single-row-group files is read by a few tasks however many cores there
-    are; for per-row heavy work (splitting and tokenising documents) that
-    leaves cores idle.  A large table (many files) is left alone: its scan is
-    already parallel and the extra shuffle would only cost.
-    """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= slots:
-        return df
-    return df.repartition(2 * slots)
+def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Read one table; the file source deals its row groups to tasks."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def numbers_from_values(spark: SparkSession, values, num_partitions: int | None = None) -> DataFrame:

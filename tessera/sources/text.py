@@ -30,8 +30,9 @@ def read_numbers(spark: SparkSession, path: str, mode: str = "strict") -> DataFr
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Each text line is one document line.
 
-    ``doc_id`` identifies the file (hash of its path) and ``line_no`` is a
-    per-file increasing number that is stable under task retry.
+    ``doc_id`` identifies the file (hash of its path).  ``line_no`` is unique
+    and increases along a file, but depends on how the file was split: a
+    dense numbering would bring all lines into one task.
     """
     raw = spark.read.text(path)
     return raw.select(

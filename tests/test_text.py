@@ -87,3 +87,52 @@ def test_counts_do_not_depend_on_partitioning(spark):
     b = lines_from(docs.repartition(7))
     for fn in (W.word_count, W.word_count_line_folded, W.word_count_salted):
         assert sorted(map(tuple, fn(a).collect())) == sorted(map(tuple, fn(b).collect()))
+
+LINE_TEXTS = ["", "\n", "a", "a\n", "a\nb", "a\r\nb\r\n", "a\rb", "a\n\nb\n\n", "\r\n\r\n", "x\n\r", " \n"]
+
+
+def test_lines_like_the_text_reader(spark, scratch):
+    import os
+
+    from tessera.sources.tables import lines_from
+
+    for i, text in enumerate(LINE_TEXTS):
+        path = os.path.join(scratch, f"f{i}.txt")
+        with open(path, "w", newline="") as f:
+            f.write(text)
+        want = [r["value"] for r in spark.read.text(path).collect()]
+        docs = spark.createDataFrame([(i, text)], "doc_id long, text string")
+        got = lines_from(docs)
+        assert [r["line"] for r in got.orderBy("line_no").collect()] == want, repr(text)
+        assert docs.select(W.line_count(docs)).first()[0] == len(want), repr(text)
+
+
+def test_fold_is_character_equality(spark):
+    from tessera.functions.text import fold_key
+
+    same = [("ſ", "s"), ("ı", "i"), ("İ", "i"), ("I", "i"), ("ΟΔΟΣ", "οδος"), ("ΟΔΟΣ", "οδοσ"), ("µ", "μ"), ("K", "k"), ("ẞ", "ß"), ("ϐ", "Β"), ("É", "é")]
+    apart = [("ß", "ss"), ("ß", "SS"), ("e", "é"), ("ŉ", "n")]
+    df = spark.createDataFrame(same + apart, "a string, b string")
+    got = [r[0] for r in df.select(fold_key("a") == fold_key("b")).collect()]
+    assert got == [True] * len(same) + [False] * len(apart)
+
+
+def test_folded_counts_on_odd_letters(spark):
+    lines = _lines(spark, [(1, 0, "ΟΔΟΣ οδος οδοσ"), (1, 1, "ſo So"), (2, 0, "µ μ İ ı i I")])
+    for count in (W.word_count_line_folded, W.word_count_salted):
+        assert {r["word"]: r["n"] for r in count(lines).collect()} == {"οδοσ": 3, "So": 2, "μ": 2, "I": 4}
+
+
+def test_salted_count_sorts_no_tokens(spark):
+    plan = W.word_count_salted(_lines(spark, [(1, 0, "a A b")]), n_lines=1)._jdf.queryExecution().executedPlan().toString()
+    steps = [line for line in plan.splitlines() if "Aggregate" in line or "Sort" in line or "Exchange" in line]
+    assert [x.split("(")[0].strip(" +-:*") for x in steps[-3:]] == ["HashAggregate", "Exchange hashpartitioning", "HashAggregate"], steps
+
+
+def test_text_scans_are_not_shuffled(spark):
+    from tests.conftest import SF_SMALL
+
+    from tessera.plans import catalog
+
+    for name in ("txt_lines", "txt_tokens"):
+        assert "Exchange" not in catalog.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
