@@ -5,9 +5,9 @@ Runs at ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on
 ``{"metric": "total_sec", "value": N, "unit": "sec", "queries": {...}, "sf": ...}``.
 
 Each query is run to completion through the ``noop`` sink (no collect to
-Python).  Every query runs ``$BENCH_REPEAT`` times (default 2) and the best
-time is reported: the first run of a query in a fresh JVM also pays for
-class loading and JIT compilation of its code paths.
+Python).  Every query runs ``$BENCH_REPEAT`` times (default 2); ``queries``
+has the best time, ``cold`` the first one (it also pays for class loading and
+JIT compilation of its code paths) and ``warm`` the last.
 """
 
 from __future__ import annotations
@@ -53,20 +53,23 @@ def main() -> None:
     run(qs["num_summary"](spark, sf_dir))  # warm-up
     repeat = max(1, int(os.environ.get("BENCH_REPEAT", "2")))
     times: dict[str, float] = {}
+    cold: dict[str, float] = {}
+    warm: dict[str, float] = {}
     for name in HEADLINE:
-        best = None
+        taken = []
         for _ in range(repeat):
             t0 = time.perf_counter()
             run(qs[name](spark, sf_dir))
-            dt = time.perf_counter() - t0
-            best = dt if best is None else min(best, dt)
-        times[name] = round(best, 3)
+            taken.append(round(time.perf_counter() - t0, 3))
+        times[name], cold[name], warm[name] = min(taken), taken[0], taken[-1]
     m = re.search(r"sf([0-9.]+)", sf_dir)
     out = {
         "metric": "total_sec",
         "value": round(sum(times.values()), 3),
         "unit": "sec",
         "queries": times,
+        "cold": cold,
+        "warm": warm,
         "sf": float(m.group(1)) if m else sf_dir,
     }
     spark.stop()

@@ -16,21 +16,13 @@ from pyspark.sql import functions as F
 TWO_POW_52 = float(2**52)
 
 
-def hash_key(seed: int, round_: int | str | Column, *keys: Column | str) -> Column:
-    """``"seed:round:key1:key2..."``; ``round_`` is a round number or a short label."""
-    parts = [F.lit(str(int(seed))), round_ if isinstance(round_, Column) else F.lit(str(round_))]
-    parts += [F.col(k).cast("string") if isinstance(k, str) else k.cast("string") for k in keys]
-    return F.concat_ws(":", *parts)
-
-
-def u01(seed: int, round_: int | str | Column, *keys: Column | str) -> Column:
-    """Uniform [0,1) double determined by seed, round and the key columns."""
-    h = F.substring(F.md5(hash_key(seed, round_, *keys)), 1, 13)
-    return F.conv(h, 16, 10).cast("bigint") / F.lit(TWO_POW_52)
+def u01(seed: int, round_: int | str, *cols: str) -> Column:
+    """Uniform [0,1) double determined by seed, round (a number or a short label) and the key columns."""
+    return F.expr(u01_spark_sql(seed, round_, *cols))
 
 
 def u01_spark_sql(seed: int, round_: int | str, *cols: str) -> str:
-    """:func:`u01` as Spark SQL text over column names (one call into the JVM)."""
+    """:func:`u01` as Spark SQL text over column names."""
     keys = ", ".join(f"CAST(`{c}` AS STRING)" for c in cols)
     h = f"substring(md5(concat_ws(':', '{int(seed)}', '{round_}', {keys})), 1, 13)"
     return f"(CAST(conv({h}, 16, 10) AS BIGINT) / {TWO_POW_52!r}D)"

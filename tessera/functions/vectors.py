@@ -20,30 +20,18 @@ def to_vector(c: Column | str) -> Column:
     return _c(c).cast("array<double>")
 
 
-def sqdist_sql(a: str, b: str) -> str:
-    """:func:`sqdist` as Spark SQL text over two column names."""
-    return sqdist_sql_expr(f"`{a}`", f"`{b}`")
-
-
 def sqdist_sql_expr(a: str, b: str) -> str:
-    """:func:`sqdist` as Spark SQL text over two SQL expressions (e.g. a lambda field)."""
+    """Squared distance as Spark SQL text over two SQL expressions (e.g. a lambda field) of equal length."""
     return f"aggregate(zip_with({a}, {b}, (x_, y_) -> (x_ - y_) * (x_ - y_)), 0D, (acc_, d_) -> acc_ + d_)"
 
 
-def sqdist(a: Column | str, b: Column | str) -> Column:
-    """Squared Euclidean distance of two equally long vectors.
-
-    With two column names the expression is built from SQL text (one call
-    into the JVM); with Column arguments (e.g. lambda variables) from the
-    function API.  Both are the same expression.
-    """
-    if isinstance(a, str) and isinstance(b, str):
-        return F.expr(sqdist_sql(a, b))
-    diffs = F.zip_with(_c(a), _c(b), lambda x, y: (x - y) * (x - y))
-    return F.aggregate(diffs, F.lit(0.0), lambda acc, d: acc + d)
+def sqdist(a: str, b: str) -> Column:
+    """Squared Euclidean distance of two vector columns; different lengths fail the job."""
+    same = F.expr(f"size(`{a}`) = size(`{b}`)")
+    return F.when(same, F.expr(sqdist_sql_expr(f"`{a}`", f"`{b}`"))).otherwise(F.raise_error(F.lit("vectors of different lengths")))
 
 
-def l2dist(a: Column | str, b: Column | str) -> Column:
+def l2dist(a: str, b: str) -> Column:
     """Euclidean distance."""
     return F.sqrt(sqdist(a, b))
 

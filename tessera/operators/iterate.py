@@ -1,25 +1,19 @@
-"""Driver loop for operators that need one Spark job per round.
+"""Frames kept between the rounds of a greedy selection.
 
 Greedy selections (farthest-first traversal, k-means++ seeding) are sequential
-by nature: round h needs the point chosen in round h-1.  Each round is one
-distributed job over a persisted state frame that yields the chosen row of
-every group; the next state is a narrow projection of the previous one.  Only
-two states are cached at a time.  Every ``checkpoint_every`` rounds the state
-is written to the shared checkpoint folder, so the lineage, and the work to
-redo after a lost executor, stay short.
+by nature: round h needs the point chosen in round h-1.  The picks are known
+to the driver, so the state of a round is a pure function of the points and
+the picks; it is cached every few rounds, and a lost block is rebuilt from
+there.  :class:`Spill` cuts the lineage of very long selections through a
+table in the shared folder, of which only the newest exists, and none at the end.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from typing import Any
-
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
-from tessera.session import ensure_checkpoint_dir
-
-DEFAULT_CHECKPOINT_EVERY = 8
+from tessera.session import scratch_path
 
 
 def hold(df: DataFrame) -> DataFrame:
@@ -32,41 +26,25 @@ def drop(*dfs: DataFrame | None) -> None:
             df.unpersist()
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it from there."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def greedy_rounds(
-    state: DataFrame,
-    rounds: range,
-    choose: Callable[[DataFrame, int], Any],
-    update: Callable[[DataFrame, Any, int], DataFrame],
-    checkpoint_every: int = DEFAULT_CHECKPOINT_EVERY,
-) -> tuple[DataFrame, list[Any]]:
-    """Run ``state = update(state, choose(state, h), h)`` for every h in ``rounds``.
-
-    ``choose`` runs one job and returns the round's picks, either as rows
-    (one per group, small) or as a frame that it has already written to the
-    checkpoint folder (so that the next state refers to it as a leaf rather
-    than repeating the previous state's plan).  The job also fills the cache
-    of ``state``.  Returns the final state (persisted, possibly not yet
-    computed) and the list of picks; call :func:`drop` on the state when done.
-    """
-    every = max(1, int(checkpoint_every))
-    state = hold(state)
-    prev = None
-    picks: list[Any] = []
-    for h in rounds:
-        pick = choose(state, h)
-        picks.append(pick)
-        drop(prev)
-        new_state = hold(update(state, pick, h))
-        prev, state = state, new_state
-        if h % every == 0 and h != rounds[-1]:
-            cut = hold(checkpointed(state))
-            drop(state, prev)
-            prev, state = None, cut
-    drop(prev)
-    return state, picks
+class Spill:
+    """The newest of a series of frames, as a table in the shared folder."""
+
+    def __init__(self) -> None:
+        self._path: str | None = None
+
+    def put(self, df: DataFrame) -> DataFrame:
+        """Write ``df``, remove the table before it, and read ``df`` from its table."""
+        spark = df.sparkSession
+        path = scratch_path(spark, "rounds")
+        df.write.parquet(path)
+        self.clear(df)
+        self._path = path
+        return spark.read.schema(df.schema).parquet(path)
+
+    def clear(self, df: DataFrame) -> None:
+        """Remove the table (``df``: any frame of the session)."""
+        if self._path is not None:
+            sc = df.sparkSession.sparkContext
+            p = sc._jvm.org.apache.hadoop.fs.Path(self._path)
+            p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+            self._path = None

@@ -12,11 +12,14 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.rand import u01
 from tessera.operators import vectors
+from tessera.operators.iterate import hold
 
 # Fixed values (must equal the reference's for the same results):
 # random weights are integers in [0, WEIGHT_RANGE).
@@ -57,19 +60,8 @@ def random_point(points: DataFrame, seed: int) -> DataFrame:
     return points.orderBy(u01(seed, 0, "id"), F.col("id")).limit(1)
 
 
-def mass_expr(m: F.Column, w: F.Column, exponent: float) -> F.Column:
-    """``w * d^exponent`` from the squared distance ``m = d^2``."""
-    if exponent == 2:
-        dpow = m
-    elif exponent == 4:
-        dpow = m * m
-    else:
-        dpow = F.pow(m, F.lit(exponent / 2.0))
-    return w * dpow
-
-
 def mass_sql(m: str, w: str, exponent: float) -> str:
-    """:func:`mass_expr` as Spark SQL text over column names."""
+    """``w * d^exponent`` from the squared distance ``m = d^2``, as Spark SQL text over column names."""
     if exponent == 2:
         dpow = f"`{m}`"
     elif exponent == 4:
@@ -90,12 +82,13 @@ def sampling_mass(
     The centers are excluded by an anti join on id, broadcast when measured small.
     """
     keep = (weight_col,) if weight_col else ()
+    centers = hold(centers.select("id", "v"))  # read three times; a few rows
     n_centers, dim = vectors.set_size(centers)
     nc = vectors.nearest_center(points, centers.select("id", "v"), n_centers, dim, keep=keep)
     ids = vectors.broadcast_if_small(centers.select("id"), n_centers)
     non_centers = nc.join(ids, on="id", how="left_anti")
     weight = F.col(weight_col).cast("double") if weight_col else F.lit(1.0)
-    return non_centers.select("id", mass_expr(F.col("sqdist"), weight, exponent).alias("mass"))
+    return non_centers.withColumn("w_", weight).selectExpr("id", f"{mass_sql('sqdist', 'w_', exponent)} AS mass")
 
 
 def cumulative_mass(df: DataFrame, order_col: str = "id", mass_col: str = "mass", buckets: int | None = None) -> DataFrame:
@@ -112,11 +105,8 @@ def cumulative_mass(df: DataFrame, order_col: str = "id", mass_col: str = "mass"
     spark = df.sparkSession
     nb = int(buckets or max(2, spark.sparkContext.defaultParallelism))
     probs = [i / nb for i in range(1, nb)]
-    bounds = sorted(set(df.approxQuantile(order_col, probs, 0.001))) if probs else []
-    bucket = F.lit(0)
-    for b in bounds:
-        bucket = bucket + F.when(F.col(order_col) > F.lit(b), 1).otherwise(0)
-    tagged = df.withColumn("_bucket", bucket.cast("int"))
+    bounds = sorted(set(df.approxQuantile(order_col, probs, 1 / (4 * nb)))) if probs else []
+    tagged = df.withColumn("_bucket", F.expr(_bucket_sql(f"CAST(`{order_col}` AS DOUBLE)", bounds)))
     within = F.sum(F.col(mass_col)).over(
         Window.partitionBy("_bucket").orderBy(order_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
@@ -134,6 +124,20 @@ def cumulative_mass(df: DataFrame, order_col: str = "id", mass_col: str = "mass"
     return out.select(*df.columns, ((F.col("_offset") + F.col("_within")) / F.col("_total")).alias("cdf"))
 
 
+def _bucket_sql(x: str, bounds: list[float]) -> str:
+    """Number of bounds under ``x``, searched in two levels: every r-th bound, then the r bounds after it."""
+    if not bounds:
+        return "0"
+    r = max(1, math.isqrt(len(bounds)))
+    rows = [bounds[i : i + r] for i in range(0, len(bounds), r)]
+    literal = lambda values: "array(" + ", ".join(f"{float(b)!r}D" for b in values) + ")"
+    coarse, fine = literal([row[0] for row in rows]), f"array({', '.join(map(literal, rows))})"
+    # the last row that begins under x, and the bounds under x in it
+    last = f"size(filter({coarse}, b_ -> b_ < {x}))"
+    inside = f"size(filter(element_at({fine}, greatest({last}, 1)), b_ -> b_ < {x}))"
+    return f"CASE WHEN {last} = 0 THEN 0 ELSE ({last} - 1) * {r} + {inside} END"
+
+
 def draw_by_cdf(cdf: DataFrame, r: float, order_col: str = "id") -> DataFrame:
     """The first ``order_col`` whose ``cdf`` exceeds ``r``; the smallest one if none does."""
     return cdf.agg(

@@ -12,28 +12,33 @@
 * :func:`coreset_kmeans`, :func:`seed_and_score`, :func:`diversify_and_score`
   — the end-to-end programs with their objective.
 
-State is one row per point (``id, v, m, pos`` plus the block): ``m`` is the
-squared distance to the nearest chosen center, ``pos`` the selection order
-(NULL while unchosen).  Each round aggregates the state to one chosen row per
-block and updates ``m`` with a projection; see :mod:`tessera.operators.iterate`.
-Random draws use keyed hashes, so reruns and retried tasks choose the same points.
+A round's state is the cached points with the picks folded over them: ``m`` is
+the squared distance to the nearest center, chosen points are left out.  It is
+cached anew every ``REFRESH`` rounds only.  Each round brings one pick per
+block to the driver (``blocks * dim`` numbers); the result looks the chosen
+ids up in the points.  Random draws use keyed hashes, so reruns and retried
+tasks choose the same points.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.rand import u01, u01_spark_sql
-from tessera.functions.vectors import sqdist, sqdist_sql
+from tessera.functions.vectors import sqdist_sql_expr
 from tessera.operators import checks, vectors
-from tessera.operators.iterate import DEFAULT_CHECKPOINT_EVERY, checkpointed, drop, greedy_rounds, hold
+from tessera.operators.iterate import Spill, drop, hold
 from tessera.operators.sampling import mass_sql, with_block
 
-# Picks (one row per block per round) come back to the driver while all of
-# them together, blocks * k * dim numbers, stay under this; beyond it they
-# stay distributed and are written to the checkpoint folder instead.
-MAX_COLLECTED_PICK_VALUES = 4_000_000
+#: Rounds between two cached states, and between two tables that cut the lineage (plans of nested caches grow fast).
+REFRESH = 6
+SPILL = 24
+#: Points in a tile of the matching.
+TILE = 128
+
 
 def _empty(points: DataFrame, keys: list[str]) -> DataFrame:
     cols = [F.col(k) for k in keys] + [F.lit(None).cast("int").alias("pos"), F.col("id"), F.col("v")]
@@ -57,183 +62,147 @@ def _num_sql(x: float) -> str:
     return repr(x) + "D"
 
 
-def _attach(state: DataFrame, pick, keys: list[str]) -> DataFrame:
-    """Give every state row its group's pick as columns ``cid``, ``cv``.
+def _ids_sql(ids: list[int]) -> str:
+    return ", ".join(f"{int(i)}L" for i in ids)
+
+
+def _folded(state: DataFrame, recent: list[list[Row]], keys: list[str], extra: list[str]) -> DataFrame:
+    """``state`` with the picks of the ``recent`` rounds folded into ``m`` and left out themselves.
 
-    ``pick`` is a list of rows (collected, one per group) or a checkpointed
-    frame.  One group: the pick enters as literals, no join.  Several
-    groups: a join on the block key; collected picks are a local relation
-    that is broadcast (its size was checked); a checkpointed frame (used
-    when blocks are too many to collect) is joined by a shuffle, with AQE
-    splitting a skewed block.
+    One group: picks are literals.  Blocks: a local relation of one row per
+    block with its picks, broadcast (``REFRESH * blocks * dim`` numbers).
     """
-    spark = state.sparkSession
-    if isinstance(pick, list):
-        if not keys:
-            row = pick[0] if pick else None
-            cid = str(int(row["cid"])) if row else "NULL"
-            return state.selectExpr("*", f"CAST({cid} AS BIGINT) AS cid", f"{_vec_sql(row['cv'] if row else None)} AS cv")
-        schema = ", ".join(f"{k} int" for k in keys) + ", cid bigint, cv array<double>"
-        small = spark.createDataFrame([tuple(r[k] for k in keys) + (r["cid"], r["cv"]) for r in pick], schema)
-        return state.join(F.broadcast(small), on=keys, how="left")
+    if not recent:
+        return state
     if not keys:
-        # One row, written to the checkpoint folder: attached as scalar values.
-        return state.withColumn("cid", pick.select("cid").scalar()).withColumn("cv", pick.select("cv").scalar())
-    return state.join(pick, on=keys, how="left")
+        picks = [r for rows in recent for r in rows]
+        d = [sqdist_sql_expr("v", _vec_sql(r["v"])) for r in picks]
+        return state.where(f"id NOT IN ({_ids_sql([r['id'] for r in picks])})").selectExpr(
+            "id", "v", *extra, f"least(m, {', '.join(d)}) AS m"
+        )
+    by: dict[int, tuple[list, list]] = {}
+    for rows in recent:
+        for r in rows:
+            ids, vs = by.setdefault(r["block"], ([], []))
+            ids.append(r["id"])
+            vs.append(list(r["v"]))
+    small = state.sparkSession.createDataFrame(
+        [(b, ids, vs) for b, (ids, vs) in by.items()], "block int, ids_ array<bigint>, vs_ array<array<double>>"
+    )
+    met = state.join(F.broadcast(small), "block", "left").where("ids_ IS NULL OR NOT array_contains(ids_, id)")
+    fold = f"aggregate(vs_, m, (a_, p_) -> least(a_, {sqdist_sql_expr('v', 'p_')}))"
+    return met.selectExpr("block", "id", "v", *extra, f"CASE WHEN vs_ IS NULL THEN m ELSE {fold} END AS m")
 
 
-def _first_pick(
-    points: DataFrame, keys: list[str], first_id: int | None, seed: int | None, small: bool = True
-) -> DataFrame:
-    """The first center of every group: ``first_id``, else the smallest
-    ``u01(seed, 0, id)`` (ties by id) when seeded, else the smallest id."""
-    src = points
-    if first_id is not None:
-        src = points.where(F.col("id") == F.lit(int(first_id)))
-    key = u01(seed, 0, "id") if (seed is not None and first_id is None) else F.col("id")
-    if keys:
-        # Smallest key per block by a hash aggregate, then the smallest id
-        # among the rows at that key: no sort of the points.
-        tagged = src.select(*keys, "id", "v", key.alias("_k"))
-        low = tagged.groupBy(*keys).agg(F.min("_k").alias("_mk"))
-        tagged = tagged.join(F.broadcast(low) if small else low, on=keys).where(F.col("_k") == F.col("_mk"))
-        agg = tagged.groupBy(*keys).agg(F.min_by(F.struct("id", "v"), F.col("id")).alias("c"))
-    else:
-        agg = src.agg(F.min_by(F.struct("id", "v"), F.struct(key, F.col("id"))).alias("c"))
-    return agg.where(F.col("c").isNotNull()).select(*keys, F.col("c.id").alias("cid"), F.col("c.v").alias("cv"))
+def _vectors_of(base: DataFrame, chosen: list[tuple[int, int]]) -> list[Row]:
+    """The chosen ``(block, id)`` with their vectors."""
+    if not chosen:
+        return []
+    small = base.sparkSession.createDataFrame(chosen, "block int, id bigint")
+    return base.join(F.broadcast(small), ["block", "id"]).select("block", "id", "v").collect()
 
 
-def _dim_hint(points: DataFrame) -> int:
-    """Dimension of the first point (a one-row job); 1 for an empty set."""
-    row = points.select(F.size("v").alias("d")).limit(1).collect()
-    return max(1, int(row[0]["d"])) if row else 1
+def _first_picks(base: DataFrame, stats: list[Row], keys: list[str], first_id: int | None, seed: int | None) -> list[Row]:
+    """The first center of every group: ``first_id``, else the smallest
+    ``u01(seed, 0, id)`` (ties by id) when seeded, else the smallest id."""
+    if not keys:
+        if seed is not None and first_id is None:
+            return base.orderBy(u01(seed, 0, "id"), "id").limit(1).select("id", "v").collect()
+        wanted = int(first_id) if first_id is not None else stats[0]["first_id"]
+        found = base.where(F.col("id") == F.lit(wanted)).select("id", "v").collect()
+        if not found:
+            raise ValueError(f"first_id {first_id} is not a point id")
+        return found
+    if seed is None:
+        return _vectors_of(base, [(r["block"], r["first_id"]) for r in stats])
+    tagged = base.select("block", "id", u01(seed, 0, "id").alias("m"))
+    return _vectors_of(base, _best_ids(tagged, F.min("m")))
 
 
-def _fetch(frame: DataFrame, collect: bool):
-    """Run a pick frame now: rows to the driver, or a checkpointed frame."""
-    return frame.collect() if collect else checkpointed(frame)
+def _best_ids(tagged: DataFrame, best: F.Column) -> list[tuple[int, int]]:
+    """Per block the smallest id among the rows at the best ``m``: two hash aggregates over fixed-width rows."""
+    top = tagged.groupBy("block").agg(best.alias("top_"))
+    at_top = tagged.join(F.broadcast(top), "block").where("m = top_")  # one row per block
+    return [(r["block"], r["id"]) for r in at_top.groupBy("block").agg(F.min("id").alias("id")).collect()]
 
 
 def _traverse(
     points: DataFrame,
     k: int,
     keys: list[str],
-    collect: bool,
     first_id: int | None,
     seed: int | None,
-    choose_next,
-    extra_cols: list[str],
-    checkpoint_every: int,
-) -> DataFrame:
-    """Shared loop of farthest-first and k-means++: returns ``keys, pos, id, v``.
-
-    With one group (no ``keys``) a round that finds no unchosen point means
-    k > n; that is reported then, instead of counting the points first.
-    """
-    spark = points.sparkSession
-    base = points.select(*keys, "id", "v", *extra_cols)
-    first = _fetch(_first_pick(base, keys, first_id, seed, small=collect), collect)
-    if not keys and not collect and first.isEmpty():
-        first = []
-    if not keys and isinstance(first, list) and not first:
-        if first_id is not None:
-            raise ValueError(f"first_id {first_id} is not a point id")
-        raise ValueError(f"k ({k}) cannot be greater than the number of points (0)")
-    s0 = _attach(base, first, keys)
-    state = s0.select(
-        *keys,
-        "id",
-        "v",
-        *extra_cols,
-        sqdist("v", "cv").alias("m"),
-        F.when(F.col("id") == F.col("cid"), F.lit(0)).alias("pos"),
-    )
-
-    def choose(st: DataFrame, h: int):
-        pick = choose_next(st, h, collect)
-        empty = (not pick) if isinstance(pick, list) else (not keys and pick.isEmpty())
-        if not keys and empty:
-            raise ValueError(f"k ({k}) cannot be greater than the number of points ({h})")
-        return pick
-
-    def update(st: DataFrame, pick, h: int) -> DataFrame:
-        # Built as SQL text: a round then costs a few calls into the JVM.
-        s = _attach(st, pick, keys)
-        if h == k - 1:
-            m = "m"
-        else:
-            m = f"CASE WHEN pos IS NULL AND cid IS NOT NULL THEN least(m, {sqdist_sql('v', 'cv')}) ELSE m END"
-        pos = f"CASE WHEN pos IS NULL AND id = cid THEN {h} ELSE pos END"
-        return s.selectExpr(*keys, "id", "v", *extra_cols, f"{m} AS m", f"{pos} AS pos")
-
-    if collect:
-        # Every pick is already on the driver: the result is built from them
-        # and the last state is never computed.
-        final, picks = greedy_rounds(state, range(1, k), choose, update, checkpoint_every)
-        rows = [tuple(r[c] for c in keys) + (pos, r["cid"], r["cv"]) for pos, rs in enumerate([first, *picks]) for r in rs]
-        drop(final)
-        schema = "".join(f"{c} int, " for c in keys) + "pos int, id bigint, v array<double>"
-        return spark.createDataFrame(rows, schema)
-    final, _ = greedy_rounds(state, range(1, k), choose, update, checkpoint_every)
-    result = checkpointed(final.where(F.col("pos").isNotNull()).select(*keys, "pos", "id", "v"))
-    drop(final)
-    return result
-
-
-def _farthest_choice(keys: list[str]):
-    def choose(state: DataFrame, h: int, collect: bool):
-        cand = state.where(F.col("pos").isNull())
-        if not keys and collect:
-            # One group: a top-1 that every task computes for its own rows.
-            top = cand.orderBy(F.col("m").desc(), F.col("id").asc()).limit(1)
-            return top.select(F.col("id").alias("cid"), F.col("v").alias("cv")).collect()
-        if not keys:
-            best = F.max_by(F.struct("id", "v"), F.struct(F.col("m"), -F.col("id")))
-            agg = cand.agg(best.alias("c")).where(F.col("c").isNotNull())
-            return _fetch(agg.select(F.col("c.id").alias("cid"), F.col("c.v").alias("cv")), collect)
-        # Per block: the largest distance by a hash aggregate (fixed-width, no
-        # sort), then among the rows at that distance the smallest id.  Only
-        # tied rows carry their vectors into an aggregate.
-        top_m = cand.groupBy(*keys).agg(F.max("m").alias("_mm"))
-        at_top = cand.join(F.broadcast(top_m) if collect else top_m, on=keys).where(F.col("m") == F.col("_mm"))
-        agg = at_top.groupBy(*keys).agg(F.min_by(F.struct("id", "v"), F.col("id")).alias("c"))
-        return _fetch(agg.select(*keys, F.col("c.id").alias("cid"), F.col("c.v").alias("cv")), collect)
-
-    return choose
-
-
-def kcenter(
-    points: DataFrame,
-    k: int,
-    first_id: int | None = None,
-    seed: int | None = None,
-    checkpoint_every: int = DEFAULT_CHECKPOINT_EVERY,
+    choose: Callable[[DataFrame, DataFrame, int], list[Row]],
+    weight_col: str | None = None,
+    on_small_block: str = "error",
+    refresh: int = REFRESH,
 ) -> DataFrame:
+    """Shared loop of farthest-first and k-means++: returns ``keys, pos, id, v``."""
+    extra = [weight_col] if weight_col else []
+    base = points.select(*keys, "id", "v", *extra)
+    stats = checks.point_stats(base, keys, weight_col)
+    if not keys and (not stats or stats[0]["n"] < k):
+        raise ValueError(f"k = {k} is more than the {stats[0]['n'] if stats else 0} points")
+    if on_small_block == "error" and stats and min(r["n"] for r in stats) < k:
+        raise ValueError(f"a block has {min(r['n'] for r in stats)} points, fewer than k = {k}")
+    base = hold(base)
+    spill = Spill()
+    cut, prev = base, None
+    try:
+        checks.check_unique_ids(base)
+        rounds = [_first_picks(base, stats, keys, first_id, seed)]
+        recent = [rounds[0]]
+        cut = base.withColumn("m", F.lit(float("inf")))
+        for h in range(1, k):
+            state = _folded(cut, recent, keys, extra)
+            if len(recent) >= refresh:
+                drop(prev)
+                prev, cut, recent = cut, hold(state), []
+                if h % SPILL < refresh:
+                    cut = hold(spill.put(cut))
+                    drop(prev)
+                    prev = state
+                state = cut
+            rounds.append(choose(state, base, h))
+            recent.append(rounds[-1])
+    finally:
+        drop(prev, cut, base)
+        spill.clear(points)
+    order = [(*(r[c] for c in keys), pos, r["id"]) for pos, rows in enumerate(rounds) for r in rows]
+    chosen = points.sparkSession.createDataFrame(order, "".join(f"{c} int, " for c in keys) + "pos int, id bigint")
+    chosen = vectors.broadcast_if_small(chosen, len(order), 3)
+    return points.select(*keys, "id", "v").join(chosen, [*keys, "id"]).select(*keys, "pos", "id", "v")
+
+
+def _farthest(state: DataFrame, base: DataFrame, h: int) -> list[Row]:
+    """One group: a top-1 that every task computes for its own rows."""
+    return state.orderBy(F.col("m").desc(), F.col("id").asc()).limit(1).select("id", "v").collect()
+
+
+def _farthest_per_block(state: DataFrame, base: DataFrame, h: int) -> list[Row]:
+    return _vectors_of(base, _best_ids(state.select("block", "id", "m"), F.max("m")))
+
+
+def kcenter(points: DataFrame, k: int, first_id: int | None = None, seed: int | None = None, refresh: int = REFRESH) -> DataFrame:
     """Farthest-first traversal over ``points(id, v)``: ``pos, id, v`` for k centers.
 
     The first center is ``first_id`` if given, else a keyed random point if
     ``seed`` is given, else the smallest id.  Ties on distance go to the
-    smallest id.  Points equal by value stay distinct points.
+    smallest id.  Points equal by value stay distinct points; ids must be unique.
     """
     checks.check_k(k)
     if k == 0:
         return _empty(points, [])
-    collect = k * _dim_hint(points) <= MAX_COLLECTED_PICK_VALUES
-    return _traverse(points.select("id", "v"), k, [], collect, first_id, seed, _farthest_choice([]), [], checkpoint_every)
+    return _traverse(points.select("id", "v"), k, [], first_id, seed, _farthest, refresh=refresh)
 
 
 def kcenter_blocks(
-    points: DataFrame,
-    k: int,
-    block_col: str = "block",
-    seed: int | None = None,
-    on_small_block: str = "error",
-    checkpoint_every: int = DEFAULT_CHECKPOINT_EVERY,
+    points: DataFrame, k: int, block_col: str = "block", seed: int | None = None, on_small_block: str = "error", refresh: int = REFRESH
 ) -> DataFrame:
     """Farthest-first traversal inside every block: ``block, pos, id, v``.
 
-    All blocks advance together: round h is one aggregate that picks, for
-    every block, its next center.  No block is ever gathered into one task.
+    All blocks advance together: round h picks, for every block, its next
+    center.  No block is ever gathered into one task.
     ``on_small_block="error"`` refuses blocks with fewer than k points;
     ``"all"`` keeps all points of such a block.
     """
@@ -243,16 +212,8 @@ def kcenter_blocks(
     pts = points.withColumnRenamed(block_col, "block") if block_col != "block" else points
     if k == 0:
         return _empty(pts, ["block"])
-    sizes = (
-        pts.groupBy("block")
-        .agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("d"))
-        .agg(F.count(F.lit(1)).alias("blocks"), F.min("n").alias("smallest"), F.max("d").alias("dim"))
-        .collect()[0]
-    )
-    if on_small_block == "error" and sizes["smallest"] is not None and sizes["smallest"] < k:
-        raise ValueError(f"a block has {sizes['smallest']} points, fewer than k = {k}")
-    collect = (sizes["blocks"] or 0) * k * max(1, sizes["dim"] or 1) <= MAX_COLLECTED_PICK_VALUES
-    out = _traverse(pts, k, ["block"], collect, None, seed, _farthest_choice(["block"]), [], checkpoint_every)
+    pts = pts.withColumn("block", F.col("block").cast("int"))
+    out = _traverse(pts, k, ["block"], None, seed, _farthest_per_block, on_small_block=on_small_block, refresh=refresh)
     return out.withColumnRenamed("block", block_col) if block_col != "block" else out
 
 
@@ -263,7 +224,7 @@ def kmeanspp(
     exponent: float = 2.0,
     weight_col: str | None = None,
     first_id: int | None = None,
-    checkpoint_every: int = DEFAULT_CHECKPOINT_EVERY,
+    refresh: int = REFRESH,
 ) -> DataFrame:
     """Weighted k-means++ seeding: ``pos, id, v`` for k centers.
 
@@ -272,7 +233,8 @@ def kmeanspp(
     point with the smallest ``-ln(1 - u01(seed, h, id)) / mass`` wins
     (Efraimidis–Spirakis), one aggregate instead of a global CDF.  If every
     remaining mass is 0 the smallest remaining id is taken.  ``exponent=4``
-    reproduces squaring an already squared distance.
+    reproduces squaring an already squared distance.  Weights must not be
+    null or negative.
     """
     checks.check_k(k)
     checks.check_exponent(exponent)
@@ -280,22 +242,39 @@ def kmeanspp(
         return _empty(points, [])
     pts = points.select("id", "v", (F.col(weight_col).cast("double") if weight_col else F.lit(1.0)).alias("w"))
 
-    def choose(state: DataFrame, h: int, collect: bool):
-        cand = state.where("pos IS NULL")
+    def draw(state: DataFrame, base: DataFrame, h: int) -> list[Row]:
         mass = mass_sql("m", "w", exponent)
         race = f"CASE WHEN {mass} > 0 THEN -ln(1D - {u01_spark_sql(seed, h, 'id')}) / ({mass}) END"
         # Positive masses race; if none is left, the smallest remaining id.
-        top = cand.orderBy(
-            F.expr(f"CASE WHEN {mass} > 0 THEN 0 ELSE 1 END"), F.expr(race).asc_nulls_last(), F.col("id")
-        ).limit(1)
-        return _fetch(top.selectExpr("id AS cid", "v AS cv"), collect)
+        return (
+            state.orderBy(F.expr(f"CASE WHEN {mass} > 0 THEN 0 ELSE 1 END"), F.expr(race).asc_nulls_last(), F.col("id"))
+            .limit(1)
+            .select("id", "v")
+            .collect()
+        )
+
+    return _traverse(pts, k, [], first_id, None if first_id is not None else seed, draw, "w", refresh=refresh)
+
+
+def _tile_pairs(pts: DataFrame, n: int) -> DataFrame:
+    """Every two tiles of the points once: ``a, b, x, y`` with ``a <= b``, met by an equi-join on the tile number."""
+    count = max(1, -(-n // TILE))
+    tile = F.pmod(F.xxhash64("id"), F.lit(count)).cast("int")
+    tiles = pts.groupBy(tile.alias("a")).agg(F.collect_list(F.struct("id", "v")).alias("x"))
+    left = tiles.withColumn("b", F.explode(F.sequence(F.col("a"), F.lit(count - 1))))
+    return left.join(tiles.toDF("b", "y"), "b").select("a", "b", "x", "y")
+
 
-    first_seed = None if first_id is not None else seed
-    collect = k * _dim_hint(points) <= MAX_COLLECTED_PICK_VALUES
-    return _traverse(pts, k, [], collect, first_id, first_seed, choose, ["w"], checkpoint_every)
+def _best_of_tiles(pairs: DataFrame, chosen: list[int]) -> DataFrame:
+    """``a, b, best`` with the farthest pair (d, -i, -j) of two tiles among the points not chosen."""
+    free = f" AND NOT array_contains(array({_ids_sql(chosen)}), {{}}.id)" if chosen else ""
+    pair = f"named_struct('d', sqrt({sqdist_sql_expr('p_.v', 'q_.v')}), 'i', -least(p_.id, q_.id), 'j', -greatest(p_.id, q_.id))"
+    inner = f"array_max(transform(filter(y, q_ -> q_.id <> p_.id{free.format('q_')}), q_ -> {pair}))"
+    best = f"array_max(transform(filter(x, p_ -> true{free.format('p_')}), p_ -> {inner}))"
+    return pairs.selectExpr("a", "b", f"{best} AS best").where("best IS NOT NULL")
 
 
-def max_matching(points: DataFrame, k: int, checkpoint_every: int = DEFAULT_CHECKPOINT_EVERY) -> DataFrame:
+def max_matching(points: DataFrame, k: int) -> DataFrame:
     """Greedy max-sum diversity on a bounded point set: ``pos, id, v``.
 
     ⌊k/2⌋ rounds each take the farthest pair among the remaining points (ties
@@ -303,54 +282,48 @@ def max_matching(points: DataFrame, k: int, checkpoint_every: int = DEFAULT_CHEC
     added.  With ``k >= n`` all points are returned.
 
     The set is a coreset whose size is bounded by the parameters
-    (``blocks * k``), not by the data.  Every point keeps its farthest
-    partner among the remaining points with a larger id
-    (:func:`vectors.farthest_partner`, a projection over the inlined set);
-    the best pair is the best of those.  After a pair is taken only the
-    points whose partner was one of the two are recomputed, so a round costs
-    (points affected) x (points remaining).
+    (``blocks * k``), not by the data.  It is cut into tiles once; every two
+    tiles keep their farthest pair, and after a pair is taken only the tiles
+    whose pair held one of the two look again.  Points never reach the
+    driver, only the pair of each round.
     """
     checks.check_k(k)
     spark = points.sparkSession
-    pts = hold(checkpointed(points.select("id", "v")))
-    stats = pts.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("d")).collect()[0]
-    n = stats["n"]
-    if k >= n:
-        drop(pts)
-        return _all_in_order(pts)
-    dim = int(stats["d"] or 0)
-    state = hold(vectors.farthest_partner(pts, pts, n, dim))
-    chosen: list[int] = []
-    prev = None
-    for r in range(k // 2):
-        top = state.orderBy(F.col("d").desc(), F.col("i").asc(), F.col("j").asc()).limit(1).collect()
-        drop(prev)
-        if not top:  # cannot happen while k < n; kept as a guard
-            raise RuntimeError("no pair left")
-        i, j = int(top[0]["i"]), int(top[0]["j"])
-        chosen += [i, j]
-        if r == k // 2 - 1:
-            break
-        gone = [i, j]
-        remaining = pts.where(~F.col("id").isin(chosen))
-        keep = state.where(~F.col("i").isin(gone) & ~F.col("j").isin(gone))
-        stale = state.where(F.col("j").isin(gone) & ~F.col("i").isin(gone)).select(F.col("i").alias("id"))
-        stale_ids = vectors.broadcast_if_small(stale, n)  # at most n ids
-        redo = vectors.farthest_partner(pts.join(stale_ids, on="id", how="left_semi"), remaining, n - len(chosen), dim)
-        new_state = keep.unionByName(redo)
-        if (r + 1) % max(1, checkpoint_every) == 0:
-            new_state = checkpointed(new_state)
-        prev, state = state, hold(new_state)
-    drop(prev, state)
-    if k % 2:
-        rest = pts.where(~F.col("id").isin(chosen)) if chosen else pts
-        chosen.append(int(rest.agg(F.min("id")).collect()[0][0]))
-    drop(pts)  # the result reads the checkpointed points
+    pts = hold(points.select("id", "v"))
+    pairs = None
+    spill = Spill()
+    try:
+        stats = checks.point_stats(pts, [])
+        n = stats[0]["n"] if stats else 0
+        if n:
+            checks.check_unique_ids(pts)
+        if k >= n:
+            return _all_in_order(points.select("id", "v"))
+        pairs = hold(_tile_pairs(pts, n))
+        state = spill.put(_best_of_tiles(pairs, []))
+        chosen: list[int] = []
+        for r in range(k // 2):
+            top = state.orderBy(F.col("best").desc()).limit(1).collect()[0]["best"]
+            i, j = -top["i"], -top["j"]
+            chosen += [i, j]
+            if r == k // 2 - 1:
+                break
+            gone = F.col("best.i").isin(-i, -j) | F.col("best.j").isin(-i, -j)
+            stale = pairs.join(state.where(gone).select("a", "b"), ["a", "b"], "left_semi")
+            # three numbers a tile pair, a small table a round
+            state = spill.put(state.where(~gone).unionByName(_best_of_tiles(stale, chosen)))
+        if k % 2:
+            rest = pts.where(~F.col("id").isin(chosen)) if chosen else pts
+            chosen.append(int(rest.agg(F.min("id")).first()[0]))
+    finally:
+        drop(pairs, pts)
+        spill.clear(points)
     order = spark.createDataFrame([(p, i) for p, i in enumerate(chosen)], "pos int, id bigint")
-    return pts.join(F.broadcast(order), on="id").select("pos", "id", "v")  # k < n rows
+    return points.select("id", "v").join(vectors.broadcast_if_small(order, k, 2), on="id").select("pos", "id", "v")
 
 
 def _all_in_order(pts: DataFrame) -> DataFrame:
+    """All points by id: at most k rows, a parameter."""
     rn = F.row_number().over(Window.orderBy("id")) - 1
     return pts.select(rn.cast("int").alias("pos"), "id", "v")
 

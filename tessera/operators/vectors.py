@@ -1,14 +1,12 @@
 """Point-set operators over ``DataFrame[id bigint, v array<double>]``.
 
 A *bounded* point set — centers (k of them), a coreset (``blocks * k``), a
-result (k) — reaches every task as array values: scalar subqueries computed
-once and shipped with the stage, in chunks of at most
-``MAX_INLINE_VALUES`` numbers each.  Every point then folds over those arrays
-in place (nearest center, farthest partner, sum of distances), so these
-operators are projections: no join, no shuffle, and no (point, point) rows.
-The size of the set is measured first (one small job) and decides the number
-of chunks, so a larger set costs more passes over the arrays, never a
-larger value.
+result (k) — is measured first.  Up to ``MAX_INLINE_VALUES`` numbers reach
+every task as one array value, and every point folds over it in place: no
+join, no shuffle, no (point, point) rows.  A larger set is cut into tiles of
+that size that stay distributed; points meet them by an equi-join on the tile
+number and a salt, and a point's results are combined by id.  Both ways give
+the same rows.
 
 Comparing every point with every member of the set is the definition of
 these operators (the k-means assignment, the farthest pair, the mean pairwise
@@ -20,12 +18,13 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.vectors import sqdist_sql_expr
+from tessera.operators import checks
 
-# Numbers (members x dimensions) per inline chunk.
+# Numbers (members x dimensions) of an inlined set or of a tile.
 MAX_INLINE_VALUES = 1_000_000
 # A join side is broadcast only when measured at or under this many numbers.
 MAX_BROADCAST_VALUES = 8_000_000
@@ -38,39 +37,38 @@ def broadcast_if_small(df: DataFrame, n_rows: int, width: int = 1) -> DataFrame:
 
 
 def set_size(df: DataFrame) -> tuple[int, int]:
-    """Number of points and their dimension, one small job."""
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("d")).collect()[0]
-    return int(row["n"]), int(row["d"] or 0)
+    """Number of points and their dimension, one small job; vectors must be equally long."""
+    size = F.size("v")
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.min(size).alias("lo"), F.max(size).alias("hi")).collect()[0]
+    return int(row["n"]), checks.check_lengths(row["lo"], row["hi"])
 
 
-def _n_chunks(n: int, dim: int) -> int:
+def _n_tiles(n: int, dim: int) -> int:
     return max(1, math.ceil(n * max(1, dim) / MAX_INLINE_VALUES))
 
 
-def _inline(df: DataFrame, members: DataFrame, n: int, dim: int, prefix: str) -> tuple[DataFrame, list[str]]:
-    """``df`` with the members attached as array columns ``prefix0..``.
+def _against(points: DataFrame, members: DataFrame, n: int, dim: int) -> tuple[DataFrame, bool]:
+    """``points`` with members as ``set_`` (``array<struct<id, v>>``), and whether a point has several rows (one per tile).
 
-    Each column holds one chunk (``array<struct<id, v>>``); chunks split the
-    members by a hash of their id.
+    A point of another length than the members fails the job.
     """
-    chunks = _n_chunks(n, dim)
-    names, cols = [], []
-    for c in range(chunks):
-        part = members if chunks == 1 else members.where(F.pmod(F.xxhash64("id"), F.lit(chunks)) == c)
-        value = part.select(F.collect_list(F.struct(F.col("id").alias("id"), F.col("v").alias("v")))).scalar()
-        names.append(f"{prefix}{c}")
-        cols.append(value.alias(names[-1]))
-    return df.select("*", *cols), names
-
-
-def _combine(exprs: list[str], pick: str) -> str:
-    """One SQL expression from per-chunk expressions (``least`` / ``greatest``
-    skip the NULL of an empty chunk)."""
-    return exprs[0] if len(exprs) == 1 else f"{pick}({', '.join(exprs)})"
+    tiles = _n_tiles(n, dim)
+    if n:
+        fits = F.size("v") == dim
+        points = points.where(fits | F.raise_error(F.lit(f"a vector is not of length {dim}")))
+    member = F.struct(F.col("id").alias("id"), F.col("v").alias("v"))
+    if tiles == 1:
+        return points.select("*", members.select(F.collect_list(member)).scalar().alias("set_")), False
+    salts = max(1, -(-points.sparkSession.sparkContext.defaultParallelism // tiles))
+    cut = members.groupBy(F.pmod(F.xxhash64("id"), F.lit(tiles)).cast("int").alias("tile_")).agg(F.collect_list(member).alias("set_"))
+    cut = cut.withColumn("salt_", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    spread = points.withColumn("salt_", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(salts)).cast("int"))
+    spread = spread.withColumn("tile_", F.explode(F.sequence(F.lit(0), F.lit(tiles - 1))))
+    return spread.join(cut, ["tile_", "salt_"]).drop("tile_", "salt_"), True
 
 
 # The folds below are built as SQL text (one call into the JVM each); the
-# lambda variable ``q_`` is one member of the inlined set.
+# lambda variable ``q_`` is one member of the set.
 _D2 = sqdist_sql_expr("v", "q_.v")
 
 
@@ -87,10 +85,11 @@ def nearest_center(
     """
     if n_centers is None or dim is None:
         n_centers, dim = set_size(centers)
-    with_cs, names = _inline(points.select("id", "v", *keep), centers.select("id", "v"), n_centers, dim, "_cs")
-    per_chunk = [f"array_min(transform(`{c}`, q_ -> named_struct('d', {_D2}, 'cid', q_.id)))" for c in names]
+    met, several = _against(points.select("id", "v", *keep), centers.select("id", "v"), n_centers, dim)
     # structs compare by d, then id: the nearest center, smallest id on ties
-    best = with_cs.selectExpr("id", *keep, f"{_combine(per_chunk, 'least')} AS _b")
+    best = met.selectExpr("id", *keep, f"array_min(transform(set_, q_ -> named_struct('d', {_D2}, 'cid', q_.id))) AS _b")
+    if several:
+        best = best.groupBy("id", *keep).agg(F.min("_b").alias("_b"))
     return best.select("id", F.col("_b.cid").alias("center_id"), F.col("_b.d").alias("sqdist"), *keep)
 
 
@@ -142,12 +141,11 @@ def farthest_partner(left: DataFrame, cands: DataFrame, n: int | None = None, di
     with no larger candidate has no row."""
     if n is None or dim is None:
         n, dim = set_size(cands)
-    with_c, names = _inline(left.select("id", "v"), cands.select("id", "v"), n, dim, "_cd")
-    per_chunk = [
-        f"array_max(transform(filter(`{c}`, q_ -> q_.id > id), q_ -> named_struct('d', sqrt({_D2}), 'nj', -q_.id)))"
-        for c in names
-    ]
-    best = with_c.selectExpr("id AS i", f"{_combine(per_chunk, 'greatest')} AS _b").where("_b IS NOT NULL")
+    met, several = _against(left.select("id", "v"), cands.select("id", "v"), n, dim)
+    farthest = f"array_max(transform(filter(set_, q_ -> q_.id > id), q_ -> named_struct('d', sqrt({_D2}), 'nj', -q_.id)))"
+    best = met.selectExpr("id AS i", f"{farthest} AS _b").where("_b IS NOT NULL")
+    if several:
+        best = best.groupBy("i").agg(F.max("_b").alias("_b"))
     return best.selectExpr("i", "-_b.nj AS j", "_b.d AS d")
 
 
@@ -158,11 +156,10 @@ def pairwise_distances(points: DataFrame) -> DataFrame:
     bounded sets (coresets, results).
     """
     n, dim = set_size(points)
-    with_p, names = _inline(points.select("id", "v"), points.select("id", "v"), n, dim, "_pp")
-    per_chunk = [
-        f"transform(filter(`{c}`, q_ -> q_.id > id), q_ -> named_struct('j', q_.id, 'dist', sqrt({_D2})))" for c in names
-    ]
-    out = with_p.selectExpr("id AS i", f"explode(flatten(array({', '.join(per_chunk)}))) AS _p")
+    met, _ = _against(points.select("id", "v"), points.select("id", "v"), n, dim)
+    out = met.selectExpr(
+        "id AS i", f"explode(transform(filter(set_, q_ -> q_.id > id), q_ -> named_struct('j', q_.id, 'dist', sqrt({_D2})))) AS _p"
+    )
     return out.selectExpr("i", "_p.j AS j", "_p.dist AS dist")
 
 
@@ -184,9 +181,8 @@ def mean_pairwise_distance(points: DataFrame) -> DataFrame:
     over unordered pairs equals the mean over ordered pairs.
     """
     n, dim = set_size(points)
-    with_p, names = _inline(points.select("id", "v"), points.select("id", "v"), n, dim, "_pm")
-    sums = [f"aggregate(filter(`{c}`, q_ -> q_.id > id), 0D, (s_, q_) -> s_ + sqrt({_D2}))" for c in names]
-    total = with_p.selectExpr(f"{' + '.join(sums)} AS s").agg(F.sum("s").alias("s"))
+    met, _ = _against(points.select("id", "v"), points.select("id", "v"), n, dim)
+    total = met.selectExpr(f"aggregate(filter(set_, q_ -> q_.id > id), 0D, (s_, q_) -> s_ + sqrt({_D2})) AS s").agg(F.sum("s").alias("s"))
     pairs = n * (n - 1) / 2.0
     value = F.lit(0.0) if n == 0 else (F.lit(math.nan) if n == 1 else F.col("s") / F.lit(pairs))
     return total.select(value.alias("avg_dist"))

@@ -18,7 +18,7 @@ from tessera.operators import numeric, sampling, selection, vectors, wordcount
 from tessera.plans import sql_text as T
 from tessera.plans import sql_vec as V
 from tessera.session import scratch_path
-from tessera.sources.sinks import write_numbers, write_points
+from tessera.sources.sinks import write_numbers, write_points, write_scored_points
 from tessera.sources.tables import lines_from, load_table, numbers_from, points_from
 from tessera.sources.text import read_lines, read_numbers, read_points
 
@@ -314,6 +314,16 @@ def q_sel_diversify_score(spark, sf_dir):
     return score.select("k", _r("avg_dist"))
 
 
+def q_sel_scored_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "scored")
+    result, score = selection.diversify_and_score(_points(spark, sf_dir), K_DIV, BLOCKS, seed=BLOCK_SEED)
+    write_scored_points(result.select("id", "v"), score, path)
+    fields = F.split("value", ",")
+    back = spark.read.text(f"{path}/score").select(fields[0].cast("int").alias("k"), fields[1].cast("double").alias("avg_dist"))
+    points = read_points(spark, f"{path}/points", with_id=True).select("id", F.size("v").alias("dim"))
+    return points.select("id", "dim", back.select("k").scalar().alias("k"), F.round(back.select("avg_dist").scalar(), ROUND).alias("avg_dist"))
+
+
 def _vec_sql() -> dict[str, str]:
     P = V.POINTS
     sq = V.sqd
@@ -393,6 +403,10 @@ def _vec_sql() -> dict[str, str]:
     out["sel_diversify_score"] = V.with_(*core, *mm, f"r AS (SELECT id, v FROM {mm_res})") + (
         f"SELECT {K_DIV} AS k, round(avg(sqrt({sq('a.v', 'b.v')})), 6) AS avg_dist FROM r a JOIN r b ON a.id < b.id"
     )
+    out["sel_scored_roundtrip"] = V.with_(*core, *mm, f"r AS (SELECT id, v FROM {mm_res})") + (
+        f"SELECT id, CAST(len(v) AS INTEGER) AS dim, {K_DIV} AS k, (SELECT round(avg(sqrt({sq('a.v', 'b.v')})), 6)"
+        " FROM r a JOIN r b ON a.id < b.id) AS avg_dist FROM r"
+    )
     return out
 
 
@@ -440,6 +454,7 @@ _QUERIES: dict[str, QueryFn] = {
     "sel_max_matching_odd": q_sel_max_matching_odd,
     "sel_diversify": q_sel_diversify,
     "sel_diversify_score": q_sel_diversify_score,
+    "sel_scored_roundtrip": q_sel_scored_roundtrip,
 }
 
 _SQL: dict[str, str] = {**_NUM_SQL, **_TXT_SQL, **_vec_sql()}

@@ -21,6 +21,14 @@ def test_cumulative_mass_matches_numpy(spark):
         assert np.allclose([got[i] for i in ids], want, atol=1e-12), nb
 
 
+def test_cumulative_mass_many_buckets(spark):
+    rng = np.random.default_rng(24)
+    mass = rng.random(20_000)
+    df = spark.createDataFrame([(int(i), float(m)) for i, m in enumerate(mass)], "id long, mass double")
+    got = np.array([r["cdf"] for r in M.cumulative_mass(df, buckets=8_000).orderBy("id").collect()])
+    assert np.allclose(got, np.cumsum(mass) / mass.sum(), atol=1e-12)
+
+
 def test_draw_by_cdf(spark):
     df = spark.createDataFrame([(1, 0.2), (5, 0.5), (9, 1.0)], "id long, cdf double")
     assert M.draw_by_cdf(df, 0.1).collect()[0]["id"] == 1

@@ -42,13 +42,64 @@ def test_kcenter_edges(spark):
     assert sorted(r["id"] for r in S.kcenter(P, 3).collect()) == [0, 1, 2]
 
 
-def test_kcenter_checkpoints_midway(spark):
+def test_refresh_changes_nothing(spark, monkeypatch):
     rng = np.random.default_rng(6)
-    X = rng.normal(size=(30, 3))
-    P = _pts(spark, X)
-    a = [r["id"] for r in S.kcenter(P, 6).orderBy("pos").collect()]
-    b = [r["id"] for r in S.kcenter(P, 6, checkpoint_every=2).orderBy("pos").collect()]
-    assert a == b
+    P = _pts(spark, rng.normal(size=(60, 3)))
+    a = [r["id"] for r in S.kcenter(P, 12).orderBy("pos").collect()]
+    for refresh in (1, 2, 50):
+        assert [r["id"] for r in S.kcenter(P, 12, refresh=refresh).orderBy("pos").collect()] == a
+    monkeypatch.setattr(S, "SPILL", 4)
+    assert [r["id"] for r in S.kcenter(P, 12, refresh=2).orderBy("pos").collect()] == a
+
+
+def _files(spark):
+    import os
+
+    top = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    return sum(len(names) for _, _, names in os.walk(top))
+
+
+def test_nothing_stays_on_disk(spark, monkeypatch):
+    P = _pts(spark, np.random.default_rng(21).normal(size=(80, 4)))
+    before = _files(spark)
+    S.kcenter(P, 40).count()
+    assert _files(spark) == before
+    monkeypatch.setattr(S, "SPILL", 8)
+    S.kcenter(P, 40).count()
+    S.max_matching(P, 40).count()
+    assert _files(spark) == before
+
+
+def test_checks_before_the_rounds(spark):
+    P = _pts(spark, np.random.default_rng(22).normal(size=(30, 2)))
+    sc = spark.sparkContext
+    sc.setJobGroup("too-many", "k over n")
+    try:
+        with pytest.raises(ValueError, match="30 points"):
+            S.kcenter(P, 100)
+        assert len(sc.statusTracker().getJobIdsForGroup("too-many")) <= 2
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    ragged = _pts(spark, [[1.0, 2.0], [1.0], [0.0, 0.0]])
+    for run in (lambda: S.kcenter(ragged, 2), lambda: S.max_matching(ragged, 2), lambda: S.kmeanspp(ragged, 2)):
+        with pytest.raises(ValueError, match="lengths"):
+            run()
+    twice = _pts(spark, [[1.0], [2.0], [3.0]], ids=[1, 1, 2])
+    for run in (lambda: S.kcenter(twice, 3), lambda: S.max_matching(twice, 2)):
+        with pytest.raises(ValueError, match="belongs to 2 points"):
+            run()
+    for w in ("CAST(NULL AS DOUBLE)", "-1D", "CAST('NaN' AS DOUBLE)"):
+        with pytest.raises(ValueError, match="weights"):
+            S.kmeanspp(P.selectExpr("id", "v", f"IF(id = 3, {w}, 1D) AS w"), 2, weight_col="w")
+    with pytest.raises(ValueError, match="not a point id"):
+        S.kcenter(P, 2, first_id=99)
+
+
+def test_blocks_are_never_shuffled_with_vectors(spark):
+    P = M.with_block(_pts(spark, np.random.default_rng(23).normal(size=(40, 2))), 3)
+    state = S._folded(P.withColumn("m", F.lit(1.0)), [P.limit(1).collect()], ["block"], [])
+    plan = state._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "BroadcastHashJoin" in plan
 
 
 def test_kcenter_blocks_equals_per_block_kcenter(spark):
@@ -64,14 +115,14 @@ def test_kcenter_blocks_equals_per_block_kcenter(spark):
         assert [r["id"] for r in sorted((r for r in got if r["block"] == b), key=lambda r: r["pos"])] == want
 
 
-def test_kcenter_blocks_distributed_picks(spark, monkeypatch):
+def test_kcenter_blocks_many_rounds(spark):
     rng = np.random.default_rng(8)
-    X = rng.normal(size=(40, 3))
-    P = M.with_block(_pts(spark, X), 2, seed=2)
-    a = sorted(map(tuple, S.kcenter_blocks(P, 3).select("block", "pos", "id").collect()))
-    monkeypatch.setattr(S, "MAX_COLLECTED_PICK_VALUES", 0)
-    b = sorted(map(tuple, S.kcenter_blocks(P, 3).select("block", "pos", "id").collect()))
+    P = M.with_block(_pts(spark, rng.normal(size=(60, 3))), 2, seed=2)
+    a = sorted(map(tuple, S.kcenter_blocks(P, 9).select("block", "pos", "id").collect()))
+    b = sorted(map(tuple, S.kcenter_blocks(P, 9, refresh=1).select("block", "pos", "id").collect()))
     assert a == b
+    seeded = S.kcenter_blocks(P, 2, seed=4)
+    assert seeded.count() == 4
 
 
 def test_small_block(spark):
@@ -125,12 +176,13 @@ def test_max_matching_brute_force(spark):
     assert S.max_matching(P, 20).count() == 12
 
 
-def test_max_matching_many_rounds_and_ties(spark):
+def test_max_matching_many_rounds_and_ties(spark, monkeypatch):
+    monkeypatch.setattr(S, "TILE", 3)
     rng = np.random.default_rng(15)
     X = rng.normal(size=(14, 2))
     P = _pts(spark, X)
     for k in (8, 11):
-        got = [r["id"] for r in S.max_matching(P, k, checkpoint_every=2).orderBy("pos").collect()]
+        got = [r["id"] for r in S.max_matching(P, k).orderBy("pos").collect()]
         assert got == brute.greedy_matching(list(range(14)), X, k)
     # a grid: many equal distances, ties go to the smallest (i, j)
     G = np.array([[x, y] for x in range(3) for y in range(3)], dtype=float)
@@ -158,18 +210,6 @@ def test_invariant_to_shuffle_partitions(spark):
     assert a == b
 
 
-def test_global_distributed_picks(spark, monkeypatch):
-    rng = np.random.default_rng(17)
-    P = _pts(spark, rng.normal(size=(40, 3)))
-    a = [r["id"] for r in S.kcenter(P, 5).orderBy("pos").collect()]
-    b = [r["id"] for r in S.kmeanspp(P, 4, seed=3).orderBy("pos").collect()]
-    monkeypatch.setattr(S, "MAX_COLLECTED_PICK_VALUES", 0)
-    assert [r["id"] for r in S.kcenter(P, 5, checkpoint_every=2).orderBy("pos").collect()] == a
-    assert [r["id"] for r in S.kmeanspp(P, 4, seed=3).orderBy("pos").collect()] == b
-    with pytest.raises(ValueError):
-        S.kcenter(P.where("id < 3"), 4)
-
-
 def test_kcenter_blocks_ties_go_to_smallest_id(spark):
     P = _pts(spark, [[1.0, 1.0]] * 10, ids=[9, 3, 7, 1, 5, 8, 2, 6, 4, 0])
     P = M.with_block(P, 2, method="mod")

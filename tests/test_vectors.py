@@ -38,8 +38,8 @@ def test_nearest_center_and_objective(spark):
     assert abs(o["obj_non_center"] - total / 37) < 1e-9 and abs(o["obj_all"] - total / 40) < 1e-9
 
 
-def test_chunked_inline_sets(spark, monkeypatch):
-    """Many small chunks give the same answers as one chunk."""
+def test_tiled_sets(spark, monkeypatch):
+    """Many small tiles give the same answers as one inlined set."""
     rng = np.random.default_rng(3)
     X = rng.normal(size=(15, 3))
     P = _pts(spark, X)
@@ -49,7 +49,7 @@ def test_chunked_inline_sets(spark, monkeypatch):
     pw1 = sorted(map(tuple, V.pairwise_distances(P).collect()))
     m1 = V.mean_pairwise_distance(P).collect()[0][0]
     monkeypatch.setattr(V, "MAX_INLINE_VALUES", 7)
-    assert V._n_chunks(15, 3) == 7
+    assert V._n_tiles(15, 3) == 7
     many = sorted(map(tuple, V.nearest_center(P, C).collect()))
     assert one == many
     assert V.farthest_pair(P).collect() == fp1
