@@ -19,16 +19,10 @@ BROADCAST_ROWS = 500_000
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table in the shared folder: cuts lineage, survives lost executors.
-
-    The files go when the session's JVM ends.
-    """
+    """``df`` as a table in the shared folder: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
     return spark.read.schema(df.schema).parquet(path)
 
 
