@@ -73,11 +73,15 @@ def fold_key(word: Column | str) -> Column:
     return F.translate(F.lower(F.translate(_c(word), *FOLD_BEFORE)), *FOLD_AFTER)
 
 
-def sorted_folds(tokens: Column | str) -> Column:
-    """Tokens as ``struct<f: folded, p: position, w: word>`` sorted by (f, p)."""
-    return F.array_sort(
-        F.transform(_c(tokens), lambda w, i: F.struct(fold_key(w).alias("f"), i.alias("p"), w.alias("w")))
-    )
+def sorted_folds(line: Column | str) -> Column:
+    """A line's tokens as ``struct<f: folded, p: position, w: word>`` sorted by (f, p).
+
+    Folding works character by character and leaves spaces, so the line is
+    folded once as a whole and split like the line itself.
+    """
+    line = _c(line)
+    both = F.arrays_zip(tokenize(fold_key(line)).alias("f"), tokenize(line).alias("w"))
+    return F.array_sort(F.transform(both, lambda x, i: F.struct(x["f"].alias("f"), i.alias("p"), x["w"].alias("w"))))
 
 
 def run_ends(sorted_col: Column | str) -> Column:

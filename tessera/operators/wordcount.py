@@ -47,7 +47,7 @@ def line_folded(lines: DataFrame) -> DataFrame:
     """One row per (line, case-folded word): ``doc_id, line_no, fold, word, n``
     with the word spelled as its last occurrence in the line.  Computed
     inside each line's row (no shuffle)."""
-    s = lines.select("doc_id", "line_no", sorted_folds(tokenize("line")).alias("_s"))
+    s = lines.select("doc_id", "line_no", sorted_folds("line").alias("_s"))
     e = s.select("doc_id", "line_no", "_s", run_ends("_s").alias("_e"))
     out = e.select("doc_id", "line_no", F.explode(run_entries("_s", "_e")).alias("_x"))
     return out.select("doc_id", "line_no", "_x.fold", "_x.word", "_x.n")
