@@ -11,8 +11,9 @@
 3. *Confirmation* on the full shingle sets, then components.
 4. *Rest of the dense regions*: a region whose nodes still lie in two or more
    components is compared completely, in blocks of bounded bytes, by exact
-   intersection counts; a block pair returns only links that join components,
-   so neither pairs of a group are rows nor is a link between components lost.
+   intersection counts; a component larger than a block is not compared with
+   itself, and a block pair returns only links that join components, so
+   neither pairs of a group are rows nor is a link between components lost.
 
 The chance that two documents at similarity 0.85 share no region is
 ``(1 - 0.85^4)^16``, 7e-6, and less above.
@@ -323,24 +324,35 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     open_regions = (
         split.groupBy("tree", "key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("tree", "key")
     )
-    held = split.join(open_regions, ["tree", "key"]).join(lengths, "node")
+    held = written(split.join(open_regions, ["tree", "key"]).join(lengths, "node"), "open-regions")
     # one comparison per set of nodes: a region that another order repeats is left out
     whole = held.groupBy("tree", "key").agg(
         F.sum(8 * F.col("n")).alias("bytes"), F.count("*").alias("c"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("same")
     )
-    once = whole.groupBy("c", "bytes", "same").agg(F.min(F.struct("tree", "key")).alias("r")).select("r.tree", "r.key", "bytes")
+    once = whole.groupBy("c", "bytes", "same").agg(F.min(F.struct("tree", "key")).alias("r")).select("r.tree", "r.key")
+    # a component of more than a block has blocks of its own, which are not compared with each other
+    parts = held.join(once, ["tree", "key"]).groupBy("tree", "key", "component").agg(F.sum(8 * F.col("n")).alias("bytes"))
+    parts = parts.withColumn("own", F.when(F.col("bytes") >= BLOCK_BYTES, F.col("component")))
+    total = parts.groupBy("tree", "key", "own").agg(F.ceil(F.sum("bytes") / BLOCK_BYTES).alias("blocks"))
+    placed_parts = (
+        parts.select("tree", "key", "component", "own")
+        .join(total.withColumnRenamed("own", "of"), ["tree", "key"])
+        .where(F.col("own").eqNullSafe(F.col("of")))
+        .select("tree", "key", "component", "own", "blocks")
+    )
     blocked = (
         held.select("tree", "key", "node", "component")
-        .join(once, ["tree", "key"])
-        .withColumn("blocks", F.ceil(F.greatest(F.col("bytes") / BLOCK_BYTES, F.lit(1.0))))
+        .join(placed_parts, ["tree", "key", "component"])
         .withColumn("block", F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks")))
         .join(sets, "node")
-        .groupBy("tree", "key", "block")
+        .groupBy("tree", "key", "own", "block")
         .agg(F.collect_list(F.struct("node", "component", "shingles")).alias("rows"))
+        .withColumn("place", F.xxhash64("own", "block"))
     )
-    blocked = written(blocked, "blocks")
-    left, right = blocked.toDF("tree", "key", "i", "x"), blocked.toDF("tree", "key", "j", "y")
-    rest = arrow_map(left.join(right, ["tree", "key"]).where("i <= j").select("x", "y"), _block_links, "a long, b long")
+    blocked = written(blocked.select("tree", "key", "own", "place", "rows"), "blocks")
+    left, right = blocked.toDF("tree", "key", "own_x", "i", "x"), blocked.toDF("tree", "key", "own_y", "j", "y")
+    met = left.join(right, ["tree", "key"]).where("i <= j AND (own_x IS NULL OR own_y IS NULL OR own_x <> own_y)")
+    rest = arrow_map(met.select("x", "y"), _block_links, "a long, b long")
     more = written(rest.distinct(), "more-links")
     if more.limit(1).count():
         tree_links = label.select(F.col("node").alias("a"), F.col("component").alias("b")).where("a <> b")

@@ -4,6 +4,7 @@ import re
 
 import pytest
 
+from tessera.llm import near_dup
 from tessera.llm.near_dup import near_duplicates
 from tests.llm.conftest import prose
 
@@ -58,9 +59,10 @@ def test_short_texts_and_case(spark):
     check(spark, [(1, "a b c"), (2, "A  B\nC"), (3, "a b c d"), (4, "É"), (5, "é"), (6, None), (7, ""), (8, "a b c d e"), (9, "A B C D E")])
 
 
-@pytest.mark.parametrize("change", [0.005, 0.015, 0.03])
-def test_dense_regions(spark, change):
+@pytest.mark.parametrize("change, block_bytes", [(0.005, 1 << 20), (0.015, 1 << 20), (0.03, 1 << 20), (0.015, 4000), (0.008, 9000)])
+def test_dense_regions(spark, monkeypatch, change, block_bytes):
     """A group of near copies around the threshold: links between copies, not to the original, must all be found."""
+    monkeypatch.setattr(near_dup, "BLOCK_BYTES", block_bytes)
     rng = random.Random(int(change * 1000))
     base = prose(77, 200).split()
     rows = []
