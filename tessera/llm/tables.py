@@ -33,13 +33,18 @@ def small_side(df: DataFrame, rows: int | None = None, limit: int = BROADCAST_RO
 
 
 _shipped: set[str] = set()
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: Bytes of an Arrow batch sent to a worker, unless the application says otherwise.
+BATCH_BYTES = 16 << 20
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the Python workers this package, once per application (as ``--py-files`` would)."""
+    """Give the Python workers this package, once per application (as ``--py-files`` would), in batches of bounded size."""
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
+    if not spark.sparkContext.getConf().contains(_BATCH):  # two texts of a row and their copies fit beside the JVM
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
     package = Path(tessera.__file__).parent
     archive = Path(tempfile.mkdtemp(prefix="tessera-py-")) / "tessera.zip"
     with zipfile.ZipFile(archive, "w") as z:
