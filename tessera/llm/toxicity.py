@@ -100,15 +100,24 @@ class Ftrl:
 def _train_batches(batches: Iterator[pa.RecordBatch], epochs: int) -> Iterator[pa.RecordBatch]:
     """The whole bounded stream in one task; later rounds read the features kept from the first."""
     model, kept = Ftrl(), []
-    for batch in batches:
-        for label, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            i = np.append(np.frombuffer(found, np.int32), np.int32(1 << BITS))
-            model.learn(i, label)
-            if epochs > 1:
-                kept.append((i, label))
+    intercept = np.int32(1 << BITS)
+
+    def learn(part: tuple[np.ndarray, np.ndarray, np.ndarray]) -> None:
+        labels, at, found = part
+        for k, label in enumerate(labels):
+            model.learn(np.append(found[at[k] : at[k + 1]], intercept), label)
+
+    for batch in batches:  # views of the batches: no object per text
+        column = batch.column(1).cast(pa.large_binary())
+        _, offsets, data = column.buffers()
+        at = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1] // 4
+        part = (np.asarray(batch.column(0)), at, np.frombuffer(data or b"", np.int32))
+        learn(part)
+        if epochs > 1:
+            kept.append(part)
     for _ in range(epochs - 1):
-        for i, label in kept:
-            model.learn(i, label)
+        for part in kept:
+            learn(part)
     w = model.weights(slice(None))
     used = np.flatnonzero(w)
     yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(w[used])], ["feature", "weight"])
