@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from functools import partial
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
@@ -55,9 +58,18 @@ def ship(spark: SparkSession) -> None:
 
 
 def arrow_map(df: DataFrame, fn: Callable, schema: str | StructType) -> DataFrame:
-    """``mapInArrow`` with the package at hand in the workers."""
+    """``mapInArrow`` with the package at hand in the workers, which give their memory back after a task."""
     ship(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+    return df.mapInArrow(partial(_and_release, fn=fn), schema)
+
+
+def _and_release(batches: Iterator[pa.RecordBatch], fn: Callable) -> Iterator[pa.RecordBatch]:
+    """A worker lives on between tasks beside the executor's heap; freed arrays would stay with its allocator."""
+    yield from fn(batches)
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def schema_after(df: DataFrame, first: str, rest: str) -> StructType:
