@@ -59,23 +59,27 @@ def quote_links(messages: DataFrame, conv_col: str = "conv_id", turn_col: str =
     rows count once; blank lines are not compared.
     """
     rows = parsed(messages, conv_col, turn_col, text_col)
-    quoting = rows.where(F.exists("lines", lambda x: x["level"] > 0)).distinct()
-    # a passage begins where the level changes to one above 0
-    begins = F.transform(
-        F.col("lines"),
-        lambda x, i: F.when((x["level"] > 0) & ((i == 0) | (F.get(F.col("lines"), i - 1)["level"] != x["level"])), 1).otherwise(0),
-    )
-    numbered = quoting.withColumn("begins", begins).select("conv_id", "turn", "begins", F.posexplode("lines").alias("i", "x"))
+    quoting = rows.where(F.exists("lines", lambda x: x["level"] > 0))
+    # a passage begins where the level changes to one above 0, and is cut out once: the work is linear in the lines
+    lines = F.col("lines")
+    level = lambda i: F.get(lines, i)["level"]
+    begins = F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: (level(i) > 0) & ((i == 0) | (level(i - 1) != level(i))))
+    until = lambda p: F.coalesce(F.get(F.col("begins"), p + 1), F.size(lines))
+    passages = F.transform("begins", lambda s, p: F.struct(s.alias("start"), F.slice(lines, s + 1, until(p) - s).alias("part")))
+    cut = quoting.withColumn("begins", begins).select("conv_id", "turn", F.posexplode(passages).alias("p", "x"))
+    numbered = cut.select("conv_id", "turn", (F.col("p") + 1).alias("passage"), F.col("x.start").alias("start"), F.posexplode("x.part").alias("i", "x"))
     quoted = written(
         numbered.where("x.level > 0")
         .select(
             "conv_id",
             "turn",
-            F.aggregate(F.slice("begins", 1, F.col("i") + 1), F.lit(0), lambda a, b: a + b).alias("passage"),
+            "passage",
             F.col("x.level").alias("level"),
+            (F.col("start") + F.col("i")).alias("line"),
             F.when(_normal(F.col("x.body")) != "", F.xxhash64(_normal(F.col("x.body")))).alias("hash"),
         )
-        .where("hash is not null"),
+        .where("hash is not null")
+        .distinct(),
         "quoted-lines",
     )
     threads = written(quoted.select("conv_id").distinct(), "quoting")
@@ -154,6 +158,7 @@ def reply_ordered(
         F.col(role_col).alias("role"),
         F.col(text_col).cast("string").alias("text"),
     ).withColumn("lines", _lines("text"))
+    rows = rows.select("conv_id", "turn", "role", body.alias("text"))
     out = rows.join(small_side(known), ["conv_id", "turn"], "left")
     return out.select(
         "conv_id",
@@ -162,7 +167,7 @@ def reply_ordered(
         "parent_turn",
         F.coalesce("path", _key(F.col("turn"))).alias("path"),
         F.coalesce("n_quoted", F.lit(0)).cast("long").alias("n_quoted"),
-        body.alias("text"),
+        "text",
     ).withColumn("depth", F.coalesce(F.length("path") - F.length(F.replace("path", F.lit("/"))), F.lit(0)).cast("long")).select(
         "conv_id", "turn", "role", "parent_turn", "depth", "path", "n_quoted", "text"
     )

@@ -44,3 +44,22 @@ def test_same_as_sql(spark):
     want = sorted(map(str, con.sql(oracle_sql()["op4_reply_ordered"]).df()[cols].itertuples(index=False, name=None)))
     got = sorted(map(str, reply_ordered(m).toPandas()[cols].itertuples(index=False, name=None)))
     assert got == want
+
+
+def test_long_quotation_takes_linear_work(spark):
+    quoted = "\n".join("> " * (1 + i % 2) + f"line {i}" for i in range(20_000))
+    own = "\n".join(f"line {i}" for i in range(0, 20_000, 2))
+    m = spark.createDataFrame([(1, 0, "u", own), (1, 1, "u", quoted + "\nanswer")], "conv_id long, turn int, role string, text string")
+    got = {r["turn"]: r for r in reply_ordered(m).collect()}
+    assert (got[1]["parent_turn"], got[1]["n_quoted"], got[1]["text"]) == (0, 10_000, "answer")
+    assert quote_links(m).agg({"passage": "max"}).first()[0] == 19_999
+
+
+def test_two_texts_of_one_turn(spark):
+    rows = [(1, 0, "u", "a\nb"), (1, 1, "u", "> a\n> b\nx"), (1, 1, "u", "> a\ny"), (1, 2, "u", "> x\n> y")]
+    m = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    con = duckdb.connect()
+    con.register("conversations", pd.DataFrame(rows, columns=["conv_id", "turn", "role", "text"]))
+    cols = ["conv_id", "turn", "role", "depth", "path", "n_quoted", "text"]
+    want = sorted(map(str, con.sql(oracle_sql()["op4_reply_ordered"]).df()[cols].itertuples(index=False, name=None)))
+    assert sorted(map(str, reply_ordered(m).toPandas()[cols].itertuples(index=False, name=None))) == want
