@@ -64,12 +64,13 @@ _GAP = re.compile(r"\s+")
 
 
 class Element:
-    __slots__ = ("tag", "attrs", "children", "parent", "dropped")
+    __slots__ = ("tag", "attrs", "children", "parent", "dropped", "digest")
 
     def __init__(self, tag: str, attrs: str, parent: Element | None):
         self.tag, self.attrs, self.parent = tag, attrs, parent
         self.children: list[Element | str] = []
         self.dropped = False
+        self.digest = b""
 
 
 def _says_boilerplate(tag: str, attrs: str) -> bool:
@@ -181,18 +182,18 @@ def _content_root(root: Element) -> Element:
     return root
 
 
-def _text_hash(e: Element) -> bytes:
-    """Digest of tag, attributes and text of a subtree."""
-    h = hashlib.blake2b(digest_size=8)
-    stack: list[Element | str] = [e]
+def _hash_subtrees(root: Element) -> None:
+    """Digest of tag, attributes, texts and children's digests for every element: each text is hashed once."""
+    order, stack = [], [root]
     while stack:
-        x = stack.pop()
-        if isinstance(x, str):
-            h.update(_GAP.sub(" ", x).strip().encode("utf-8", "surrogatepass") + b"\0")
-        else:
-            h.update(f"<{x.tag} {_GAP.sub(' ', x.attrs).strip()}>".encode("utf-8", "surrogatepass"))
-            stack.extend(reversed(x.children))
-    return h.digest()
+        e = stack.pop()
+        order.append(e)
+        stack.extend(c for c in e.children if not isinstance(c, str))
+    for e in reversed(order):
+        h = hashlib.blake2b(f"<{e.tag} {_GAP.sub(' ', e.attrs).strip()}>".encode("utf-8", "surrogatepass"), digest_size=8)
+        for c in e.children:
+            h.update(_GAP.sub(" ", c).strip().encode("utf-8", "surrogatepass") + b"\0" if isinstance(c, str) else c.digest)
+        e.digest = h.digest()
 
 
 def _subtrees(root: Element, content: Element) -> list[tuple[bytes, Element]]:
@@ -209,7 +210,7 @@ def _subtrees(root: Element, content: Element) -> list[tuple[bytes, Element]]:
             if isinstance(c, str) or c.dropped:
                 continue
             if c.tag in _CONTAINER and id(c) not in above and c.tag not in ("html", "body", "article", "main"):
-                out.append((_text_hash(c), c))
+                out.append((c.digest, c))
             stack.append(c)
     return out
 
@@ -236,7 +237,7 @@ def _blocks(root: Element, templates: frozenset[bytes] | set[bytes]) -> list[str
             continue
         elif x.tag in _BLOCK or x.tag in ("#root", "article", "main"):
             flush()
-            if templates and x is not root and x.tag in _CONTAINER and _text_hash(x) in templates:
+            if templates and x is not root and x.tag in _CONTAINER and x.digest in templates:
                 continue
             stack.append(None)
             stack.extend(reversed(x.children))
@@ -258,7 +259,10 @@ def main_text(html: str | None, templates: frozenset[bytes] | set[bytes] = froze
     """The page's main text; ``templates`` holds digests of subtrees to leave out."""
     if not html:
         return ""
-    return "\n".join(_blocks(_read(html)[1], templates))
+    root, content = _read(html)
+    if templates:
+        _hash_subtrees(root)
+    return "\n".join(_blocks(content, templates))
 
 
 def _candidate_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,7 +274,8 @@ def _candidate_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
                 if not html:
                     continue
                 root, content = _read(html)
-                own = _text_hash(content) if content is not root else hashlib.blake2b("\n".join(_blocks(root, set())).encode("utf-8", "surrogatepass"), digest_size=8).digest()
+                _hash_subtrees(root)
+                own = content.digest if content is not root else hashlib.blake2b("\n".join(_blocks(root, set())).encode("utf-8", "surrogatepass"), digest_size=8).digest()
                 for d in {d for d, _ in _subtrees(root, content)}:
                     key.append(k)
                     host.append(h)

@@ -42,3 +42,10 @@ def test_hosts(spark):
     urls = ["http://A.Example:80/x", "https://u:p@b.org?q", "//c.net/", None, "d"]
     df = spark.createDataFrame([(u,) for u in urls], "url string")
     assert [r[0] for r in df.select(host_of(df["url"])).collect()] == ["a.example", "b.org", "c.net", "", ""]
+
+
+def test_deep_nesting_takes_linear_work(spark):
+    deep = "".join(f"<div>level {i} " for i in range(20_000))
+    df = spark.createDataFrame([(i, f"http://h.example/{i}", f"{deep}page {i}") for i in range(4)], "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in main_texts(df).collect()}
+    assert got[2].startswith("level 0\nlevel 1\n") and got[2].endswith("page 2") and got[2].count("\n") == 19_999
