@@ -85,14 +85,14 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats
     return table.select("s", "source", "source_size", F.least("most", F.lit(per_weight) * F.col("weight")).alias("target"))
 
 
-def running(df: DataFrame, order: list[str], value: str, name: str) -> DataFrame:
-    """Sum of ``value`` over the earlier rows of the same ``s`` by ``chunk`` and ``order``."""
-    sums = df.groupBy("s", "chunk").agg(F.sum(value).alias("_sum"))
-    w = Window.partitionBy("s").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select("s", "chunk", F.coalesce(F.sum("_sum").over(w), F.lit(0)).alias("_before"))
-    w = Window.partitionBy("s", "chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+def running(df: DataFrame, order: list[str], value: str, name: str, by: str = "s") -> DataFrame:
+    """Sum of ``value`` over the earlier rows of the same ``by`` by ``chunk`` and ``order``."""
+    sums = df.groupBy(by, "chunk").agg(F.sum(value).alias("_sum"))
+    w = Window.partitionBy(by).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(by, "chunk", F.coalesce(F.sum("_sum").over(w), F.lit(0)).alias("_before"))
+    w = Window.partitionBy(by, "chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     inside = df.withColumn("_inside", F.coalesce(F.sum(value).over(w), F.lit(0)))
-    return inside.join(offsets, ["s", "chunk"]).withColumn(name, F.col("_before") + F.col("_inside")).drop("_before", "_inside", "chunk")
+    return inside.join(offsets, [by, "chunk"]).withColumn(name, F.col("_before") + F.col("_inside")).drop("_before", "_inside", "chunk")
 
 
 def schedule(targets: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -103,8 +103,8 @@ def schedule(targets: DataFrame, block: int = BLOCK) -> DataFrame:
     spark = targets.sparkSession
     goal = F.floor(F.col("target") + 0.5)
     t = targets.where(goal > 0).select("s", "target", goal.alias("goal"), F.ceil(goal / F.lit(block)).alias("blocks"))
-    upto = F.sum("target").over(Window.orderBy("s").rowsBetween(Window.unboundedPreceding, 0))
-    spans = written(t.withColumn("upto", upto).withColumn("since", F.col("upto") - F.col("target")), "spans")
+    t = t.withColumn("all", F.lit(0)).withColumn("chunk", F.floor(F.col("s") / CHUNK_ROWS))  # sources may be many, too
+    spans = written(running(t, ["s"], "target", "since", "all").withColumn("upto", F.col("since") + F.col("target")).drop("all"), "spans")
     total, last, n = spans.agg(F.max("upto"), F.max("s"), F.ceil(F.sum("target") / block)).first()
     n = int(n or 0)
     lo = F.col("since") / F.lit(total or 1.0)

@@ -81,3 +81,8 @@ def test_hot_source_in_many_chunks(spark, monkeypatch):
     monkeypatch.setattr(mixing, "CHUNK_SLOTS", 16)
     rows = [(i, prose(i, 200 + i), "hot" if i % 4 else f"s{i % 5}") for i in range(120)]
     check(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+
+
+def test_many_sources_in_chunks(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "CHUNK_ROWS", 4)
+    check(spark.createDataFrame([(i, prose(i, 20 + i % 90), f"s{i % 30:02}") for i in range(120)], "doc_id long, text string, source string"))
