@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import divergence, mixing, near_dup, packing, queries, toxicity
-from tessera.llm.tables import small_side, written
+from tessera.llm.tables import free_name, small_side, written
 from tessera.session import ensure_checkpoint_dir
 
 
@@ -40,11 +40,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Rows of one doc_id are one document: one of them stays (the one with the
     smallest text).  Rows without a doc_id stay.
     """
+    known = free_name(docs, "known_id")
     verdict = written(near_dup.near_duplicates(docs).where("doc_id is not null"), "verdict")
-    by_id = written(verdict.groupBy(F.col("doc_id").alias("known_id")).agg(F.max("kept").alias("kept"), F.count("*").alias("rows")), "verdict-ids")
-    gone = by_id.where("not kept").select("known_id")
-    repeated = by_id.where("kept and rows > 1").select("known_id")
-    same = F.col("doc_id") == F.col("known_id")
+    by_id = written(verdict.groupBy(F.col("doc_id").alias(known)).agg(F.max("kept").alias("kept"), F.count("*").alias("rows")), "verdict-ids")
+    gone = by_id.where("not kept").select(known)
+    repeated = by_id.where("kept and rows > 1").select(known)
+    same = F.col("doc_id") == F.col(known)
     left = docs.join(small_side(gone), same, "left_anti")
     once = left.join(small_side(repeated), same, "left_anti")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
@@ -58,14 +59,14 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows equal in id and text share their copies evenly.
     """
     key = F.xxhash64("doc_id", "text")
-    taken = mixing.mixed(docs.withColumn("mix_key", key), id_col="mix_key")
-    copies = taken.groupBy(F.col("doc_id").alias("known_key")).agg(
-        F.round(F.sum("taken") / F.greatest(F.sum("size"), F.lit(1))).cast("int").alias("copies")
-    )
-    copies = written(copies.where("copies > 0"), "copies")
-    joined = docs.join(small_side(copies), key == F.col("known_key"))
-    repeated = joined.withColumn("mix_copy", F.explode(F.sequence(F.lit(1), "copies")))
-    return repeated.select(*[F.col(f"`{c}`") for c in docs.columns])
+    taken = mixing.mixed(docs.select(key.alias("key"), "text", "source"), id_col="key")
+    known, n = free_name(docs, "known_key"), free_name(docs, "copies")
+    copies = taken.groupBy(F.col("doc_id").alias(known)).agg(F.round(F.sum("taken") / F.greatest(F.sum("size"), F.lit(1))).cast("int").alias(n))
+    copies = written(copies.where(F.col(n) > 0), "copies")
+    joined = docs.join(small_side(copies), key == F.col(known))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    repeated = joined.select(*columns, F.explode(F.sequence(F.lit(1), n)).alias(free_name(docs, "mix_copy")))
+    return repeated.select(*columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

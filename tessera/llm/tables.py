@@ -72,6 +72,14 @@ def _and_release(batches: Iterator[pa.RecordBatch], fn: Callable) -> Iterator[pa
         trim(0)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores behind it as long as ``df`` has such a column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def schema_after(df: DataFrame, first: str, rest: str) -> StructType:
     """Column ``first`` of ``df`` (of any type, a struct of a whole row too), then the columns of a DDL string."""
     return StructType([StructField(first, df.schema[first].dataType), *StructType.fromDDL(rest).fields])

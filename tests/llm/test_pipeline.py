@@ -57,3 +57,13 @@ def test_registered(spark):
     for n in range(1, 11):
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
     assert E.queries()["pipeline"](spark, SF).count() > 0
+
+
+def test_clashing_names_through_every_stage(spark, odd_docs):
+    names = "known_id known_key copies rows kept mix_key mix_copy row key score predicted component_id taken s chunk".split()
+    docs = odd_docs.selectExpr("*", *[f"'x' AS {n}" for n in names])
+    for name, stage in P.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns, name
+        assert out.count() > 0, name
+    assert P.STAGES[-1][1](spark, docs, SF).count() >= docs.count()
