@@ -196,7 +196,7 @@ def _hash_subtrees(root: Element) -> None:
         e.digest = h.digest()
 
 
-def _subtrees(root: Element, content: Element) -> list[tuple[bytes, Element]]:
+def _subtrees(root: Element, content: Element) -> list[Element]:
     """Containers with text that may be templates: not the content, nor what holds it."""
     above: set[int] = set()
     up: Element | None = content
@@ -210,7 +210,7 @@ def _subtrees(root: Element, content: Element) -> list[tuple[bytes, Element]]:
             if isinstance(c, str) or c.dropped:
                 continue
             if c.tag in _CONTAINER and id(c) not in above and c.tag not in ("html", "body", "article", "main"):
-                out.append((c.digest, c))
+                out.append(c)
             stack.append(c)
     return out
 
@@ -274,9 +274,12 @@ def _candidate_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
                 if not html:
                     continue
                 root, content = _read(html)
+                subtrees = _subtrees(root, content)
+                if not subtrees:
+                    continue
                 _hash_subtrees(root)
                 own = content.digest if content is not root else hashlib.blake2b("\n".join(_blocks(root, set())).encode("utf-8", "surrogatepass"), digest_size=8).digest()
-                for d in {d for d, _ in _subtrees(root, content)}:
+                for d in {e.digest for e in subtrees}:
                     key.append(k)
                     host.append(h)
                     digest.append(int.from_bytes(d, "little", signed=True))
