@@ -10,9 +10,13 @@ at least ``COMMON_SHARE`` of a language's words, found exactly in two passes:
    ``2 / COMMON_SHARE`` words of a language can still be common;
 2. those candidates are counted.
 
-Languages with less than ``LANGUAGE_SHARE`` of all words, and documents
-without a language, use the reference of all documents, so the references are
-bounded (1000 languages, a few hundred words each) whatever the input.
+Every language has its own reference, however small its share of the input.
+The ``MOST_LANGUAGES`` languages with the most words are broadcast (a few
+hundred words each); documents of any others meet their reference by a join on
+the language.  Distances decide only where the reference rests on at least
+``MIN_REFERENCE_WORDS`` words of the document's own language: a foreign one says
+nothing about a document, so one of a smaller language or without a language
+passes by the base rules alone.
 """
 
 from __future__ import annotations
@@ -26,17 +30,22 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.tables import arrow_map, schema_after
+from tessera.llm.tables import arrow_map, schema_after, small_side, written
 from tessera.llm.words import constants, mix64, slices, span_hashes, spans
 
 COMMON_SHARE = 0.005
+#: Share of all words that a language once needed for a reference; decides nothing any more, the tests read it.
 LANGUAGE_SHARE = 0.001
+#: Languages whose references are broadcast (about 3 KB each).
+MOST_LANGUAGES = 2000
 #: Distances above these reject a document ...
 MOST_CLASS_DISTANCE = 0.3
 MOST_WORD_DISTANCE = 0.4
 #: ... that has at least so many words.
 MIN_WORDS = 50
 MIN_WORDS_COMMON = 50
+#: Words of a language from which its reference decides: a word with the least common share is expected 10 times.
+MIN_REFERENCE_WORDS = round(10 / COMMON_SHARE)
 
 #: Classes: lower case, upper case, digit, white space, sentence marks, other ASCII marks, control, beyond ASCII.
 N_CLASSES = 8
@@ -182,6 +191,7 @@ class Reference:
     """Character classes and common words of a language, as shares."""
 
     def __init__(self, classes: list[int], n_words: int, words: dict[int, int]):
+        self.n_words = n_words
         self.classes = np.array(classes, float) / max(1, sum(classes))
         common = sorted((np.uint64(w & 0xFFFFFFFFFFFFFFFF), c) for w, c in words.items() if c >= COMMON_SHARE * n_words)
         self.words = np.array([w for w, _ in common], np.uint64)
@@ -189,34 +199,84 @@ class Reference:
         self.shares = np.append(shares, max(0.0, 1 - shares.sum()))  # the last: all other words
 
 
-def references(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> dict[str, Reference]:
-    """A :class:`Reference` per language with enough words, and ``""`` for all documents."""
-    spark = docs.sparkSession
+def _sums(docs: DataFrame, lang_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """``text, lang`` of the documents, and counts of candidate words per language (word 0: all words, with the classes)."""
     rows = docs.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     found = arrow_map(rows, _candidate_batches, "lang string, word long, n long, classes array<long>")
-    sums = found.groupBy("lang", "word").agg(F.sum("n").alias("n"), *[F.sum(F.col("classes")[i]).alias(f"c{i}") for i in range(N_CLASSES)])
-    sums = sums.persist()
-    try:
-        everything = sums.where((F.col("word") == 0) & (F.col("lang") == _ALL)).first()
-        if everything is None or not everything["n"]:
-            return {_ALL: Reference([0] * N_CLASSES, 0, {})}
-        large = sums.where("word = 0").where(F.col("n") >= LANGUAGE_SHARE * everything["n"])
-        totals = {r["lang"]: r for r in large.collect()}
-        bound = large.select("lang", (COMMON_SHARE / 2 * F.col("n")).alias("least"))
-        words = sums.where("word <> 0").join(F.broadcast(bound), "lang").where("n >= least").select("lang", "word").collect()
-    finally:
-        sums.unpersist()
-    candidates = {lang: np.array(sorted(np.uint64(w["word"] & 0xFFFFFFFFFFFFFFFF) for w in words if w["lang"] == lang), np.uint64) for lang in totals}
-    held = spark.sparkContext.broadcast(candidates)
+    return rows, found.groupBy("lang", "word").agg(F.sum("n").alias("n"), *[F.sum(F.col("classes")[i]).alias(f"c{i}") for i in range(N_CLASSES)])
+
+
+def _largest(sums: DataFrame, rows: DataFrame, most: int) -> tuple[dict[str, Reference], DataFrame | None]:
+    """References of all documents and of the ``most`` largest languages, and the totals of the other languages if there are any.
+
+    A language with fewer words than a judged document has needs no reference.
+    """
+    everything = sums.where((F.col("word") == 0) & (F.col("lang") == _ALL)).first()
+    if everything is None or not everything["n"]:
+        return {_ALL: Reference([0] * N_CLASSES, 0, {})}, None
+    known = sums.where((F.col("word") == 0) & (F.col("lang") != _ALL) & (F.col("n") >= MIN_WORDS))
+    top = known.orderBy(F.desc("n"), "lang").limit(most + 1).collect()
+    totals = {r["lang"]: r for r in [everything, *top[:most]]}
+    spark = rows.sparkSession
+    large = spark.createDataFrame([(k, COMMON_SHARE / 2 * r["n"]) for k, r in totals.items()], "lang string, least double")
+    words = sums.where("word <> 0").join(F.broadcast(large), "lang").where("n >= least").select("lang", "word").collect()
+    lists: dict[str, list[np.uint64]] = {lang: [] for lang in totals}
+    for w in words:
+        lists[w["lang"]].append(np.uint64(w["word"] & 0xFFFFFFFFFFFFFFFF))
+    held = spark.sparkContext.broadcast({lang: np.array(sorted(x), np.uint64) for lang, x in lists.items()})
     counted = arrow_map(rows, partial(_recount_batches, held=held), "lang string, word long, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")).collect()
     exact: dict[str, dict[int, int]] = {lang: {} for lang in totals}
     for r in counted:
         exact[r["lang"]][r["word"]] = r["n"]
-    return {lang: Reference([r[f"c{i}"] for i in range(N_CLASSES)], r["n"], exact[lang]) for lang, r in totals.items()}
+    refs = {lang: Reference([r[f"c{i}"] for i in range(N_CLASSES)], r["n"], exact[lang]) for lang, r in totals.items()}
+    return refs, known.join(F.broadcast(large), "lang", "left_anti") if len(top) > most else None
+
+
+def _word_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of all words per slice and language."""
+    for _, _, _, data, offsets, langs in _slices_with_language(batches, 0, 1):
+        starts, ends, n_words = spans(data, offsets)
+        for name, _, words in _group_words(span_hashes(data, starts, ends, lower=True), n_words, langs):
+            if name != _ALL:
+                values, counts = np.unique(words, return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([name] * len(values), pa.string()), pa.array(values.view(np.int64)), pa.array(counts.astype(np.int64))], ["lang", "word", "n"]
+                )
+
+
+def _others(rows: DataFrame, totals: DataFrame) -> DataFrame:
+    """``lang, total, classes, words, counts`` of the languages in ``totals``; words of small languages are counted completely."""
+    known = totals.select("lang", F.col("n").alias("total"), F.array(*[f"c{i}" for i in range(N_CLASSES)]).alias("classes"))
+    counts = arrow_map(rows.join(small_side(known.select("lang")), "lang", "left_semi").select("text", "lang"), _word_batches, "lang string, word long, n long")
+    counts = counts.groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    common = counts.join(known.select("lang", "total"), "lang").where(F.col("n") >= COMMON_SHARE * F.col("total"))
+    lists = common.groupBy("lang").agg(F.collect_list(F.struct("word", "n")).alias("found"))
+    return known.join(lists, "lang", "left").select("lang", "total", "classes", F.col("found.word").alias("words"), F.col("found.n").alias("counts"))
+
+
+def references(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> dict[str, Reference]:
+    """A :class:`Reference` for each of the largest languages, and ``""`` for all documents."""
+    rows, sums = _sums(docs, lang_col, text_col)
+    return _largest(sums, rows, MOST_LANGUAGES)[0]
+
+
+def _joined_rule_batches(batches: Iterator[pa.RecordBatch], held: Broadcast) -> Iterator[pa.RecordBatch]:
+    """As :func:`_rule_batches`; each row brings the reference of its language."""
+    for batch in batches:
+        langs, refs = batch.column(2).to_pylist(), {_ALL: held.value[_ALL]}
+        for i, lang in enumerate(langs):
+            if lang not in refs:
+                total, classes, words, counts = (batch.column(j)[i].as_py() for j in range(3, 7))
+                refs[lang] = Reference(classes, total, dict(zip(words or (), counts or ())))
+        yield from _rules(iter([batch]), refs)
 
 
 def _rule_batches(batches: Iterator[pa.RecordBatch], held: Broadcast) -> Iterator[pa.RecordBatch]:
-    refs: dict[str, Reference] = held.value
+    yield from _rules(batches, held.value)
+
+
+def _rules(batches: Iterator[pa.RecordBatch], refs: dict[str, Reference]) -> Iterator[pa.RecordBatch]:
+    """Statistics and distances per row, and whether its own language's reference is large enough to decide."""
     for batch, lo, hi, data, offsets, langs in _slices_with_language(batches, 1, 2):
         starts, ends, n_words = spans(data, offsets)
         exact = span_hashes(data, starts, ends)
@@ -231,6 +291,8 @@ def _rule_batches(batches: Iterator[pa.RecordBatch], held: Broadcast) -> Iterato
         ]
         by_class, by_word = np.zeros(hi - lo), np.zeros(hi - lo)
         keys = np.array([x if x in refs else _ALL for x in langs])
+        enough = {str(k): k != _ALL and refs[str(k)].n_words >= MIN_REFERENCE_WORDS for k in np.unique(keys)}
+        judged = np.array([enough[k] for k in keys.tolist()], bool)
         word_text = np.repeat(np.arange(hi - lo), n_words)
         for key in np.unique(keys):
             ref, mine = refs[str(key)], np.flatnonzero((keys == key) & (n_words > 0))
@@ -245,8 +307,8 @@ def _rule_batches(batches: Iterator[pa.RecordBatch], held: Broadcast) -> Iterato
             p = classes[mine] / np.maximum(1, classes[mine].sum(1))[:, None]
             by_class[mine] = _distance(p, np.broadcast_to(ref.classes, p.shape))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0).slice(lo, hi - lo), *[pa.array(x.astype(np.int64)) for x in base], pa.array(by_class), pa.array(by_word)],
-            ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "class_distance", "word_distance"],
+            [batch.column(0).slice(lo, hi - lo), *[pa.array(x.astype(np.int64)) for x in base], pa.array(by_class), pa.array(by_word), pa.array(judged)],
+            ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "class_distance", "word_distance", "judged"],
         )
 
 
@@ -261,22 +323,35 @@ def quality_rules(
     """``doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, class_distance, word_distance`` per row.
 
     Null and empty texts have zeros and fail the base rules (fewer than 50
-    words).  A null or rare language is compared with all documents.  Repeated
-    rows give repeated results; other columns are not read.  Distances are 0
-    without words; they decide from ``MIN_WORDS`` (classes) and
-    ``MIN_WORDS_COMMON`` (common words) words on.
+    words).  Repeated rows give repeated results; other columns are not read.
+    Distances are 0 without words; they decide from ``MIN_WORDS`` (classes) and
+    ``MIN_WORDS_COMMON`` (common words) words on, if the language has
+    ``MIN_REFERENCE_WORDS`` words in all.  Without a language, or with one of
+    fewer than ``MIN_WORDS`` words in all, they are the distances from all
+    documents and decide nothing.
     """
-    held = docs.sparkSession.sparkContext.broadcast(references(docs, lang_col, text_col))
+    texts, sums = _sums(docs, lang_col, text_col)
+    sums = sums.persist()
+    try:
+        refs, totals = _largest(sums, texts, MOST_LANGUAGES)
+        totals = totals if totals is None else written(totals, "language-totals")
+    finally:
+        sums.unpersist()
+    held = docs.sparkSession.sparkContext.broadcast(refs)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    stats = arrow_map(
+    schema = schema_after(
         rows,
-        partial(_rule_batches, held=held),
-        schema_after(
-            rows,
-            "doc_id",
-            "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, class_distance double, word_distance double",
-        ),
+        "doc_id",
+        "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, class_distance double, word_distance double, judged boolean",
     )
+    if totals is None:
+        stats = arrow_map(rows, partial(_rule_batches, held=held), schema)
+    else:
+        others = written(_others(texts, totals), "language-references")
+        names = small_side(others.select("lang"))
+        near = rows.join(names, "lang", "left_anti").select("doc_id", "text", "lang")
+        far = rows.join(others, "lang").select("doc_id", "text", "lang", "total", "classes", "words", "counts")
+        stats = arrow_map(near, partial(_rule_batches, held=held), schema).unionAll(arrow_map(far, partial(_joined_rule_batches, held=held), schema))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     unlike = ((F.col("n_words") >= MIN_WORDS) & (F.col("class_distance") > most_class)) | (
         (F.col("n_words") >= MIN_WORDS_COMMON) & (F.col("word_distance") > most_word)
@@ -289,7 +364,7 @@ def quality_rules(
         "n_dup_lines",
         "n_repeat_words",
         failed.alias("base_failed"),
-        (~failed & ~unlike).alias("kept"),
+        (~failed & ~(F.col("judged") & unlike)).alias("kept"),
         "class_distance",
         "word_distance",
     )

@@ -91,3 +91,26 @@ def test_slices_do_not_change_references(spark, odd_docs, monkeypatch):
     assert set(whole) == set(parts)
     for k in whole:
         assert np.array_equal(whole[k].words, parts[k].words) and np.allclose(whole[k].shares, parts[k].shares)
+
+
+def foreign(seed, n):
+    """Words of a language beyond ASCII, some of them common."""
+    return " ".join("".join(chr(0x430 + ord(c) % 32) for c in w) for w in prose(seed, n).split())
+
+
+def rare_language(spark):
+    """45 clean documents of a language with under 0.1 % of all words, junk in it, one without a language and one of a tiny language."""
+    rows = [(1000 + i, prose(i, 30_000), "en") for i in range(120)]
+    rows += [(100 + i, foreign(i, 60), "uk") for i in range(45)]
+    rows += [(200, " ".join(f"q{j}z|{j}" for j in range(60)), "uk"), (300, foreign(7, 90), None), (301, foreign(8, 90), "zz")]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string")
+
+
+def test_rare_languages_have_their_own_reference(spark, monkeypatch):
+    df = rare_language(spark).persist()
+    want = set(range(100, 145)) | {300, 301}
+    rows = {r["doc_id"]: r for r in D.quality_rules(df).where("doc_id >= 100 and doc_id < 1000").collect()}
+    assert {k for k, r in rows.items() if r["kept"]} == want
+    monkeypatch.setattr(D, "MOST_LANGUAGES", 1)  # the others meet their references by a join
+    joined = {r["doc_id"]: r for r in D.quality_rules(df).where("doc_id >= 100 and doc_id < 1000").collect()}
+    assert joined == rows
