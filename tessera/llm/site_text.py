@@ -7,7 +7,8 @@ attributes and text), on how many *different* articles of the host the
 subtree stands; copies of one article count once.  Subtrees that recur on many
 of them are templates.  Pass 2 reads the pages again and leaves out templates,
 and boilerplate that its element or class names say (menus, headers, footers,
-sidebars, notices, adverts, forms, comments).
+sidebars, notices, adverts, forms, comments).  A name never takes away what
+holds the article or most of the text.
 
 Counting is two aggregates with partial sums, so a host with a third of all
 pages is one row per task; page texts are never shuffled unless the list of
@@ -48,6 +49,17 @@ _DROPPED_NAMES = frozenset(
     "login share sharing social comment comments respond discussion replies disqus related recommended pagination pager copyright "
     "skip form search paywall alert topbar bottombar toolbar".split()
 )
+#: Names of these parts are never names of a wrapper of the text, unless the page has no other text.
+_STRONG = frozenset("nav footer aside menu dialog head button label search".split()) | frozenset(
+    "nav navbar navigation menu breadcrumb breadcrumbs footer widget ad ads advert adverts advertisement sponsor sponsored cookie cookies "
+    "consent gdpr newsletter subscribe subscription signup login share sharing social comment comments respond discussion replies disqus "
+    "related recommended pagination pager copyright search".split()
+)
+#: Class words of an ``article`` that is a comment or points to another page.
+_NO_ARTICLE = frozenset("comment teaser related recommended promo preview".split())
+#: Elements whose text does not count in comparing parts of a page.
+_NO_TEXT = _RAW | {"a", "button", "label", "option"}
+_WEAK, _SURE, _NEVER = 1, 2, 3
 _CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
     "dt": ({"dt", "dd"}, {"dl"}),
@@ -64,40 +76,47 @@ _GAP = re.compile(r"\s+")
 
 
 class Element:
-    __slots__ = ("tag", "attrs", "children", "parent", "dropped", "digest")
+    __slots__ = ("tag", "attrs", "children", "parent", "dropped", "digest")  # dropped: 0 or how surely
 
     def __init__(self, tag: str, attrs: str, parent: Element | None):
         self.tag, self.attrs, self.parent = tag, attrs, parent
         self.children: list[Element | str] = []
-        self.dropped = False
+        self.dropped = 0
         self.digest = b""
 
 
-def _says_boilerplate(tag: str, attrs: str) -> bool:
-    if tag in _DROPPED or tag in _RAW:
-        return True
+def _says_boilerplate(tag: str, attrs: str) -> int:
+    """0, or how surely the names say boilerplate: ``_WEAK`` ones may wrap the text, ``_NEVER`` is not shown at all."""
+    if tag in _RAW or tag == "head":
+        return _NEVER
+    found = 0
+    if tag in _DROPPED:
+        found = _SURE if tag in _STRONG else _WEAK
     if not attrs or "=" not in attrs and "hidden" not in attrs:
-        return False
+        return found
     for m in _ATTR.finditer(attrs):
         name, value = m[1].lower(), unescape(m[2] or m[3] or m[4] or "").lower()
         if name in ("class", "id") and tag not in ("html", "body", "article", "main"):
             for word in value.split():
                 parts = _NAME_PART.findall(word)
                 if not _DROPPED_NAMES.isdisjoint(parts) and "content" not in parts and "article" not in parts:
-                    return True
+                    found = max(found, _WEAK if _STRONG.isdisjoint(parts) else _SURE)
+        elif name == "class" and tag == "article" and not _NO_ARTICLE.isdisjoint(value.split()):
+            found = max(found, _SURE)
         elif name == "role" and value.strip() in _DROPPED_ROLES:
-            return True
+            found = max(found, _WEAK if value.strip() in ("banner", "form") else _SURE)
         elif name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
+            return _NEVER
         elif name == "style" and "display:none" in value.replace(" ", ""):
-            return True
-    return False
+            return _NEVER
+    return found
 
 
 def parse(html: str) -> Element:
     """A tree of elements and texts; unclosed and stray tags as browsers close them, nearly."""
     root = node = Element("#root", "", None)
     at, n = 0, len(html)
+    unclosed: set[str] = set()  # raw elements without an end tag in the rest of the page
     while at < n:
         m = _TOKEN.search(html, at)
         if not m:
@@ -141,32 +160,63 @@ def parse(html: str) -> Element:
         child = Element(tag, attrs, node)
         node.children.append(child)
         if tag in _RAW and not attrs.endswith("/"):
-            end = re.compile(rf"</{tag}\s*>", re.I).search(html, at)
-            at = end.end() if end else n
+            end = None if tag in unclosed else re.compile(rf"</{tag}\s*>", re.I).search(html, at)
+            if end:
+                at = end.end()
+            elif tag in ("script", "style"):
+                at = n
+            else:  # ends where its parent does
+                unclosed.add(tag)
+                node = child
         elif not attrs.endswith("/"):
             node = child
     return root
 
 
-def _mark(node: Element) -> None:
-    """Marks boilerplate by name, without recursion (pages may nest deeply)."""
-    stack = [node]
+def _mark(node: Element, inside: bool = False) -> list[Element]:
+    """Marks boilerplate by name, without recursion (pages may nest deeply); returns the marked elements that may hold text."""
+    found, stack = [], [(node, inside)]
     while stack:
-        e = stack.pop()
+        e, inside = stack.pop()
+        inside = inside or e.tag in ("article", "main")
         for c in e.children:
             if not isinstance(c, str):
-                in_article = e.tag in ("article", "main")
-                c.dropped = _says_boilerplate(c.tag, c.attrs) and not (c.tag == "header" and in_article and _has_heading(c))
+                c.dropped = _says_boilerplate(c.tag, c.attrs)
+                if c.dropped == _WEAK and _has_heading(c) and _heads_text(c, inside):
+                    c.dropped = 0
                 if not c.dropped:
-                    stack.append(c)
+                    stack.append((c, inside))
+                elif c.dropped != _NEVER:
+                    found.append(c)
+    return found
+
+
+def _heads_text(e: Element, inside: bool) -> bool:
+    """A header of the article: by its place, or by its name (``post-header``)."""
+    if e.tag == "header":
+        return inside
+    names = {p for m in _ATTR.finditer(e.attrs) if m[1].lower() in ("class", "id") for p in _NAME_PART.findall((m[2] or m[3] or m[4] or "").lower())}
+    return "header" in names and (inside or not names.isdisjoint(("post", "entry", "story")))
 
 
 def _has_heading(e: Element) -> bool:
     return any(not isinstance(c, str) and (c.tag in ("h1", "h2") or c.tag == "hgroup") for c in e.children)
 
 
-def _content_root(root: Element) -> Element:
-    """The only or longest ``article``, else ``main``, else the root."""
+def _weight(e: Element) -> int:
+    """Characters of text under ``e`` outside links, buttons and what is marked surely."""
+    n, stack = 0, [e]
+    while stack:
+        for c in stack.pop().children:
+            if isinstance(c, str):
+                n += len(c.strip())
+            elif c.tag not in _NO_TEXT and c.dropped < _SURE:
+                stack.append(c)
+    return n
+
+
+def _articles(root: Element, least: int) -> dict[str, list[Element]]:
+    """Outermost ``article`` and all ``main`` elements, also those in elements marked less surely than ``least``."""
     found: dict[str, list[Element]] = {"article": [], "main": []}
     stack = [root]
     while stack:
@@ -175,11 +225,99 @@ def _content_root(root: Element) -> Element:
             found[e.tag].append(e)
             if e.tag == "article":
                 continue
-        stack.extend(c for c in reversed(e.children) if not isinstance(c, str) and not c.dropped)
+        stack.extend(c for c in reversed(e.children) if not isinstance(c, str) and c.dropped < least)
+    return found
+
+
+def _above(e: Element) -> list[Element]:
+    out, up = [], e.parent
+    while up is not None:
+        out.append(up)
+        up = up.parent
+    return out
+
+
+def _linked_heading(e: Element) -> bool:
+    """The first heading is a link, as in a teaser of another page."""
+    stack: list[tuple[Element, bool]] = [(e, False)]
+    while stack:
+        x, linked = stack.pop()
+        if x.tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
+            texts = [c for c in x.children if not isinstance(c, str) or c.strip()]
+            return linked or bool(texts) and all(not isinstance(c, str) and c.tag == "a" for c in texts)
+        stack.extend((c, linked or x.tag == "a") for c in reversed(x.children) if not isinstance(c, str) and not c.dropped)
+    return False
+
+
+def _free(root: Element, least: int) -> None:
+    """Unmarks elements, marked less surely than ``least``, that hold most of the text under ``root``."""
+    some = [e for e in _marked(root) if e.dropped < least]
+    inner = list(some)
+    while inner:
+        new = [c for c in _mark(inner.pop()) if c.dropped < least]
+        inner += new
+        some += new
+    if not some:
+        return
+    order, stack = [], [root]
+    while stack:
+        e = stack.pop()
+        order.append(e)
+        stack.extend(c for c in e.children if not isinstance(c, str) and c.dropped < least and c.tag not in _NO_TEXT)
+    held: dict[int, int] = {}
+    for e in reversed(order):
+        held[id(e)] = sum(len(c.strip()) if isinstance(c, str) else held.get(id(c), 0) for c in e.children)
+    for e in some:
+        if 2 * held.get(id(e), 0) > held[id(root)]:
+            e.dropped = 0
+
+
+def _content_roots(root: Element, marked: list[Element]) -> list[Element]:
+    """The articles of a page that are no teasers or comments, else ``main``, else the root."""
+    found = _articles(root, _WEAK)
+    if marked and _articles(root, _NEVER) != found:
+        inner = [e for e in marked if e.dropped == _WEAK]
+        while inner:
+            inner += [c for c in _mark(inner.pop()) if c.dropped == _WEAK]
+        wide = _articles(root, _SURE)
+        sure = not (wide["article"] or wide["main"])
+        if sure:  # only one that is most of the page
+            wide = {k: [e for e in x if not _says_boilerplate(e.tag, e.attrs) and _weight(e) > _weight(root)] for k, x in _articles(root, _NEVER).items()}
+        for tag in ("article", "main"):
+            if wide[tag]:
+                for e in reversed(_above(max(wide[tag], key=_weight))):  # outermost first
+                    if e.dropped == _NEVER:
+                        break
+                    if e.dropped:
+                        e.dropped = 0
+                        _mark(e)
+                break
+        found = _articles(root, _WEAK)
     for tag in ("article", "main"):
         if found[tag]:
-            return max(found[tag], key=lambda e: sum(map(len, _blocks(e, frozenset()))))
-    return root
+            own = [e for e in found[tag] if not _linked_heading(e)] if len(found[tag]) > 1 else found[tag]
+            roots = own or found[tag]
+            if tag == "main":
+                roots = [max(roots, key=_weight)]
+            for e in roots if marked else ():
+                _free(e, _SURE)
+            return roots
+    if marked:
+        _free(root, _SURE)
+    return [root]
+
+
+def _marked(root: Element) -> list[Element]:
+    """Outermost marked elements under ``root`` that may hold text."""
+    found, stack = [], [root]
+    while stack:
+        for c in stack.pop().children:
+            if not isinstance(c, str):
+                if not c.dropped:
+                    stack.append(c)
+                elif c.dropped != _NEVER:
+                    found.append(c)
+    return found
 
 
 def _hash_subtrees(root: Element) -> None:
@@ -196,13 +334,14 @@ def _hash_subtrees(root: Element) -> None:
         e.digest = h.digest()
 
 
-def _subtrees(root: Element, content: Element) -> list[Element]:
+def _subtrees(root: Element, contents: list[Element]) -> list[Element]:
     """Containers with text that may be templates: not the content, nor what holds it."""
     above: set[int] = set()
-    up: Element | None = content
-    while up is not None:
-        above.add(id(up))
-        up = up.parent
+    for content in contents:
+        up: Element | None = content
+        while up is not None and id(up) not in above:
+            above.add(id(up))
+            up = up.parent
     out, stack = [], [root]
     while stack:
         e = stack.pop()
@@ -249,20 +388,25 @@ def _blocks(root: Element, templates: frozenset[bytes] | set[bytes]) -> list[str
     return out
 
 
-def _read(html: str) -> tuple[Element, Element]:
+def _read(html: str) -> tuple[Element, list[Element]]:
+    """The tree of a page and the elements that hold its text."""
     root = parse(html)
-    _mark(root)
-    return root, _content_root(root)
+    marked = _mark(root)
+    contents = _content_roots(root, marked)
+    if marked and not any(_blocks(e, frozenset()) for e in contents):  # all text is in what names say is boilerplate
+        _free(root, _NEVER)
+        contents = [root]
+    return root, contents
 
 
 def main_text(html: str | None, templates: frozenset[bytes] | set[bytes] = frozenset()) -> str:
     """The page's main text; ``templates`` holds digests of subtrees to leave out."""
     if not html:
         return ""
-    root, content = _read(html)
+    root, contents = _read(html)
     if templates:
         _hash_subtrees(root)
-    return "\n".join(_blocks(content, templates))
+    return "\n".join(x for e in contents for x in _blocks(e, templates))
 
 
 def _candidate_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,12 +417,13 @@ def _candidate_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
             for k, h, html in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2).to_pylist()):
                 if not html:
                     continue
-                root, content = _read(html)
-                subtrees = _subtrees(root, content)
+                root, contents = _read(html)
+                subtrees = _subtrees(root, contents)
                 if not subtrees:
                     continue
                 _hash_subtrees(root)
-                own = content.digest if content is not root else hashlib.blake2b("\n".join(_blocks(root, set())).encode("utf-8", "surrogatepass"), digest_size=8).digest()
+                text = b"".join(e.digest for e in contents) if contents[0] is not root else "\n".join(_blocks(root, set())).encode("utf-8", "surrogatepass")
+                own = contents[0].digest if len(contents) == 1 and contents[0] is not root else hashlib.blake2b(text, digest_size=8).digest()
                 for d in {e.digest for e in subtrees}:
                     key.append(k)
                     host.append(h)

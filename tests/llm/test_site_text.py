@@ -49,3 +49,28 @@ def test_deep_nesting_takes_linear_work(spark):
     df = spark.createDataFrame([(i, f"http://h.example/{i}", f"{deep}page {i}") for i in range(4)], "page_id long, url string, html string")
     got = {r["page_id"]: r["text"] for r in main_texts(df).collect()}
     assert got[2].startswith("level 0\nlevel 1\n") and got[2].endswith("page 2") and got[2].count("\n") == 19_999
+
+
+def test_names_do_not_take_the_article():
+    story = "<article><h1>Head</h1><p>the story</p></article>"
+    for wrapped in (
+        f'<div class="layout with-sidebar">{story}<div class="sidebar"><p>links</p></div></div>',
+        f'<div class="has-banner"><div class="page with-sidebar">{story}</div></div>',
+        f'<form action="x"><div class="nav"><p>menu</p></div>{story}</form>',
+        f'{story}<section id="comments"><article class="comment"><p>a reader with a much longer text than the story</p></article></section>',
+        f'{story}<div><article class="teaser"><h2>Other</h2></article><article><h2><a href="o">Other</a></h2><p>more</p></article></div>',
+        '<article><div class="post-header"><h1>Head</h1></div><div class="with-sidebar"><p>the story</p></div></article>',
+        '<form><div class="post-header"><h1>Head</h1></div><p>the story</p><div class="footer">f</div></form>',
+        f'<div class="with-sidebar">{story}<div id="comments"><article class="comment"><p>a reader with a longer text</p></article></div></div>',
+        f'<div class="has-comments"><div class="with-share">{story}</div></div><p>footer</p>',
+        f'<div><svg><path d="x"></div><head><title>t</head>{story}',
+        f'<div><noscript><p>no script</div>{story}',
+    ):
+        assert main_text(f"<body>{wrapped}</body>") == "Head\nthe story", wrapped
+    assert main_text("<article><p>one</p></article><article><p>part two</p></article>") == "one\npart two"
+    assert main_text('<div class="comments-open"><p>all there is</p></div>') == "all there is"
+    assert main_text("<body><script>var x</body><p>code") == ""
+
+
+def test_deep_wrappers_take_linear_work():
+    assert main_text('<div class="has-banner">' * 5000 + "<p>text</p>" + "</div>" * 5000) == "text"
