@@ -4,8 +4,8 @@ Pass 1 reads every page into blocks and reports the element subtrees that may
 be part of a template: containers outside the article, and containers inside
 it that are not paragraphs.  Spark counts, per host and subtree hash (tag,
 attributes and text), on how many *different* articles of the host the
-subtree stands; copies of one article count once.  Subtrees that recur on many
-of them are templates.  Pass 2 reads the pages again and leaves out templates,
+subtree stands; copies of one article count once.  Subtrees that recur on
+``MIN_PAGES`` of them are templates, however many articles the host has.  Pass 2 reads the pages again and leaves out templates,
 and boilerplate that its element or class names say (menus, headers, footers,
 sidebars, notices, adverts, forms, comments).  A name never takes away what
 holds the article or most of the text.
@@ -28,10 +28,8 @@ from pyspark.sql import functions as F
 
 from tessera.llm.tables import arrow_map, schema_after, small_side, written
 
-#: A subtree is a template if it stands on at least this many different articles of its host ...
+#: A subtree is a template if it stands on at least this many different articles of its host.
 MIN_PAGES = 3
-#: ... and on at least this share of them.
-MIN_SHARE = 0.02
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style noscript template iframe textarea title svg math select object canvas noembed noframes xmp".split())
@@ -454,16 +452,14 @@ def host_of(url: F.Column) -> F.Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
 
 
-def templates(candidates: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """``host, digest`` of subtrees on at least ``min_pages`` and ``min_share`` of a host's different articles."""
+def templates(candidates: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
+    """``host, digest`` of subtrees on at least ``min_pages`` different articles of a host."""
     seen = candidates.select("host", "digest", "article").distinct()
-    articles = candidates.select("host", "article").distinct().groupBy("host").agg(F.count("*").alias("articles"))
-    counts = seen.groupBy("host", "digest").agg(F.count("*").alias("pages")).where(F.col("pages") >= min_pages)
-    return counts.join(articles, "host").where(F.col("pages") >= min_share * F.col("articles")).select("host", "digest")
+    return seen.groupBy("host", "digest").agg(F.count("*").alias("pages")).where(F.col("pages") >= min_pages).select("host", "digest")
 
 
 def main_texts(
-    pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE
+    pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_pages: int = MIN_PAGES
 ) -> DataFrame:
     """``page_id, url, text, n_chars`` per row of ``pages``.
 
@@ -484,7 +480,7 @@ def main_texts(
         ),
         "subtrees",
     )
-    hits = found.join(templates(found, min_pages, min_share), ["host", "digest"]).groupBy("page_key").agg(F.collect_set("digest").alias("templates"))
+    hits = found.join(templates(found, min_pages), ["host", "digest"]).groupBy("page_key").agg(F.collect_set("digest").alias("templates"))
     hits = written(hits, "template-hits")
     marked = rows.join(small_side(hits, limit=100_000), "page_key", "left").select("page_id", "url", "html", "templates")
     return arrow_map(marked, _text_batches, schema_after(rows, "page_id", "url string, text string, n_chars long"))

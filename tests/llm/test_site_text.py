@@ -74,3 +74,12 @@ def test_names_do_not_take_the_article():
 
 def test_deep_wrappers_take_linear_work():
     assert main_text('<div class="has-banner">' * 5000 + "<p>text</p>" + "</div>" * 5000) == "text"
+
+
+def test_section_templates_of_large_hosts_go(spark):
+    page = '<body><div class="z"><p>text {i}</p></div>{more}</body>'
+    block = "<div class='x7'><p>Also in this section</p></div>"
+    rows = [(i, f"http://h.example/{i}", page.format(i=i, more=block if i < 5 else f"<div><p>end {i}</p></div>")) for i in range(400)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in main_texts(df).collect()}
+    assert got == {i: f"text {i}" if i < 5 else f"text {i}\nend {i}" for i in range(400)}
