@@ -7,14 +7,18 @@ whose last piece starts first wins; a character without a piece of its own
 costs the lowest score less ``UNKNOWN_PENALTY`` and counts one byte piece per
 UTF-8 byte (byte fallback).
 
-Texts are cut before every space (the space becomes the word-start mark, one
-mark is put in front of the text), so equal words share one result; a worker
-keeps results of the words it saw last in a bounded cache.
+Every space becomes the word-start mark and one mark is put in front of the
+text.  Texts are cut only where no piece can cross: before a mark that follows
+another character, so runs of spaces meet the pieces made of several marks.
+Equal parts share one result; a worker keeps results of the parts it saw last
+in a bounded cache.  A vocabulary with a mark behind another character leaves
+the text whole.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 from functools import partial
 
@@ -28,6 +32,9 @@ from tessera.llm.tables import arrow_map, schema_after
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
+#: A run of marks with what follows it; the text's parts if no piece holds a mark behind another character.
+_PART = re.compile(f"{MARK}+[^{MARK}]*")
+_CROSSES = re.compile(f"[^{MARK}]{MARK}")
 #: Words whose results a worker keeps; beyond it the cache starts anew.
 CACHE_WORDS = 400_000
 
@@ -54,10 +61,16 @@ def read_vocabulary(path: str) -> Vocabulary:
 
 
 class Counter(dict):
-    """Best score and piece count by word, of the words seen last."""
+    """Best score and piece count by word, of the words seen last.
 
-    def __init__(self, vocabulary: Vocabulary):
+    With ``split`` texts are cut before every mark (a tokenizer that splits
+    so never uses pieces of several marks).
+    """
+
+    def __init__(self, vocabulary: Vocabulary, split: bool = True):
         super().__init__()
+        self.split = split
+        self.whole = any(_CROSSES.search(p) for p, _ in vocabulary)
         self.automaton = ahocorasick.Automaton()
         for piece, score in vocabulary:
             self.automaton.add_word(piece, (len(piece), score))
@@ -98,7 +111,11 @@ class Counter(dict):
         words = [MARK + w for w in text.replace(MARK, " ").split(" ")]
         if words[0] == MARK:
             words = words[1:]  # the text's own first mark is enough
-        scores, counts = zip(*map(self.__getitem__, words)) if words else ((), ())
+        parts = words
+        if not self.split and (self.whole or MARK in words):
+            joined = "".join(words)
+            parts = [joined] if self.whole else _PART.findall(joined)
+        scores, counts = zip(*map(self.__getitem__, parts)) if parts else ((), ())
         return len(words), sum(counts), math.fsum(scores)
 
 
@@ -109,7 +126,7 @@ def _count_batches(batches: Iterator[pa.RecordBatch], held: Broadcast) -> Iterat
     key, pieces = held.value
     if key not in _counters:
         _counters.clear()
-        _counters[key] = Counter(pieces)
+        _counters[key] = Counter(pieces, split=False)
     counter = _counters[key]
     for batch in batches:
         for lo in range(0, batch.num_rows, 256):
