@@ -8,8 +8,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import divergence, mixing, near_dup, packing, pivot_search, quality_qda, quotes, site_text, toxicity, unigram_counts
-from tessera.session import ensure_checkpoint_dir
+from tessera.llm import (
+    divergence,
+    mixing,
+    near_dup,
+    packing,
+    periodic,
+    phrases,
+    pivot_search,
+    quality_qda,
+    quotes,
+    site_text,
+    toxicity,
+    unigram_counts,
+    warc,
+)
+from tessera.llm.tables import written
+from tessera.session import ensure_checkpoint_dir, scratch_path
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -72,6 +87,24 @@ def op10_top_inner_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivot_search.top_k(_table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0", 5)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2,000 phrases of every language; languages without a frequent phrase have no row."""
+    return phrases.collocations(phrases.phrase_counts(_table(spark, sf_dir, "documents")))
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives in the shared folder, then read back through the index."""
+    folder = scratch_path(spark, "warc")
+    index = written(warc.write_archives(_table(spark, sf_dir, "pages"), folder), "warc-index")
+    read = warc.read_records(index, folder, payload=False)
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every document, after every tenth text was given a periodic tail."""
+    return periodic.periodic_digests(_table(spark, sf_dir, "documents"), tails=True)
+
+
 def queries() -> dict[str, QueryFn]:
     found = [
         op1_near_duplicates,
@@ -84,6 +117,9 @@ def queries() -> dict[str, QueryFn]:
         op8_toxicity,
         op9_quality,
         op10_top_inner_products,
+        op11_collocations,
+        op12_warc,
+        op13_periodic_runs,
     ]
     return {f.__name__: f for f in found}
 
@@ -134,6 +170,29 @@ _SQL = {
         FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(c.e) = len(q.e) WHERE q.vec_id % 50 = 0),
       r AS (SELECT query_id, vec_id, score, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
       SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op11_collocations": rf"""WITH pieces AS (SELECT coalesce(lang, 'und') AS lang,
+        unnest(regexp_split_to_array(translate(text, '{_UPPER}', '{_LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents WHERE text IS NOT NULL),
+      w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces),
+      total AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM w GROUP BY lang),
+      grams AS (SELECT lang, m, array_to_string(ws[i:i + m - 1], ' ') AS phrase FROM (SELECT lang, ws, m, unnest(generate_series(1, len(ws) - m + 1)) AS i
+        FROM w, (SELECT unnest([1, 2, 3, 4]) AS m) WHERE len(ws) >= m)),
+      f AS (SELECT lang, m, phrase, count(*) AS c FROM grams GROUP BY ALL HAVING count(*) >= 30),
+      cand AS (SELECT lang, m, phrase, c AS a, string_split(phrase, ' ') AS ws FROM f WHERE m >= 2),
+      cuts AS (SELECT lang, m, phrase, a, ws, unnest(generate_series(1, m - 1)) AS k FROM cand),
+      scored AS (SELECT cuts.lang, cuts.m, cuts.phrase, a, k, x.c AS l, y.c AS r, CAST(2000000 * CAST(a AS HUGEINT) // (CAST(x.c AS HUGEINT) + y.c) AS BIGINT) AS score
+        FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = array_to_string(ws[1:k], ' ') JOIN f y ON y.lang = cuts.lang AND y.phrase = array_to_string(ws[k + 1:], ' ')),
+      best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS p FROM scored) WHERE p = 1),
+      inside AS (SELECT lang, array_to_string(ws[i:i + z - 1], ' ') AS phrase, max(a) AS around FROM (SELECT lang, ws, a, z, unnest(generate_series(1, m - z + 1)) AS i
+        FROM cand, (SELECT unnest([2, 3]) AS z) WHERE z < m) GROUP BY ALL),
+      ranked AS (SELECT best.lang, CAST(row_number() OVER (PARTITION BY best.lang ORDER BY score DESC, a DESC, best.phrase) AS INTEGER) AS rank, best.phrase, a, l, r, score
+        FROM best LEFT JOIN inside ON inside.lang = best.lang AND inside.phrase = best.phrase
+        WHERE around IS NULL OR 100 * CAST(around AS HUGEINT) < 80 * CAST(a AS HUGEINT))
+      SELECT ranked.lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total ON total.lang = ranked.lang WHERE rank <= 2000""",
+    "op12_warc": """WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+      g AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS newest FROM p),
+      t AS (SELECT *, payload_bytes >= 1000 AND newest IS NOT NULL AND page_id IS DISTINCT FROM newest AS again FROM g)
+      SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+        CASE WHEN again THEN newest END AS refers_to FROM t""",
 }
 
 
