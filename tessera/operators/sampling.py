@@ -13,7 +13,9 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -71,6 +73,11 @@ def mass_sql(m: str, w: str, exponent: float) -> str:
     return f"(`{w}` * {dpow})"
 
 
+def mass_of(exponent: float) -> Callable[[np.ndarray, np.ndarray], np.ndarray] | None:
+    """:func:`mass_sql` over numpy arrays ``w`` and ``m`` with the same bits; None for a power that is no product."""
+    return {2: lambda w, m: w * m, 4: lambda w, m: w * (m * m)}.get(exponent)
+
+
 def sampling_mass(
     points: DataFrame,
     centers: DataFrame,

@@ -12,12 +12,10 @@
 * :func:`coreset_kmeans`, :func:`seed_and_score`, :func:`diversify_and_score`
   — the end-to-end programs with their objective.
 
-A round's state is the cached points with the picks folded over them: ``m`` is
-the squared distance to the nearest center, chosen points are left out.  It is
-cached anew every ``REFRESH`` rounds only.  Each round brings one pick per
-block to the driver (``blocks * dim`` numbers); the result looks the chosen
-ids up in the points.  Random draws use keyed hashes, so reruns and retried
-tasks choose the same points.
+Both selections go in passes over the points, each of which certifies many
+choices (:mod:`tessera.operators.greedy`); a pass brings a bounded buffer to the
+driver, and the result looks the chosen ids up in the points.  Random draws
+use keyed hashes, so reruns and retried tasks choose the same points.
 """
 
 from __future__ import annotations
@@ -27,15 +25,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.rand import u01, u01_spark_sql
+from tessera.functions.rand import u01
 from tessera.functions.vectors import sqdist_sql_expr
 from tessera.operators import checks, vectors
+from tessera.operators.greedy import Choices, Passes, by_place, farthest_first, race
 from tessera.operators.iterate import Spill, drop, hold
-from tessera.operators.sampling import mass_sql, with_block
+from tessera.operators.sampling import mass_of, mass_sql, with_block
 
-#: Rounds between two cached states, and between two tables that cut the lineage (plans of nested caches grow fast).
-REFRESH = 6
-SPILL = 24
 #: Points in a tile of the matching.
 TILE = 128
 
@@ -45,55 +41,10 @@ def _empty(points: DataFrame, keys: list[str]) -> DataFrame:
     return points.select(*cols).limit(0)
 
 
-def _vec_sql(v) -> str:
-    """An ``array<double>`` literal as SQL text (``repr`` of a float round-trips exactly)."""
-    if v is None:
-        return "CAST(NULL AS array<double>)"
-    vals = ", ".join(_num_sql(x) for x in v)
-    return f"CAST(array({vals}) AS array<double>)"
-
-
-def _num_sql(x: float) -> str:
-    x = float(x)
-    if x != x:
-        return "CAST('NaN' AS DOUBLE)"
-    if x in (float("inf"), float("-inf")):
-        return f"CAST('{'-' if x < 0 else ''}Infinity' AS DOUBLE)"
-    return repr(x) + "D"
-
-
 def _ids_sql(ids: list[int]) -> str:
     return ", ".join(f"{int(i)}L" for i in ids)
 
 
-def _folded(state: DataFrame, recent: list[list[Row]], keys: list[str], extra: list[str]) -> DataFrame:
-    """``state`` with the picks of the ``recent`` rounds folded into ``m`` and left out themselves.
-
-    One group: picks are literals.  Blocks: a local relation of one row per
-    block with its picks, broadcast (``REFRESH * blocks * dim`` numbers).
-    """
-    if not recent:
-        return state
-    if not keys:
-        picks = [r for rows in recent for r in rows]
-        d = [sqdist_sql_expr("v", _vec_sql(r["v"])) for r in picks]
-        return state.where(f"id NOT IN ({_ids_sql([r['id'] for r in picks])})").selectExpr(
-            "id", "v", *extra, f"least(m, {', '.join(d)}) AS m"
-        )
-    by: dict[int, tuple[list, list]] = {}
-    for rows in recent:
-        for r in rows:
-            ids, vs = by.setdefault(r["block"], ([], []))
-            ids.append(r["id"])
-            vs.append(list(r["v"]))
-    small = state.sparkSession.createDataFrame(
-        [(b, ids, vs) for b, (ids, vs) in by.items()], "block int, ids_ array<bigint>, vs_ array<array<double>>"
-    )
-    met = state.join(F.broadcast(small), "block", "left").where("ids_ IS NULL OR NOT array_contains(ids_, id)")
-    fold = f"aggregate(vs_, m, (a_, p_) -> least(a_, {sqdist_sql_expr('v', 'p_')}))"
-    return met.selectExpr("block", "id", "v", *extra, f"CASE WHEN vs_ IS NULL THEN m ELSE {fold} END AS m")
-
-
 def _vectors_of(base: DataFrame, chosen: list[tuple[int, int]]) -> list[Row]:
     """The chosen ``(block, id)`` with their vectors."""
     if not chosen:
@@ -132,77 +83,71 @@ def _traverse(
     keys: list[str],
     first_id: int | None,
     seed: int | None,
-    choose: Callable[[DataFrame, DataFrame, int], list[Row]],
+    choose: Callable[[Passes, list[Row], dict[int, int], int], Choices],
     weight_col: str | None = None,
     on_small_block: str = "error",
-    refresh: int = REFRESH,
 ) -> DataFrame:
-    """Shared loop of farthest-first and k-means++: returns ``keys, pos, id, v``."""
+    """Shared frame of farthest-first and k-means++: checks, first choices, passes; returns ``keys, pos, id, v``."""
     extra = [weight_col] if weight_col else []
-    base = points.select(*keys, "id", "v", *extra)
-    stats = checks.point_stats(base, keys, weight_col)
+    stats = checks.point_stats(points.select(*keys, "id", "v", *extra), keys, weight_col)
     if not keys and (not stats or stats[0]["n"] < k):
         raise ValueError(f"k = {k} is more than the {stats[0]['n'] if stats else 0} points")
     if on_small_block == "error" and stats and min(r["n"] for r in stats) < k:
         raise ValueError(f"a block has {min(r['n'] for r in stats)} points, fewer than k = {k}")
-    base = hold(base)
-    spill = Spill()
-    cut, prev = base, None
+    passes = Passes(points, keys, extra)
     try:
-        checks.check_unique_ids(base)
-        rounds = [_first_picks(base, stats, keys, first_id, seed)]
-        recent = [rounds[0]]
-        cut = base.withColumn("m", F.lit(float("inf")))
-        for h in range(1, k):
-            state = _folded(cut, recent, keys, extra)
-            if len(recent) >= refresh:
-                drop(prev)
-                prev, cut, recent = cut, hold(state), []
-                if h % SPILL < refresh:
-                    cut = hold(spill.put(cut))
-                    drop(prev)
-                    prev = state
-                state = cut
-            rounds.append(choose(state, base, h))
-            recent.append(rounds[-1])
+        checks.check_unique_ids(passes.base)
+        first = _first_picks(passes.base, stats, keys, first_id, seed)
+        sizes = {r["block"] if keys else 0: r["n"] for r in stats}
+        choices = choose(passes, first, sizes, stats[0]["longest"] or 0 if stats else 0)
     finally:
-        drop(prev, cut, base)
-        spill.clear(points)
-    order = [(*(r[c] for c in keys), pos, r["id"]) for pos, rows in enumerate(rounds) for r in rows]
+        passes.close()
+    order = by_place(choices)
     chosen = points.sparkSession.createDataFrame(order, "".join(f"{c} int, " for c in keys) + "pos int, id bigint")
     chosen = vectors.broadcast_if_small(chosen, len(order), 3)
     return points.select(*keys, "id", "v").join(chosen, [*keys, "id"]).select(*keys, "pos", "id", "v")
 
 
-def _farthest(state: DataFrame, base: DataFrame, h: int) -> list[Row]:
-    """One group: a top-1 that every task computes for its own rows."""
-    return state.orderBy(F.col("m").desc(), F.col("id").asc()).limit(1).select("id", "v").collect()
-
-
-def _farthest_per_block(state: DataFrame, base: DataFrame, h: int) -> list[Row]:
-    return _vectors_of(base, _best_ids(state.select("block", "id", "m"), F.max("m")))
-
-
-def kcenter(points: DataFrame, k: int, first_id: int | None = None, seed: int | None = None, refresh: int = REFRESH) -> DataFrame:
+def kcenter(
+    points: DataFrame,
+    k: int,
+    first_id: int | None = None,
+    seed: int | None = None,
+    buffer: int | None = None,
+    on_pass: Callable[[int], None] | None = None,
+) -> DataFrame:
     """Farthest-first traversal over ``points(id, v)``: ``pos, id, v`` for k centers.
 
     The first center is ``first_id`` if given, else a keyed random point if
     ``seed`` is given, else the smallest id.  Ties on distance go to the
     smallest id.  Points equal by value stay distinct points; ids must be unique.
+    ``buffer`` sets the points a pass brings (any number gives the same
+    centers); ``on_pass`` is told after each pass how many are chosen.
     """
     checks.check_k(k)
     if k == 0:
         return _empty(points, [])
-    return _traverse(points.select("id", "v"), k, [], first_id, seed, _farthest, refresh=refresh)
+
+    def choose(passes: Passes, first: list[Row], sizes: dict[int, int], dim: int) -> Choices:
+        return farthest_first(passes, {0: first[0]}, k, sizes, dim, buffer, on_pass)
+
+    return _traverse(points.select("id", "v"), k, [], first_id, seed, choose)
 
 
 def kcenter_blocks(
-    points: DataFrame, k: int, block_col: str = "block", seed: int | None = None, on_small_block: str = "error", refresh: int = REFRESH
+    points: DataFrame,
+    k: int,
+    block_col: str = "block",
+    seed: int | None = None,
+    on_small_block: str = "error",
+    buffer: int | None = None,
+    on_pass: Callable[[int], None] | None = None,
 ) -> DataFrame:
     """Farthest-first traversal inside every block: ``block, pos, id, v``.
 
-    All blocks advance together: round h picks, for every block, its next
-    center.  No block is ever gathered into one task.
+    All blocks share the passes: a pass brings the farthest points of every
+    block, and each block goes on as far as its own certify.  No block is ever
+    gathered into one task.
     ``on_small_block="error"`` refuses blocks with fewer than k points;
     ``"all"`` keeps all points of such a block.
     """
@@ -213,7 +158,11 @@ def kcenter_blocks(
     if k == 0:
         return _empty(pts, ["block"])
     pts = pts.withColumn("block", F.col("block").cast("int"))
-    out = _traverse(pts, k, ["block"], None, seed, _farthest_per_block, on_small_block=on_small_block, refresh=refresh)
+
+    def choose(passes: Passes, first: list[Row], sizes: dict[int, int], dim: int) -> Choices:
+        return farthest_first(passes, {r["block"]: r for r in first}, k, sizes, dim, buffer, on_pass)
+
+    out = _traverse(pts, k, ["block"], None, seed, choose, on_small_block=on_small_block)
     return out.withColumnRenamed("block", block_col) if block_col != "block" else out
 
 
@@ -224,7 +173,8 @@ def kmeanspp(
     exponent: float = 2.0,
     weight_col: str | None = None,
     first_id: int | None = None,
-    refresh: int = REFRESH,
+    rounds: int | None = None,
+    on_pass: Callable[[int], None] | None = None,
 ) -> DataFrame:
     """Weighted k-means++ seeding: ``pos, id, v`` for k centers.
 
@@ -234,7 +184,8 @@ def kmeanspp(
     (Efraimidis–Spirakis), one aggregate instead of a global CDF.  If every
     remaining mass is 0 the smallest remaining id is taken.  ``exponent=4``
     reproduces squaring an already squared distance.  Weights must not be
-    null or negative.
+    null or negative.  ``rounds`` sets how many rounds a pass looks ahead (any
+    number gives the same centers; exponents other than 2 and 4 take one).
     """
     checks.check_k(k)
     checks.check_exponent(exponent)
@@ -242,18 +193,10 @@ def kmeanspp(
         return _empty(points, [])
     pts = points.select("id", "v", (F.col(weight_col).cast("double") if weight_col else F.lit(1.0)).alias("w"))
 
-    def draw(state: DataFrame, base: DataFrame, h: int) -> list[Row]:
-        mass = mass_sql("m", "w", exponent)
-        race = f"CASE WHEN {mass} > 0 THEN -ln(1D - {u01_spark_sql(seed, h, 'id')}) / ({mass}) END"
-        # Positive masses race; if none is left, the smallest remaining id.
-        return (
-            state.orderBy(F.expr(f"CASE WHEN {mass} > 0 THEN 0 ELSE 1 END"), F.expr(race).asc_nulls_last(), F.col("id"))
-            .limit(1)
-            .select("id", "v")
-            .collect()
-        )
-
-    return _traverse(pts, k, [], first_id, None if first_id is not None else seed, draw, "w", refresh=refresh)
+    def choose(passes: Passes, first: list[Row], sizes: dict[int, int], dim: int) -> Choices:
+        return race(passes, first[0], k, seed, mass_sql("m", "w", exponent), mass_of(exponent), rounds, on_pass)
+
+    return _traverse(pts, k, [], first_id, None if first_id is not None else seed, choose, "w")
 
 
 def _tile_pairs(pts: DataFrame, n: int) -> DataFrame:

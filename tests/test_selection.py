@@ -2,6 +2,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tessera.functions.rand import u01_value
+from tessera.operators import greedy
 from tessera.operators import sampling as M
 from tessera.operators import selection as S
 from tests import brute
@@ -42,14 +44,105 @@ def test_kcenter_edges(spark):
     assert sorted(r["id"] for r in S.kcenter(P, 3).collect()) == [0, 1, 2]
 
 
-def test_refresh_changes_nothing(spark, monkeypatch):
+def test_buffer_and_rebase_change_nothing(spark, monkeypatch):
     rng = np.random.default_rng(6)
-    P = _pts(spark, rng.normal(size=(60, 3)))
-    a = [r["id"] for r in S.kcenter(P, 12).orderBy("pos").collect()]
-    for refresh in (1, 2, 50):
-        assert [r["id"] for r in S.kcenter(P, 12, refresh=refresh).orderBy("pos").collect()] == a
-    monkeypatch.setattr(S, "SPILL", 4)
-    assert [r["id"] for r in S.kcenter(P, 12, refresh=2).orderBy("pos").collect()] == a
+    X = rng.normal(size=(60, 3))
+    P = _pts(spark, X)
+    want, _ = brute.kcenter(list(range(60)), X, 12)
+    for buffer in (1, 3, 59, None):
+        assert [r["id"] for r in S.kcenter(P, 12, buffer=buffer).orderBy("pos").collect()] == want
+    monkeypatch.setattr(greedy, "REBASE", 3)
+    assert [r["id"] for r in S.kcenter(P, 12, buffer=1).orderBy("pos").collect()] == want
+
+
+def test_one_pass_certifies_many_centers(spark):
+    rng = np.random.default_rng(31)
+    X = rng.normal(size=(2000, 16))
+    P = _pts(spark, X)
+    want, _ = brute.kcenter(list(range(2000)), X, 40)
+    passes = []
+    got = S.kcenter(P, 40, buffer=200, on_pass=passes.append)
+    assert [r["id"] for r in got.orderBy("pos").collect()] == want
+    print("passes for 40 centers of 2,000 points:", passes)
+    assert len(passes) <= 8 and passes[-1] == 40
+    passes = []
+    got = S.kcenter_blocks(M.with_block(P, 4, method="mod"), 20, buffer=100, on_pass=passes.append)
+    assert len(passes) <= 6 and passes[-1] == 80
+    for b in range(4):
+        ids = list(range(b, 2000, 4))
+        want, _ = brute.kcenter(ids, X[ids], 20)
+        assert [r["id"] for r in got.where(F.col("block") == b).orderBy("pos").collect()] == want
+
+
+def test_one_pass_decides_many_draws(spark):
+    rng = np.random.default_rng(32)
+    P = _pts(spark, np.concatenate([rng.normal(c * 20, 1, size=(300, 8)) for c in range(4)]))
+    W = P.withColumn("w", (F.col("id") % 7).cast("double"))
+    for exponent, weight in ((2.0, None), (4.0, None), (2.0, "w")):
+        one = [r["id"] for r in S.kmeanspp(W, 25, seed=3, exponent=exponent, weight_col=weight, rounds=1).orderBy("pos").collect()]
+        for rounds in (4, None):
+            passes = []
+            got = S.kmeanspp(W, 25, seed=3, exponent=exponent, weight_col=weight, rounds=rounds, on_pass=passes.append)
+            assert [r["id"] for r in got.orderBy("pos").collect()] == one
+        assert len(passes) <= 6, passes
+
+
+def _race_by_hand(ids, X, k, seed, first, w=None, exponent=2):
+    chosen = [first]
+    m = np.array([brute.sqd(x, X[ids.index(first)]) for x in X])
+    for h in range(1, k):
+        best = None
+        for i, x in enumerate(ids):
+            mass = (1.0 if w is None else w[i]) * m[i] ** (exponent / 2)
+            if x not in chosen and mass > 0:
+                best = min(best or (np.inf, 0), (-np.log(1 - u01_value(seed, h, x)) / mass, x))
+        chosen.append(best[1] if best else min(x for x in ids if x not in chosen))
+        m = np.minimum(m, [brute.sqd(x, X[ids.index(chosen[-1])]) for x in X])
+    return chosen
+
+
+def test_race_by_hand(spark):
+    rng = np.random.default_rng(33)
+    X = np.repeat(rng.normal(size=(12, 2)), 2, axis=0)
+    ids = [int(i) for i in rng.permutation(500)[:24]]
+    w = [float(i % 3) for i in range(24)]
+    P = _pts(spark, X, ids).join(spark.createDataFrame(list(zip(ids, w)), "id long, w double"), "id")
+    for exponent in (2, 3, 4):
+        got = [r["id"] for r in S.kmeanspp(P, 20, seed=5, exponent=exponent, first_id=ids[0]).orderBy("pos").collect()]
+        assert got == _race_by_hand(ids, X, 20, 5, ids[0], exponent=exponent)
+    got = [r["id"] for r in S.kmeanspp(P, 20, seed=5, weight_col="w", first_id=ids[0]).orderBy("pos").collect()]
+    assert got == _race_by_hand(ids, X, 20, 5, ids[0], w)
+
+
+def test_masses_near_zero(spark):
+    P = _pts(spark, [[0.0], [1e-160], [2e-160], [3e-160], [1.0]], ids=[4, 3, 2, 1, 0])
+    got = [r["id"] for r in S.kmeanspp(P, 5, seed=1, first_id=4).orderBy("pos").collect()]
+    assert sorted(got) == [0, 1, 2, 3, 4] and got[:2] == [4, 0]
+
+
+def test_a_pass_moves_no_vector(spark):
+    P = M.with_block(_pts(spark, np.random.default_rng(34).normal(size=(90, 5))), 3, seed=1)
+    passes = greedy.Passes(P, ["block"], [])
+    choices = greedy.Choices(["block"])
+    try:
+        for r in passes.base.where("id < 9").collect():
+            choices.add(r["block"], r["id"], r["v"])
+        passes.next_state(choices).count()
+        before = passes.state
+        for r in passes.base.where("id BETWEEN 20 AND 25").collect():
+            choices.add(r["block"], r["id"], r["v"])
+        state = passes.next_state(choices)
+        assert state.columns == ["block", "id", "m"] and state.count() == 75
+        plan = greedy.folded(
+            passes.base.join(before.select("id", "m").hint("merge"), "id"), choices.since({}), passes.narrow
+        )
+        plan.collect()
+        text = plan._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        text = "\n".join(x for x in text.split("\n") if "InMemoryRelation" not in x)
+        step = text.split("InMemoryTableScan")[0]
+        assert "SortMergeJoin" in step and "hashpartitioning" not in step and "Sort [" not in step
+    finally:
+        passes.close()
 
 
 def _files(spark):
@@ -59,13 +152,12 @@ def _files(spark):
     return sum(len(names) for _, _, names in os.walk(top))
 
 
-def test_nothing_stays_on_disk(spark, monkeypatch):
+def test_nothing_stays_on_disk(spark):
     P = _pts(spark, np.random.default_rng(21).normal(size=(80, 4)))
     before = _files(spark)
     S.kcenter(P, 40).count()
     assert _files(spark) == before
-    monkeypatch.setattr(S, "SPILL", 8)
-    S.kcenter(P, 40).count()
+    S.kmeanspp(P, 40).count()
     S.max_matching(P, 40).count()
     assert _files(spark) == before
 
@@ -95,13 +187,6 @@ def test_checks_before_the_rounds(spark):
         S.kcenter(P, 2, first_id=99)
 
 
-def test_blocks_are_never_shuffled_with_vectors(spark):
-    P = M.with_block(_pts(spark, np.random.default_rng(23).normal(size=(40, 2))), 3)
-    state = S._folded(P.withColumn("m", F.lit(1.0)), [P.limit(1).collect()], ["block"], [])
-    plan = state._jdf.queryExecution().executedPlan().toString()
-    assert "hashpartitioning" not in plan and "BroadcastHashJoin" in plan
-
-
 def test_kcenter_blocks_equals_per_block_kcenter(spark):
     rng = np.random.default_rng(7)
     X = rng.normal(size=(80, 3))
@@ -119,7 +204,7 @@ def test_kcenter_blocks_many_rounds(spark):
     rng = np.random.default_rng(8)
     P = M.with_block(_pts(spark, rng.normal(size=(60, 3))), 2, seed=2)
     a = sorted(map(tuple, S.kcenter_blocks(P, 9).select("block", "pos", "id").collect()))
-    b = sorted(map(tuple, S.kcenter_blocks(P, 9, refresh=1).select("block", "pos", "id").collect()))
+    b = sorted(map(tuple, S.kcenter_blocks(P, 9, buffer=1).select("block", "pos", "id").collect()))
     assert a == b
     seeded = S.kcenter_blocks(P, 2, seed=4)
     assert seeded.count() == 4
