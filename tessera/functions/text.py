@@ -69,19 +69,17 @@ FOLD_AFTER = ("".join(_AFTER), "".join(_AFTER.values()))
 
 def fold_key(word: Column | str) -> Column:
     """Grouping key under case-insensitive equality, character by character
-    (so ß and SS stay apart, ſ and s, ς and σ, µ and μ meet)."""
-    return F.translate(F.lower(F.translate(_c(word), *FOLD_BEFORE)), *FOLD_AFTER)
+    (so ß and SS stay apart, ſ and s, ς and σ, µ and μ meet).  Text of ASCII
+    characters alone, told by its length in bytes, only needs ``lower``."""
+    word = _c(word)
+    full = F.translate(F.lower(F.translate(word, *FOLD_BEFORE)), *FOLD_AFTER)
+    return F.when(F.octet_length(word) == F.char_length(word), F.lower(word)).otherwise(full)
 
 
-def sorted_folds(line: Column | str) -> Column:
-    """A line's tokens as ``struct<f: folded, p: position, w: word>`` sorted by (f, p).
-
-    Folding works character by character and leaves spaces, so the line is
-    folded once as a whole and split like the line itself.
-    """
-    line = _c(line)
-    both = F.arrays_zip(tokenize(fold_key(line)).alias("f"), tokenize(line).alias("w"))
-    return F.array_sort(F.transform(both, lambda x, i: F.struct(x["f"].alias("f"), i.alias("p"), x["w"].alias("w"))))
+def repeated(values: Column | str) -> Column:
+    """The values of an array of strings that it holds more than once (each of them at least once)."""
+    s = F.sort_array(_c(values))
+    return F.filter(s, lambda x, i: (i > 0) & (x == F.get(s, i - 1)))
 
 
 def run_ends(sorted_col: Column | str) -> Column:
@@ -92,14 +90,8 @@ def run_ends(sorted_col: Column | str) -> Column:
     return F.filter(idx, lambda i: (i < n) & ((i == n - 1) | (s[i]["f"] != s[i + 1]["f"])))
 
 
-def run_entries(sorted_col: Column | str, ends_col: Column | str) -> Column:
-    """``array<struct<fold, word, n>>`` from the sorted tokens and the run ends."""
+def run_words(sorted_col: Column | str, ends_col: Column | str) -> Column:
+    """For sorted ``struct<f, p, w>`` and the ends of its runs: the last ``w`` of each run, as often as the run is long."""
     s, ends = _c(sorted_col), _c(ends_col)
-    return F.transform(
-        ends,
-        lambda e, j: F.struct(
-            s[e]["f"].alias("fold"),
-            s[e]["w"].alias("word"),
-            (e - F.when(j == 0, F.lit(-1)).otherwise(ends[j - 1])).cast("bigint").alias("n"),
-        ),
-    )
+    size = lambda e, j: e - F.when(j == 0, F.lit(-1)).otherwise(ends[j - 1])
+    return F.flatten(F.transform(ends, lambda e, j: F.array_repeat(s[e]["w"], size(e, j))))
