@@ -1,11 +1,7 @@
-"""Frames kept between the rounds of a greedy selection.
+"""Frames kept between the passes of a greedy selection, and their release.
 
-Greedy selections (farthest-first traversal, k-means++ seeding) are sequential
-by nature: round h needs the point chosen in round h-1.  The picks are known
-to the driver, so the state of a round is a pure function of the points and
-the picks; it is cached every few rounds, and a lost block is rebuilt from
-there.  :class:`Spill` cuts the lineage of very long selections through a
-table in the shared folder, of which only the newest exists, and none at the end.
+The state of a pass is a function of the points and the choices so far; it is
+persisted, and a lost block is rebuilt from the points.
 """
 
 from __future__ import annotations
@@ -13,8 +9,6 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
-from tessera.session import scratch_path
-
 
 def hold(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
@@ -43,27 +37,3 @@ def drop(*dfs: DataFrame | None) -> None:
     for df in dfs:
         if df is not None:
             df.unpersist()
-
-
-class Spill:
-    """The newest of a series of frames, as a table in the shared folder."""
-
-    def __init__(self) -> None:
-        self._path: str | None = None
-
-    def put(self, df: DataFrame) -> DataFrame:
-        """Write ``df``, remove the table before it, and read ``df`` from its table."""
-        spark = df.sparkSession
-        path = scratch_path(spark, "rounds")
-        df.write.parquet(path)
-        self.clear(df)
-        self._path = path
-        return spark.read.schema(df.schema).parquet(path)
-
-    def clear(self, df: DataFrame) -> None:
-        """Remove the table (``df``: any frame of the session)."""
-        if self._path is not None:
-            sc = df.sparkSession.sparkContext
-            p = sc._jvm.org.apache.hadoop.fs.Path(self._path)
-            p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
-            self._path = None

@@ -7,13 +7,15 @@
   is the distance to the nearest center.
 * :func:`cumulative_mass` — the running share of the mass in id order (a CDF),
   computed in two levels so that no single task sees all rows.
-* :func:`draw_by_cdf` — inverse-CDF lookup: the first id whose CDF exceeds r.
+* :func:`draw_by_cdf`, :func:`draws_by_cdf` — inverse-CDF lookup: the first id whose CDF exceeds r; many draws go
+  to their ranges first and read only these.
 """
 
 from __future__ import annotations
 
+import bisect
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -98,7 +100,9 @@ def sampling_mass(
     return non_centers.withColumn("w_", weight).selectExpr("id", f"{mass_sql('sqdist', 'w_', exponent)} AS mass")
 
 
-def cumulative_mass(df: DataFrame, order_col: str = "id", mass_col: str = "mass", buckets: int | None = None) -> DataFrame:
+def cumulative_mass(
+    df: DataFrame, order_col: str = "id", mass_col: str = "mass", buckets: int | None = None, bucket_col: str | None = None
+) -> DataFrame:
     """Add ``cdf``: the running sum of the (non-negative) ``mass`` in ``order_col``
     order over the total.
 
@@ -128,7 +132,8 @@ def cumulative_mass(df: DataFrame, order_col: str = "id", mass_col: str = "mass"
         F.sum("_bsum").over(every.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_total"),
     )
     out = running.join(F.broadcast(offsets), on="_bucket")
-    return out.select(*df.columns, ((F.col("_offset") + F.col("_within")) / F.col("_total")).alias("cdf"))
+    kept = [F.col("_bucket").alias(bucket_col)] if bucket_col else []
+    return out.select(*df.columns, *kept, ((F.col("_offset") + F.col("_within")) / F.col("_total")).alias("cdf"))
 
 
 def _bucket_sql(x: str, bounds: list[float]) -> str:
@@ -150,3 +155,24 @@ def draw_by_cdf(cdf: DataFrame, r: float, order_col: str = "id") -> DataFrame:
     return cdf.agg(
         F.coalesce(F.min(F.when(F.col("cdf") > F.lit(r), F.col(order_col))), F.min(F.col(order_col))).alias(order_col)
     )
+
+
+def draws_by_cdf(cdf: DataFrame, rs: Sequence[float], order_col: str = "id", bucket_col: str = "bucket") -> DataFrame:
+    """:func:`draw_by_cdf` for every ``r`` of ``rs``: ``draw`` (its position), ``r`` and the drawn ``order_col``.
+
+    ``cdf`` comes from :func:`cumulative_mass` with ``bucket_col``.  The ranges'
+    ends (one row per range, a number that the caller chose) tell every draw its
+    range; only rows of these ranges are met, by one broadcast join.  Of a CDF
+    stored partitioned by its range, only they are read.
+    """
+    spark = cdf.sparkSession
+    ends = cdf.groupBy(bucket_col).agg(F.max("cdf").alias("top"), F.min(order_col).alias("least")).collect()
+    ends = sorted(ends, key=lambda e: e[bucket_col])
+    tops = [e["top"] for e in ends]
+    # no top exceeds r: the smallest of all, which is the first range's
+    found = [bisect.bisect_right(tops, r) for r in rs]
+    where = [(i, float(r), ends[b][bucket_col] if b < len(ends) else ends[0][bucket_col], b == len(ends)) for i, (r, b) in enumerate(zip(rs, found))] if ends else []
+    draws = spark.createDataFrame(where, f"draw int, r double, `{bucket_col}` {cdf.schema[bucket_col].dataType.simpleString()}, none boolean")
+    near = cdf.where(F.col(bucket_col).isin(sorted({w[2] for w in where}))).select(bucket_col, order_col, "cdf")
+    met = near.join(vectors.broadcast_if_small(draws, len(where), 4), bucket_col).where("none OR cdf > r")
+    return met.groupBy("draw", "r").agg(F.min(order_col).alias(order_col))

@@ -20,8 +20,10 @@ use keyed hashes, so reruns and retried tasks choose the same points.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
@@ -29,11 +31,12 @@ from tessera.functions.rand import u01
 from tessera.functions.vectors import sqdist_sql_expr
 from tessera.operators import checks, vectors
 from tessera.operators.greedy import Choices, Passes, by_place, farthest_first, race
-from tessera.operators.iterate import Spill, drop, hold
+from tessera.operators.iterate import drop, hold
 from tessera.operators.sampling import mass_of, mass_sql, with_block
 
-#: Points in a tile of the matching.
+#: Points in a tile of the matching, and pairs of tiles met at a time.
 TILE = 128
+OPEN = 64
 
 
 def _empty(points: DataFrame, keys: list[str]) -> DataFrame:
@@ -199,25 +202,95 @@ def kmeanspp(
     return _traverse(pts, k, [], first_id, None if first_id is not None else seed, choose, "w")
 
 
-def _tile_pairs(pts: DataFrame, n: int) -> DataFrame:
-    """Every two tiles of the points once: ``a, b, x, y`` with ``a <= b``, met by an equi-join on the tile number."""
-    count = max(1, -(-n // TILE))
-    tile = F.pmod(F.xxhash64("id"), F.lit(count)).cast("int")
-    tiles = pts.groupBy(tile.alias("a")).agg(F.collect_list(F.struct("id", "v")).alias("x"))
-    left = tiles.withColumn("b", F.explode(F.sequence(F.col("a"), F.lit(count - 1))))
-    return left.join(tiles.toDF("b", "y"), "b").select("a", "b", "x", "y")
+def _tiles(pts: DataFrame, n: int, dim: int) -> tuple[DataFrame, np.ndarray, np.ndarray]:
+    """The points in tiles, once: ``a, x`` (``array<struct<id, v>>``); the tiles' centres and radii.
 
-
-def _best_of_tiles(pairs: DataFrame, chosen: list[int]) -> DataFrame:
-    """``a, b, best`` with the farthest pair (d, -i, -j) of two tiles among the points not chosen."""
+    Points go to the nearest of about ``n / size`` keyed random points, with
+    ``size = max(TILE, sqrt(n))``; a fuller tile is split by hash.  So there are
+    at most about ``2 sqrt(n)`` tiles and ``2 n`` pairs of tiles.
+    """
+    size = max(TILE, math.isqrt(n))
+    member = F.struct("id", "v")
+    if n <= size:
+        return hold(pts.groupBy(F.lit(0).alias("a")).agg(F.collect_list(member).alias("x"))), np.zeros((1, dim)), np.array([math.inf])
+    centers = hold(pts.orderBy(u01(0, "tile", "id"), "id").limit(-(-n // size)))
+    known = {r["id"]: r["v"] for r in centers.collect()}
+    near = vectors.nearest_center(pts, centers, len(known), dim).select("id", "center_id", "sqdist")
+    near = hold(near)
+    first, rows = 0, []
+    for r in near.groupBy("center_id").agg(F.count(F.lit(1)).alias("n"), F.max("sqdist").alias("far")).collect():
+        parts = -(-r["n"] // size)
+        rows.append((r["center_id"], first, parts, math.sqrt(r["far"])))
+        first += parts
+    numbers = pts.sparkSession.createDataFrame([r[:3] for r in rows], "center_id long, first int, parts int")
+    tile = F.col("first") + F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
+    met = pts.join(near, "id").join(vectors.broadcast_if_small(numbers, len(rows), 3), "center_id")
+    tiles = hold(met.groupBy(tile.alias("a")).agg(F.collect_list(member).alias("x")))
+    tiles.count()
+    drop(centers, near)
+    at = np.repeat(np.array([known[r[0]] for r in rows], float).reshape(len(rows), dim), [r[2] for r in rows], axis=0)
+    return tiles, at, np.repeat([r[3] for r in rows], [r[2] for r in rows])
+
+
+class _TilePairs:
+    """Every two tiles with the most that a pair between them can be apart, or the farthest pair once it was looked up."""
+
+    def __init__(self, at: np.ndarray, radius: np.ndarray) -> None:
+        self.a, self.b = np.triu_indices(len(at))
+        apart = np.zeros(len(self.a))
+        for x in at.T:
+            apart += (x[self.a] - x[self.b]) ** 2
+        # a bound over rounded sums: a little more than they say
+        self.most = (np.sqrt(apart) + radius[self.a] + radius[self.b]) * (1 + 1e-9)
+        self.known = np.zeros(len(self.a), bool)
+        self.i, self.j = np.zeros(len(self.a), np.int64), np.zeros(len(self.a), np.int64)
+        self.opened = 0
+
+    def best(self) -> int | None:
+        """The entry with the farthest known pair, ties to the smallest ``(i, j)``."""
+        top = self.most[self.known].max(initial=-math.inf)
+        if top == -math.inf:
+            return None
+        tied = np.flatnonzero(self.known & (self.most == top))
+        return int(tied[np.lexsort((self.j[tied], self.i[tied]))[0]])
+
+    def pending(self, at_once: int) -> np.ndarray:
+        """Entries not looked up that may hold a pair as far as the best known one, the most promising first."""
+        best = self.best()
+        least = self.most[best] if best is not None else -math.inf
+        open_ = np.flatnonzero(~self.known & (self.most >= least) & (self.most > -math.inf))
+        return open_[np.argsort(-self.most[open_], kind="stable")][:at_once]
+
+    def look_up(self, entries: np.ndarray, found: dict[tuple[int, int], Row]) -> None:
+        self.opened += len(entries)
+        for e in entries.tolist():
+            row = found.get((int(self.a[e]), int(self.b[e])))
+            self.known[e] = True
+            self.most[e] = row["d"] if row else -math.inf
+            if row:
+                self.i[e], self.j[e] = -row["i"], -row["j"]
+
+    def take(self, e: int) -> list[int]:
+        """The pair of an entry; entries that hold one of its points have their distance as a bound from now on."""
+        i, j = int(self.i[e]), int(self.j[e])
+        gone = self.known & (self.most > -math.inf) & (np.isin(self.i, [i, j]) | np.isin(self.j, [i, j]))
+        self.known[gone] = False
+        return [i, j]
+
+
+def _farthest_between(tiles: DataFrame, pairs: list[tuple[int, int]], chosen: list[int]) -> dict[tuple[int, int], Row]:
+    """The farthest pair ``(d, -i, -j)`` of the points not chosen, of each of the given pairs of tiles."""
     free = f" AND NOT array_contains(array({_ids_sql(chosen)}), {{}}.id)" if chosen else ""
     pair = f"named_struct('d', sqrt({sqdist_sql_expr('p_.v', 'q_.v')}), 'i', -least(p_.id, q_.id), 'j', -greatest(p_.id, q_.id))"
     inner = f"array_max(transform(filter(y, q_ -> q_.id <> p_.id{free.format('q_')}), q_ -> {pair}))"
     best = f"array_max(transform(filter(x, p_ -> true{free.format('p_')}), p_ -> {inner}))"
-    return pairs.selectExpr("a", "b", f"{best} AS best").where("best IS NOT NULL")
+    wanted = F.broadcast(tiles.sparkSession.createDataFrame(pairs, "a int, b int"))
+    met = tiles.join(wanted, "a").join(tiles.toDF("b", "y"), "b")
+    rows = met.selectExpr("a", "b", f"{best} AS best").where("best IS NOT NULL").collect()
+    return {(r["a"], r["b"]): r["best"] for r in rows}
 
 
-def max_matching(points: DataFrame, k: int) -> DataFrame:
+def max_matching(points: DataFrame, k: int, on_open: Callable[[int, int], None] | None = None) -> DataFrame:
     """Greedy max-sum diversity on a bounded point set: ``pos, id, v``.
 
     ⌊k/2⌋ rounds each take the farthest pair among the remaining points (ties
@@ -225,16 +298,18 @@ def max_matching(points: DataFrame, k: int) -> DataFrame:
     added.  With ``k >= n`` all points are returned.
 
     The set is a coreset whose size is bounded by the parameters
-    (``blocks * k``), not by the data.  It is cut into tiles once; every two
-    tiles keep their farthest pair, and after a pair is taken only the tiles
-    whose pair held one of the two look again.  Points never reach the
-    driver, only the pair of each round.
+    (``blocks * k``), not by the data.  It is cut into tiles, kept once, and
+    searched by branch and bound: two tiles are met only while the distance of
+    their centres plus their radii may beat the farthest pair known, at most
+    ``OPEN`` of them at a time.  A taken pair leaves the distances of what it was
+    part of as bounds.  Points never reach the driver, only the tiles' centres
+    and a pair for each two tiles that were met.  ``on_open`` is told at the end
+    how many pairs of tiles were met and how many there are.
     """
     checks.check_k(k)
     spark = points.sparkSession
     pts = hold(points.select("id", "v"))
-    pairs = None
-    spill = Spill()
+    tiles = None
     try:
         stats = checks.point_stats(pts, [])
         n = stats[0]["n"] if stats else 0
@@ -242,25 +317,22 @@ def max_matching(points: DataFrame, k: int) -> DataFrame:
             checks.check_unique_ids(pts)
         if k >= n:
             return _all_in_order(points.select("id", "v"))
-        pairs = hold(_tile_pairs(pts, n))
-        state = spill.put(_best_of_tiles(pairs, []))
         chosen: list[int] = []
-        for r in range(k // 2):
-            top = state.orderBy(F.col("best").desc()).limit(1).collect()[0]["best"]
-            i, j = -top["i"], -top["j"]
-            chosen += [i, j]
-            if r == k // 2 - 1:
-                break
-            gone = F.col("best.i").isin(-i, -j) | F.col("best.j").isin(-i, -j)
-            stale = pairs.join(state.where(gone).select("a", "b"), ["a", "b"], "left_semi")
-            # three numbers a tile pair, a small table a round
-            state = spill.put(state.where(~gone).unionByName(_best_of_tiles(stale, chosen)))
+        if k > 1:
+            tiles, at, radius = _tiles(pts, n, stats[0]["longest"] or 0)
+            between = _TilePairs(at, radius)
+            while len(chosen) < k - 1:
+                while len(entries := between.pending(OPEN)):
+                    pairs = [(int(between.a[e]), int(between.b[e])) for e in entries]
+                    between.look_up(entries, _farthest_between(tiles, pairs, chosen))
+                chosen += between.take(between.best())
+            if on_open:
+                on_open(between.opened, len(between.a))
         if k % 2:
             rest = pts.where(~F.col("id").isin(chosen)) if chosen else pts
             chosen.append(int(rest.agg(F.min("id")).first()[0]))
     finally:
-        drop(pairs, pts)
-        spill.clear(points)
+        drop(tiles, pts)
     order = spark.createDataFrame([(p, i) for p, i in enumerate(chosen)], "pos int, id bigint")
     return points.select("id", "v").join(vectors.broadcast_if_small(order, k, 2), on="id").select("pos", "id", "v")
 

@@ -25,6 +25,8 @@ partial step.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -123,7 +125,7 @@ def word_count_salted(lines: DataFrame, seed: int = 0, n_lines: Column | int | N
     elif not isinstance(n_lines, Column):
         n_lines = F.lit(int(n_lines))
     # one key per line, one salt per token: equal tokens of a line get equal salts
-    line_key = F.col("doc_id").cast("decimal(38,0)") * F.lit(1 << 31) + F.col("line_no")
+    line_key = F.col("doc_id").cast("decimal(38,0)") * F.lit(Decimal(1 << 63)) + F.col("line_no")
     keyed = lines.select("doc_id", "line_no", line_key.cast("decimal(38,0)").alias("line_key"), "line")
     # a word has one fold, so it need not be a key beside the word
     words = _respelled_tokens(keyed).withColumn("fold", fold_key("word"))

@@ -65,3 +65,23 @@ def test_with_block_balanced_and_weights(spark):
     w = [r["w"] for r in M.with_weights(P, "random", seed=1).collect()]
     assert all(0 <= x < 1000 and x == int(x) for x in w)
     assert {r["w"] for r in M.with_weights(P, "unit").collect()} == {1.0}
+
+
+def test_many_draws_go_to_their_ranges(spark, scratch):
+    rng = np.random.default_rng(41)
+    mass = [float(x) for x in rng.integers(0, 4, 300)]
+    df = spark.createDataFrame([(i * 3, m) for i, m in enumerate(mass)], "id long, mass double")
+    path = f"{scratch}/cdf"
+    M.cumulative_mass(df, buckets=9, bucket_col="bucket").write.partitionBy("bucket").parquet(path)
+    cdf = spark.read.parquet(path)
+    plain = {r["id"]: r["cdf"] for r in M.cumulative_mass(df, buckets=9).collect()}
+    assert {r["id"]: r["cdf"] for r in cdf.collect()} == plain
+    rs = [0.0, 0.5, 0.5, 0.999999, 1.0, 2.0, *rng.random(20)]
+    got = M.draws_by_cdf(cdf, rs)
+    rows = {r["draw"]: r["id"] for r in got.collect()}
+    for i, r in enumerate(rs):
+        want = [k for k, c in plain.items() if c > r] or list(plain)
+        assert rows[i] == min(want) == M.draw_by_cdf(cdf, r).first()[0], r
+    one = M.draws_by_cdf(cdf, [0.5])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in one or "PartitionFilters: [(bucket" in one
+    assert M.draws_by_cdf(cdf.limit(0), [0.5]).count() == 0 and M.draws_by_cdf(cdf, []).count() == 0

@@ -275,6 +275,23 @@ def test_max_matching_many_rounds_and_ties(spark, monkeypatch):
     assert got == brute.greedy_matching(list(range(9)), G, 6)
 
 
+def test_matching_meets_few_tiles(spark, monkeypatch):
+    monkeypatch.setattr(S, "TILE", 20)
+    rng = np.random.default_rng(16)
+    # clusters on a line: only the outer ones can hold the farthest pairs
+    X = np.concatenate([rng.normal([c * 30.0, 0, 0], 1, size=(25, 3)) for c in range(16)])
+    ids = [int(i) for i in rng.permutation(5000)[:400]]
+    met = []
+    got = [r["id"] for r in S.max_matching(_pts(spark, X, ids), 9, on_open=lambda *a: met.append(a)).orderBy("pos").collect()]
+    assert got == brute.greedy_matching(ids, X, 9)
+    print("tile pairs met, of:", met)
+    assert met[0][0] < met[0][1] / 2
+    # no structure: bounds prune little, the answer is the same
+    Y = rng.normal(size=(150, 12))
+    got = [r["id"] for r in S.max_matching(_pts(spark, Y), 10).orderBy("pos").collect()]
+    assert got == brute.greedy_matching(list(range(150)), Y, 10)
+
+
 def test_diversify_and_score(spark):
     rng = np.random.default_rng(13)
     P = _pts(spark, rng.normal(size=(100, 4)))

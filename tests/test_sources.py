@@ -88,3 +88,28 @@ def test_non_finite_points_refused(spark, scratch):
         f.write("1 2\nInfinity 3\n")
     with pytest.raises(Exception, match="non-finite"):
         read_points(spark, p).collect()
+
+
+def test_numbers_do_not_depend_on_splits(spark, scratch):
+    """Line and point numbers are those of a plain read in path order, however small the splits are."""
+    want_lines, want_points = [], []
+    for name, n in (("a.txt", 300), ("b.txt", 1), ("c.txt", 0), ("d.txt", 170)):
+        lines = [f"{i} {i * 0.5} {len(name)}" if i % 7 else "" for i in range(n)]
+        with open(os.path.join(scratch, name), "w") as f:
+            f.write("".join(x + "\n" for x in lines))
+        want_lines += lines
+        want_points += [[float(v) for v in x.split()] for x in lines if x]
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    try:
+        for size in ("128m", "700", "64"):
+            spark.conf.set(key, size)
+            lines = read_lines(spark, scratch)
+            assert [tuple(r) for r in lines.select("line_no", "line").orderBy("line_no").collect()] == list(enumerate(want_lines))
+            assert lines.select(F.countDistinct("doc_id")).first()[0] == 3
+            points = read_points(spark, scratch)
+            assert [(r["id"], list(r["v"])) for r in points.orderBy("id").collect()] == list(enumerate(want_points))
+    finally:
+        spark.conf.set(key, before)
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan.split("BroadcastExchange")[0]
