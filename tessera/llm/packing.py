@@ -4,7 +4,7 @@ One pass tokenises every text and yields its pieces (only texts longer than a
 sequence are cut; the first piece takes the rest).  Pieces of a whole
 sequence are sequences.  The others, a few dozen bytes each, are spread by
 hash over groups of about ``GROUP_PIECES``; in a group they come one by one,
-the longest first, into a fixed number of open bins.  Open bins are kept in a bitset
+the longest first (so an online order of the dealer's choice, not of arrival), into a fixed number of open bins.  Open bins are kept in a bitset
 keyed by free space: the lowest set bit not under a piece's length is the bin
 it fits best; without one a new bin opens, and if all are open the fullest
 closes first.
@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import base64
 import json
+import re
 import zlib
 from collections.abc import Iterator
 from functools import partial
@@ -70,9 +71,27 @@ def _encoding(held: tuple[int, dict[bytes, int], dict[str, int]]) -> tiktoken.En
     return _encodings[key]
 
 
+#: White space as the pattern's regex knows it (Unicode White_Space), in runs that its matcher must not meet: it goes
+#: back over a run step by step, on a stack that about two million characters exhaust.
+_LONG_BLANK = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{10000,}")
+
+
 def token_ids(encoding: tiktoken.Encoding, text: str | None, end_id: int = END_ID) -> np.ndarray:
-    """Ids of a text with the closing id."""
-    ids = encoding.encode(text, allowed_special="all") if text else []
+    """Ids of a text with the closing id.
+
+    A run of white space is one piece of the pattern, but for its last
+    character where a word follows, so a very long run is encoded as such.
+    """
+    ids: list[int] = []
+    at = 0
+    for run in _LONG_BLANK.finditer(text or ""):
+        closed = run.end() == len(text) or text.startswith(tuple(encoding.special_tokens_set), run.end())
+        end = run.end() if closed else run.end() - 1
+        ids += encoding.encode(text[at : run.start()], allowed_special="all")
+        ids += encoding._encode_single_piece(text[run.start() : end])
+        at = end
+    if text:
+        ids += encoding.encode(text[at:], allowed_special="all")
     ids.append(end_id)
     return np.array(ids, "<u4")
 

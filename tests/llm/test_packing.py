@@ -26,6 +26,17 @@ def test_ids_equal_the_tokenizer():
         assert packing.token_ids(e, t).tolist() == ref(t)
 
 
+def test_very_long_white_space():
+    e, ref = packing._encoding((0, *RANKS)), reference()
+    for blank in (" ", "\n", "\t \n", "\u3000", "\x85\xa0"):
+        run = blank * (12_000 // len(blank))
+        for text in (run, f"a{run}", f"{run}b", f"a{run}b{run}\x1cc", f"x{run}<|endoftext|>{run}y", f"it{run}'s", f"{run}{blank}1 . {run}?"):
+            assert packing.token_ids(e, text).tolist() == ref(text), (blank, text.strip())
+    for blank in " \n":
+        text = blank * 2_000_000 + "x"
+        assert packing.token_ids(e, text).tolist() == ref(text)
+
+
 @given(st.lists(st.integers(1, 63), max_size=200), st.integers(1, 10))
 @settings(deadline=None)
 def test_best_fit_is_valid_and_bounded(lengths, open_bins):
