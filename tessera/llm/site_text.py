@@ -32,7 +32,8 @@ from tessera.llm.tables import arrow_map, schema_after, small_side, written
 MIN_PAGES = 3
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style noscript template iframe textarea title svg math select object canvas noembed noframes xmp".split())
+#: Not shown, or shown only where an element fails; a field of a form (``select``, ``textarea``) is no text of the page.
+_RAW = frozenset("script style noscript template iframe textarea title select object canvas noembed noframes xmp".split())
 _PARAGRAPH = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre blockquote td th caption figcaption summary".split())
 _CONTAINER = frozenset(
     "html body main article section div header footer nav aside form fieldset ul ol dl table thead tbody tfoot tr figure "
@@ -53,11 +54,23 @@ _STRONG = frozenset("nav footer aside menu dialog head button label search".spli
     "consent gdpr newsletter subscribe subscription signup login share sharing social comment comments respond discussion replies disqus "
     "related recommended pagination pager copyright search".split()
 )
+#: Words beside boilerplate words in names of boilerplate; a name with any other word (``related-work``) needs content that agrees.
+_STRUCTURE = frozenset(
+    "list box section area wrapper wrap container block inner outer item items body main top bottom left right post page site bar row col "
+    "column link links content element group panel module region zone slot unit text html js open closed form button buttons icon icons "
+    "title head heading primary secondary global local sticky fixed mobile desktop small large new more all user reader readers "
+    "posts pages articles stories news products videos topics tags categories archive archives read reading also".split()
+)
+#: Running text itself: never boilerplate by its class or id, nor anything inside it.
+_RUNNING = frozenset("p h1 h2 h3 h4 h5 h6 blockquote dt dd pre figcaption caption summary math".split())
+#: Fields and links whose share tells boilerplate, and characters of other text that such a part may have.
+_FIELDS = frozenset("a button input select textarea form label option".split())
+_LITTLE = 200
 #: Class words of an ``article`` that is a comment or points to another page.
 _NO_ARTICLE = frozenset("comment teaser related recommended promo preview".split())
 #: Elements whose text does not count in comparing parts of a page.
 _NO_TEXT = _RAW | {"a", "button", "label", "option"}
-_WEAK, _SURE, _NEVER = 1, 2, 3
+_MAYBE, _WEAK, _SURE, _NEVER = 0.5, 1, 2, 3
 _CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
     "dt": ({"dt", "dd"}, {"dl"}),
@@ -67,7 +80,8 @@ _CLOSES = {
     "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select"}),
 }
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_NAME = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
+_TAG_STOP = re.compile(r"[>\"']")
 _ATTR = re.compile(r"([a-zA-Z][-a-zA-Z0-9_:]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _NAME_PART = re.compile(r"[a-z]+|[0-9]+")
 _GAP = re.compile(r"\s+")
@@ -83,8 +97,9 @@ class Element:
         self.digest = b""
 
 
-def _says_boilerplate(tag: str, attrs: str) -> int:
-    """0, or how surely the names say boilerplate: ``_WEAK`` ones may wrap the text, ``_NEVER`` is not shown at all."""
+def _says_boilerplate(tag: str, attrs: str) -> float:
+    """0, or how surely the names say boilerplate: ``_MAYBE`` with other words beside, ``_WEAK`` ones may wrap the text,
+    ``_NEVER`` is not shown at all."""
     if tag in _RAW or tag == "head":
         return _NEVER
     found = 0
@@ -95,10 +110,11 @@ def _says_boilerplate(tag: str, attrs: str) -> int:
     for m in _ATTR.finditer(attrs):
         name, value = m[1].lower(), unescape(m[2] or m[3] or m[4] or "").lower()
         if name in ("class", "id") and tag not in ("html", "body", "article", "main"):
-            for word in value.split():
+            for word in value.split() if tag not in _RUNNING else ():
                 parts = _NAME_PART.findall(word)
                 if not _DROPPED_NAMES.isdisjoint(parts) and "content" not in parts and "article" not in parts:
-                    found = max(found, _WEAK if _STRONG.isdisjoint(parts) else _SURE)
+                    whole = all(p in _DROPPED_NAMES or p in _STRUCTURE or len(p) < 3 or p.isdigit() for p in parts)
+                    found = max(found, _MAYBE if not whole else _WEAK if _STRONG.isdisjoint(parts) else _SURE)
         elif name == "class" and tag == "article" and not _NO_ARTICLE.isdisjoint(value.split()):
             found = max(found, _SURE)
         elif name == "role" and value.strip() in _DROPPED_ROLES:
@@ -110,23 +126,67 @@ def _says_boilerplate(tag: str, attrs: str) -> int:
     return found
 
 
+class _Tokens:
+    """The next markup of a page from a place on, in time linear in the page, broken tags and quotes too."""
+
+    def __init__(self, html: str) -> None:
+        self.html = html
+        self.last_end = html.rfind(">")
+        self.plain_until = -1  # tags that start before it end at the first ``>``: a quote is open there
+
+    def after(self, at: int) -> tuple[int, int, str, str, str] | None:
+        """Start, end, ``/`` or nothing, tag and attributes (no tag: a comment or declaration); None if only text is left."""
+        html = self.html
+        while (p := html.find("<", at)) >= 0:
+            if html.startswith("<!--", p):
+                end = html.find("-->", p + 4)
+                return p, len(html) if end < 0 else end + 3, "", "", ""
+            if html.startswith(("<!", "<?"), p) and p < self.last_end:
+                return p, html.index(">", p) + 1, "", "", ""
+            name = _NAME.match(html, p)
+            if name and p < self.last_end:
+                end = self._tag_end(p, name.end())
+                return p, end + 1, name[1], name[2].lower(), html[name.end() : end]
+            at = p + 1
+        return None
+
+    def _tag_end(self, start: int, at: int) -> int:
+        html = self.html
+        first = -1
+        while start >= self.plain_until:
+            stop = _TAG_STOP.search(html, at)
+            if stop is None:
+                break
+            if stop[0] == ">":
+                return stop.start()
+            at = html.find(stop[0], stop.end()) + 1
+            if not at:
+                first = stop.start()
+                break
+        else:
+            return html.index(">", at)
+        self.plain_until = max(self.plain_until, first if first >= 0 else len(html))
+        return html.index(">", start)
+
+
 def parse(html: str) -> Element:
     """A tree of elements and texts; unclosed and stray tags as browsers close them, nearly."""
     root = node = Element("#root", "", None)
     at, n = 0, len(html)
     unclosed: set[str] = set()  # raw elements without an end tag in the rest of the page
+    tokens = _Tokens(html)
     while at < n:
-        m = _TOKEN.search(html, at)
+        m = tokens.after(at)
         if not m:
             node.children.append(html[at:])
             break
-        if m.start() > at:
-            node.children.append(html[at : m.start()])
-        at = m.end()
-        if m[2] is None:
+        start, end, closing, tag, attrs = m
+        if start > at:
+            node.children.append(html[at:start])
+        at = end
+        if not tag:
             continue
-        tag, attrs = m[2].lower(), m[3]
-        if m[1]:
+        if closing:
             up: Element | None = node
             while up is not None and up.tag != tag:
                 if tag not in _CONTAINER and up.tag in _CONTAINER:  # an inline or paragraph end does not close its container
@@ -173,22 +233,45 @@ def parse(html: str) -> Element:
 
 def _mark(node: Element, inside: bool = False) -> list[Element]:
     """Marks boilerplate by name, without recursion (pages may nest deeply); returns the marked elements that may hold text."""
-    found, stack = [], [(node, inside)]
+    found, stack = [], [(node, inside, False)]
     while stack:
-        e, inside = stack.pop()
+        e, inside, running = stack.pop()
         inside = inside or e.tag in ("article", "main")
         for c in e.children:
             if not isinstance(c, str):
                 c.dropped = _says_boilerplate(c.tag, c.attrs)
+                if running and c.dropped != _NEVER and c.tag not in _DROPPED:  # a part of running text
+                    c.dropped = 0
+                elif c.dropped == _MAYBE:
+                    c.dropped = _WEAK if _looks_boilerplate(c) else 0
                 if c.dropped == _WEAK and _has_heading(c) and _heads_text(c, inside):
                     c.dropped = 0
                 if not c.dropped:
-                    stack.append((c, inside))
+                    stack.append((c, inside, running or c.tag in _RUNNING))
                 elif c.dropped != _NEVER:
                     found.append(c)
     return found
 
 
+def _looks_boilerplate(e: Element) -> bool:
+    """Links or fields and little text beside them; looks no further than ``_LITTLE`` characters of text and a few elements."""
+    fields, text, seen, stack = 0, 0, 0, [e]
+    while stack:
+        for c in stack.pop().children:
+            if isinstance(c, str):
+                text += len(c.strip())
+            elif c.tag in _FIELDS:
+                fields += 1
+            elif c.tag in ("article", "main"):
+                return False
+            elif c.tag not in _RAW:
+                stack.append(c)
+        seen += 1
+        if text >= _LITTLE or seen > 4 * _LITTLE:
+            return False
+    return fields > 0
+
+
 def _heads_text(e: Element, inside: bool) -> bool:
     """A header of the article: by its place, or by its name (``post-header``)."""
     if e.tag == "header":
@@ -224,6 +307,9 @@ def _articles(root: Element, least: int) -> dict[str, list[Element]]:
             if e.tag == "article":
                 continue
         stack.extend(c for c in reversed(e.children) if not isinstance(c, str) and c.dropped < least)
+    if len(found["main"]) > 1:
+        mains = {id(e) for e in found["main"]}
+        found["main"] = [e for e in found["main"] if not any(id(x) in mains for x in _above(e))]
     return found
 
 
@@ -295,16 +381,41 @@ def _content_roots(root: Element, marked: list[Element]) -> list[Element]:
         if found[tag]:
             own = [e for e in found[tag] if not _linked_heading(e)] if len(found[tag]) > 1 else found[tag]
             roots = own or found[tag]
-            if tag == "main":
-                roots = [max(roots, key=_weight)]
             for e in roots if marked else ():
                 _free(e, _SURE)
-            return roots
+            return _heading_before(roots[0]) + roots if tag == "article" else roots
     if marked:
         _free(root, _SURE)
     return [root]
 
 
+def _heading_before(article: Element) -> list[Element]:
+    """The ``h1`` in front of an article without one of its own, in the ``main`` around both."""
+    around = _above(article)
+    mains = [i for i, e in enumerate(around) if e.tag == "main"]
+    if not mains or _first(article, "h1") is not None:
+        return []
+    inner = article
+    for e in around[: mains[0] + 1]:
+        for c in e.children:
+            if c is inner:
+                break
+            if not isinstance(c, str) and not c.dropped and (h := _first(c, "h1")) is not None:
+                return [h]
+        inner = e
+    return []
+
+
+def _first(e: Element, tag: str) -> Element | None:
+    stack = [e]
+    while stack:
+        x = stack.pop()
+        if x.tag == tag:
+            return x
+        stack.extend(c for c in reversed(x.children) if not isinstance(c, str) and not c.dropped)
+    return None
+
+
 def _marked(root: Element) -> list[Element]:
     """Outermost marked elements under ``root`` that may hold text."""
     found, stack = [], [root]

@@ -83,3 +83,51 @@ def test_section_templates_of_large_hosts_go(spark):
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
     got = {r["page_id"]: r["text"] for r in main_texts(df).collect()}
     assert got == {i: f"text {i}" if i < 5 else f"text {i}\nend {i}" for i in range(400)}
+
+
+def test_names_never_take_running_text():
+    for part in (
+        '<h2 id="search">{}</h2>',
+        '<h2 id="login-form">{}</h2>',
+        '<p class="related-work">{}</p>',
+        '<p class="share-price">{}</p>',
+        '<p class="notice">{}</p>',
+        '<blockquote class="notice-text">{}</blockquote>',
+        '<dl><dt id="form">{}</dt></dl>',
+        '<section id="comments-on-the-text"><p>{}</p></section>',
+        '<div class="share-price">{}</div>',
+        '<p>{} <a class="related" href="x">',
+        "<p><math><mi>{}</mi></math>",
+    ):
+        html = f"<article><p>before</p>{part.format('kept words')}</article>"
+        assert main_text(html) == "before\nkept words", part
+    assert main_text("<article><p>E = <math><mi>m</mi><msup><mi>c</mi><mn>2</mn></msup></math>.</p></article>") == "E = mc2."
+    for part in (
+        '<div class="share-buttons"><a href="x">Share</a></div>',
+        '<div class="related-posts"><h3>More</h3><ul><li>a</li></ul></div>',
+        '<div class="cookie-law-info"><span>We use cookies</span><button>Accept</button></div>',
+        '<section id="comments"><p>a reader</p></section>',
+        '<div class="ad-box"><p>buy</p></div>',
+        "<p>before</p><p><button>Copy</button></p>".replace("<p>before</p>", ""),
+    ):
+        assert main_text(f"<article><p>before</p>{part}</article>") == "before", part
+
+
+def test_every_main_and_the_heading_before_the_article():
+    assert main_text("<body><main><p>one</p></main><main><p>the second part</p></main></body>") == "one\nthe second part"
+    assert main_text("<body><main><p>one</p><main><p>two</p></main></main></body>") == "one\ntwo"
+    assert main_text("<body><h1>Site</h1><main><div><h1>Head</h1></div><article><p>text</p></article></main>") == "Head\ntext"
+    assert main_text("<body><main><h1>Site</h1><article><h1>Head</h1><p>text</p></article></main>") == "Head\ntext"
+
+
+def test_broken_tags_take_linear_time():
+    import time
+
+    for bad in ("<a x ", "<a b=", '<a b="', "<a 'x", "<!x", "<a x \"' ", "<", "</", "<!-", "<a <b "):
+        for end in ("", ">", "'>", '">', "' \">"):
+            text = bad * (500_000 // len(bad)) + end
+            start = time.time()
+            main_text(f"<p>one</p>{text}")
+            assert time.time() - start < 5, (bad, end)
+    assert main_text('<p title="a > b">x</p><p title=">y</p><p>z</p>') == "x\ny\nz"
+    assert main_text("1 < 2 <b>and</b> 3 <4 <p") == "1 < 2 and 3 <4 <p"
