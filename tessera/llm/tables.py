@@ -25,7 +25,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -37,8 +37,11 @@ def small_side(df: DataFrame, rows: int | None = None, limit: int = BROADCAST_RO
 
 _shipped: set[str] = set()
 _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
-#: Bytes of an Arrow batch sent to a worker, unless the application says otherwise.
-BATCH_BYTES = 16 << 20
+#: Bytes of an Arrow batch sent to a worker, unless the application says otherwise: its vectors lie outside the heap,
+#: twice a task, and their allocator keeps what it had.
+BATCH_BYTES = 4 << 20
+#: Bytes of a row group of a written table: what a writer of whole texts holds in the heap.
+ROW_GROUP_BYTES = 16 << 20
 
 
 def ship(spark: SparkSession) -> None:
@@ -46,7 +49,7 @@ def ship(spark: SparkSession) -> None:
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
-    if not spark.sparkContext.getConf().contains(_BATCH):  # two texts of a row and their copies fit beside the JVM
+    if not spark.sparkContext.getConf().contains(_BATCH):  # stays set: workers of later queries need it too
         spark.conf.set(_BATCH, str(BATCH_BYTES))
     package = Path(tessera.__file__).parent
     archive = Path(tempfile.mkdtemp(prefix="tessera-py-")) / "tessera.zip"
