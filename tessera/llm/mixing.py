@@ -148,10 +148,12 @@ def placed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sour
 def mixed(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 0, block: int = BLOCK
 ) -> DataFrame:
-    """``doc_id, size, source_size, target, taken`` per row of ``docs``.
+    """``doc_id, size, source_size, target, taken, first_slot, n_slots`` per row of ``docs``.
 
     ``taken`` counts the words that the mix takes from the document, repeats
-    included: at most ``REPEATS`` times its size.  Null texts have size 0 and
+    included: at most ``REPEATS`` times its size.  ``first_slot`` is the first
+    slot of the schedule with words of the document (null if none is taken)
+    and ``n_slots`` the number of such slots.  Null texts have size 0 and
     are not taken; a null source is a source, the last one.  Repeated rows are
     rows of their own; other columns are not read.  The same rows give the
     same mix.
@@ -169,7 +171,15 @@ def mixed(
         "row", "s", "begin", "end", F.explode(F.sequence(F.floor(F.col("begin") / block), F.floor((F.col("end") - 1) / block))).alias("r")
     )
     overlap = F.least(F.col("end"), F.col("r") * block + F.col("words")) - F.greatest(F.col("begin"), F.col("r") * block)
-    taken = pieces.join(slots, ["s", "r"]).groupBy("row").agg(F.sum(overlap).alias("taken"))
+    # a document has pieces of few blocks; two passes of a short source may meet in one block, and so in one slot
+    met = pieces.join(slots, ["s", "r"]).groupBy("row", "slot").agg(F.sum(overlap).alias("words"))
+    taken = met.groupBy("row").agg(F.sum("words").alias("taken"), F.min("slot").alias("first_slot"), F.count("*").alias("n_slots"))
     return at.join(taken, "row", "left").select(
-        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")
+        "doc_id",
+        "size",
+        "source_size",
+        "target",
+        F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
+        "first_slot",
+        F.coalesce("n_slots", F.lit(0)).cast("long").alias("n_slots"),
     )

@@ -86,3 +86,46 @@ def test_hot_source_in_many_chunks(spark, monkeypatch):
 def test_many_sources_in_chunks(spark, monkeypatch):
     monkeypatch.setattr(mixing, "CHUNK_ROWS", 4)
     check(spark.createDataFrame([(i, prose(i, 20 + i % 90), f"s{i % 30:02}") for i in range(120)], "doc_id long, text string, source string"))
+
+
+def brute_slots(spark, df, block, point):
+    """first slot and number of slots of every document, from the schedule's points one by one."""
+    at, goals = mixing.placed(df)
+    goals = {r["s"]: r["target"] for r in goals.collect()}
+    total, upto, spans = sum(goals.values()), 0.0, []
+    for s in sorted(goals):
+        spans.append((s, upto / total, (upto + goals[s]) / total))
+        upto += goals[s]
+    blocks = {s: -(-int(t + 0.5) // block) for s, t in goals.items()}
+    slot_of, n = {}, -int(-total // block)
+    for slot in range(n):
+        u = point(slot)
+        s = next((s for s, lo, hi in spans if lo <= u < hi), spans[-1][0])
+        r = sum(k[0] == s for k in slot_of)
+        if r < blocks[s]:
+            slot_of[s, r] = slot
+    used = {s: sum(k[0] == s for k in slot_of) for s in goals}
+    for s in goals:
+        for r in range(used[s], blocks[s]):
+            slot_of[s, r] = n + r
+    out = []
+    for x in at.collect():
+        goal, mine = int(goals[x["s"]] + 0.5), set()
+        for p in range(mixing.REPEATS):
+            begin = p * x["source_size"] + x["start"]
+            end = min(begin + x["size"], goal)
+            if begin < end:
+                mine |= {slot_of[x["s"], r] for r in range(begin // block, (end - 1) // block + 1)}
+        out.append((x["doc_id"], min(mine, default=None), len(mine)))
+    return sorted(out)
+
+
+def test_slots_follow_the_points(spark, monkeypatch):
+    rows = [(i, prose(i, 150 + i), "abc"[i % 3] if i % 5 else "a") for i in range(60)] + [(90, "", "a"), (91, prose(91, 5), "z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    slots = lambda: sorted((r["doc_id"], r["first_slot"], r["n_slots"]) for r in mixing.mixed(df, block=64).collect())
+    golden = lambda i: ((i + 0.5) * mixing._PHI) % 1.0
+    got = slots()
+    assert got == brute_slots(spark, df, 64, golden)
+    monkeypatch.setattr(mixing, "golden_point", lambda i: mixing.F.lit(0.25))
+    assert slots() == brute_slots(spark, df, 64, lambda i: 0.25) != got
