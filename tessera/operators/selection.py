@@ -205,31 +205,16 @@ def kmeanspp(
 def _tiles(pts: DataFrame, n: int, dim: int) -> tuple[DataFrame, np.ndarray, np.ndarray]:
     """The points in tiles, once: ``a, x`` (``array<struct<id, v>>``); the tiles' centres and radii.
 
-    Points go to the nearest of about ``n / size`` keyed random points, with
-    ``size = max(TILE, sqrt(n))``; a fuller tile is split by hash.  So there are
-    at most about ``2 sqrt(n)`` tiles and ``2 n`` pairs of tiles.
+    Tiles are balls of about ``max(TILE, sqrt(n))`` points, so there are at most
+    about ``2 sqrt(n)`` of them and ``2 n`` pairs of tiles.
     """
     size = max(TILE, math.isqrt(n))
-    member = F.struct("id", "v")
     if n <= size:
-        return hold(pts.groupBy(F.lit(0).alias("a")).agg(F.collect_list(member).alias("x"))), np.zeros((1, dim)), np.array([math.inf])
-    centers = hold(pts.orderBy(u01(0, "tile", "id"), "id").limit(-(-n // size)))
-    known = {r["id"]: r["v"] for r in centers.collect()}
-    near = vectors.nearest_center(pts, centers, len(known), dim).select("id", "center_id", "sqdist")
-    near = hold(near)
-    first, rows = 0, []
-    for r in near.groupBy("center_id").agg(F.count(F.lit(1)).alias("n"), F.max("sqdist").alias("far")).collect():
-        parts = -(-r["n"] // size)
-        rows.append((r["center_id"], first, parts, math.sqrt(r["far"])))
-        first += parts
-    numbers = pts.sparkSession.createDataFrame([r[:3] for r in rows], "center_id long, first int, parts int")
-    tile = F.col("first") + F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
-    met = pts.join(near, "id").join(vectors.broadcast_if_small(numbers, len(rows), 3), "center_id")
-    tiles = hold(met.groupBy(tile.alias("a")).agg(F.collect_list(member).alias("x")))
-    tiles.count()
-    drop(centers, near)
-    at = np.repeat(np.array([known[r[0]] for r in rows], float).reshape(len(rows), dim), [r[2] for r in rows], axis=0)
-    return tiles, at, np.repeat([r[3] for r in rows], [r[2] for r in rows])
+        only = pts.groupBy(F.lit(0).alias("a")).agg(F.collect_list(F.struct("id", "v")).alias("x"))
+        return hold(only), np.zeros((1, dim)), np.array([math.inf])
+    tiles, balls = vectors.local_tiles(pts, n, dim, size)
+    at = np.array([c for _, c, _ in balls], float).reshape(len(balls), dim)
+    return hold(tiles.toDF("a", "x")), at, np.array([r for _, _, r in balls])
 
 
 class _TilePairs:

@@ -6,7 +6,8 @@ every task as one array value, and every point folds over it in place: no
 join, no shuffle, no (point, point) rows.  A larger set is cut into tiles of
 that size that stay distributed; points meet them by an equi-join on the tile
 number and a salt, and a point's results are combined by id.  Both ways give
-the same rows.
+the same rows.  Tiles for nearest centers are balls (:func:`local_tiles`), and a
+point is copied only to the balls that its nearest center can lie in.
 
 Comparing every point with every member of the set is the definition of
 these operators (the k-means assignment, the farthest pair, the mean pairwise
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +30,8 @@ from tessera.operators import checks
 MAX_INLINE_VALUES = 1_000_000
 # A join side is broadcast only when measured at or under this many numbers.
 MAX_BROADCAST_VALUES = 8_000_000
+# Members looked at for each tile of a set that is cut into balls.
+SPREAD = 16
 
 
 def broadcast_if_small(df: DataFrame, n_rows: int, width: int = 1) -> DataFrame:
@@ -67,6 +71,57 @@ def _against(points: DataFrame, members: DataFrame, n: int, dim: int) -> tuple[D
     return spread.join(cut, ["tile_", "salt_"]).drop("tile_", "salt_"), True
 
 
+def local_tiles(members: DataFrame, n: int, dim: int, size: int) -> tuple[DataFrame, list[tuple[int, list[float], float]]]:
+    """A bounded set cut into balls of about ``size`` members at most: ``tile_, set_`` (``array<struct<id, v>>``), and
+    number, center and radius of every tile, the only part that reaches the driver.
+
+    Members go to the nearest of ``n / size`` of them, chosen far apart from
+    keyed random ones; a fuller ball is split by hash.
+    """
+    count = -(-n // max(1, size))
+    most = max(count, min(SPREAD * count, MAX_INLINE_VALUES // max(1, dim)))
+    some = members.select("id", "v").orderBy(F.xxhash64("id", F.lit(3)), "id").limit(most).collect()
+    known = {some[i]["id"]: list(some[i]["v"]) for i in _far_apart(np.array([r["v"] for r in some], float), count)}
+    pivots = members.sparkSession.createDataFrame(list(known.items()), "id long, v array<double>")
+    near = nearest_center(members, pivots, len(known), dim, keep=("v",))
+    meta, parts = [], []
+    for r in near.groupBy("center_id").agg(F.count(F.lit(1)).alias("n"), F.max("sqdist").alias("far")).orderBy("center_id").collect():
+        split = -(-r["n"] // size)
+        parts.append((r["center_id"], len(meta), split))
+        meta += [(len(meta) + i, known[r["center_id"]], math.sqrt(r["far"])) for i in range(split)]
+    numbers = members.sparkSession.createDataFrame(parts, "center_id long, first_ int, parts_ int")
+    tile = F.col("first_") + F.pmod(F.xxhash64("id", F.lit(4)), F.col("parts_")).cast("int")
+    met = near.join(broadcast_if_small(numbers, len(parts), 3), "center_id")
+    return met.groupBy(tile.alias("tile_")).agg(F.collect_list(F.struct("id", "v")).alias("set_")), meta
+
+
+def _far_apart(x: np.ndarray, count: int) -> list[int]:
+    """Farthest-first rows of a bounded sample, as seeds of the tiles (any choice gives right results)."""
+    chosen, m = [0], ((x - x[0]) ** 2).sum(axis=1)
+    while len(chosen) < min(count, len(x)):
+        chosen.append(int(m.argmax()))
+        m = np.minimum(m, ((x - x[chosen[-1]]) ** 2).sum(axis=1))
+        m[chosen] = -1
+    return chosen
+
+
+def near_tiles(points: DataFrame, meta: list[tuple[int, list[float], float]]) -> DataFrame:
+    """``points`` once for every tile that may hold the nearest member, as ``tile_``.
+
+    The centers of the tiles are members, so the nearest of them bounds the
+    distance ``u``; by the triangle inequality nothing in a ball is nearer than
+    its center's distance less its radius, and balls with more than ``u`` are left out.
+    """
+    spark = points.sparkSession
+    all_ = spark.createDataFrame([(meta,)], "balls_ array<struct<t: int, c: array<double>, r: double>>").select("balls_").scalar()
+    reach = f"transform(balls_, b_ -> named_struct('t', b_.t, 'd', sqrt({sqdist_sql_expr('v', 'b_.c')}), 'r', b_.r))"
+    held = points.withColumn("balls_", all_).withColumn("reach_", F.expr(reach)).drop("balls_")
+    held = held.withColumn("u_", F.expr("array_min(transform(reach_, b_ -> b_.d))"))
+    # a little more than the bound: the distances are rounded sums
+    open_ = F.expr("transform(filter(reach_, b_ -> b_.d - b_.r <= u_ + 1e-9D * (u_ + b_.d + b_.r)), b_ -> b_.t)")
+    return held.withColumn("tile_", F.explode(open_)).drop("reach_", "u_")
+
+
 # The folds below are built as SQL text (one call into the JVM each); the
 # lambda variable ``q_`` is one member of the set.
 _D2 = sqdist_sql_expr("v", "q_.v")
@@ -85,7 +140,17 @@ def nearest_center(
     """
     if n_centers is None or dim is None:
         n_centers, dim = set_size(centers)
-    met, several = _against(points.select("id", "v", *keep), centers.select("id", "v"), n_centers, dim)
+    own = points.select("id", "v", *[c for c in keep if c != "v"])
+    tiles = _n_tiles(n_centers, dim)
+    if tiles == 1:
+        met, several = _against(own, centers.select("id", "v"), n_centers, dim)
+    else:
+        fits = (F.size("v") == dim) | F.raise_error(F.lit(f"a vector is not of length {dim}"))
+        cut, balls = local_tiles(centers.select("id", "v"), n_centers, dim, -(-n_centers // tiles))
+        salts = max(1, -(-points.sparkSession.sparkContext.defaultParallelism // len(balls)))
+        cut = cut.withColumn("salt_", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        spread = near_tiles(own.where(fits), balls).withColumn("salt_", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(salts)).cast("int"))
+        met, several = spread.join(cut, ["tile_", "salt_"]).drop("tile_", "salt_"), True
     # structs compare by d, then id: the nearest center, smallest id on ties
     best = met.selectExpr("id", *keep, f"array_min(transform(set_, q_ -> named_struct('d', {_D2}, 'cid', q_.id))) AS _b")
     if several:

@@ -86,3 +86,30 @@ def test_points_in_by_value(spark):
     C = spark.createDataFrame([(99, [1.0])], "id long, v array<double>")
     assert sorted(r["id"] for r in V.points_in(P, C).collect()) == [0, 2]
     assert sorted(r["id"] for r in V.points_not_in(P, C).collect()) == [1, 3]
+
+
+def test_points_meet_only_tiles_that_may_hold_the_nearest(spark, monkeypatch):
+    rng = np.random.default_rng(51)
+    spots = np.array([[0, 0, 0], [100, 0, 0], [0, 100, 0], [0, 0, 100], [100, 100, 100]], float)
+    C = np.concatenate([s + rng.normal(size=(8, 3)) for s in spots])
+    X = np.concatenate([s + rng.normal(size=(40, 3)) for s in spots] + [rng.normal(size=(10, 3)) * 80])
+    P = spark.createDataFrame([(i, [float(v) for v in x]) for i, x in enumerate(X)], "id long, v array<double>")
+    centers = spark.createDataFrame([(1000 + i, [float(v) for v in x]) for i, x in enumerate(C)], "id long, v array<double>")
+    want = sorted(map(tuple, V.nearest_center(P, centers).collect()))
+    cut, balls = V.local_tiles(centers, 40, 3, 8)
+    assert len(balls) >= 3 and sorted(q["id"] for r in cut.collect() for q in r["set_"]) == list(range(1000, 1040))
+    # every member lies in its ball
+    for r in cut.collect():
+        _, c, radius = balls[r["tile_"]]
+        assert all(np.linalg.norm(np.array(q["v"]) - c) <= radius * (1 + 1e-12) for q in r["set_"])
+    copies = V.near_tiles(P, balls).groupBy("id").count().collect()
+    assert len(copies) == len(X)
+    assert sum(r["count"] for r in copies) < 2 * len(X) < len(balls) * len(X) / 2
+    monkeypatch.setattr(V, "MAX_INLINE_VALUES", 24)  # eight centers of three numbers a tile
+    got = V.nearest_center(P, centers)
+    assert sorted(map(tuple, got.collect())) == want
+    assert "balls_" in got._jdf.queryExecution().analyzed().toString()
+    # equal centers at equal distances: the smallest id, whatever tile it is in
+    same = spark.createDataFrame([(i, [float(i % 3), 0.0, 0.0]) for i in range(60)], "id long, v array<double>")
+    got = V.nearest_center(P, same).select("id", "center_id").collect()
+    assert {r["center_id"] for r in got} <= {0, 1, 2}
