@@ -6,9 +6,10 @@ marks around words.  FTRL-proximal keeps a gradient sum and a squared-gradient
 sum per coordinate, so each has its own rate, and its L1 term keeps weights of
 rare or useless features at exactly 0.
 
-Training reads at most ``MAX_TRAINING`` labelled texts (those with the smallest
-hashes) as one online stream; their features are made in parallel.  The
-weights are at most ``2^BITS`` numbers whatever the input, and are broadcast.
+Training learns from at most ``MAX_TRAINING`` labelled documents (those with the
+smallest hashes), one text each, and at most ``MAX_TRAINING_BYTES`` of features
+(4 bytes each; the first texts in order) as one online stream; the features are
+made in parallel.  The weights are at most ``2^BITS`` numbers whatever the input, and are broadcast.
 """
 
 from __future__ import annotations
@@ -27,8 +28,9 @@ from tessera.llm.words import constants, mix64, slices, span_hashes, spans
 
 #: Hashed feature space.
 BITS = 20
-#: Most labelled texts that training reads.
+#: Most labelled documents that training reads, and most bytes of their features that it learns from.
 MAX_TRAINING = 20_000
+MAX_TRAINING_BYTES = 512 << 20
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 3.0, 0.01
 
@@ -97,24 +99,33 @@ class Ftrl:
         self.n[i] = n + g * g
 
 
-def _train_batches(batches: Iterator[pa.RecordBatch], epochs: int) -> Iterator[pa.RecordBatch]:
-    """The whole bounded stream in one task; later rounds read the features kept from the first."""
+def _train_batches(batches: Iterator[pa.RecordBatch], epochs: int, most_bytes: int) -> Iterator[pa.RecordBatch]:
+    """The whole bounded stream, sorted by order, in one task; later rounds read the features kept from the first."""
     model, kept = Ftrl(), []
     intercept = np.int32(1 << BITS)
+    last, held = None, 0
 
-    def learn(part: tuple[np.ndarray, np.ndarray, np.ndarray]) -> None:
-        labels, at, found = part
-        for k, label in enumerate(labels):
-            model.learn(np.append(found[at[k] : at[k + 1]], intercept), label)
+    def learn(part: tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]) -> None:
+        rows, labels, at, found = part
+        for k in rows:
+            model.learn(np.append(found[at[k] : at[k + 1]], intercept), labels[k])
 
     for batch in batches:  # views of the batches: no object per text
-        column = batch.column(1).cast(pa.large_binary())
+        if not batch.num_rows:
+            continue
+        column = batch.column(2).cast(pa.large_binary())
         _, offsets, data = column.buffers()
         at = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1] // 4
-        part = (np.asarray(batch.column(0)), at, np.frombuffer(data or b"", np.int32))
-        learn(part)
-        if epochs > 1:
-            kept.append(part)
+        order = np.asarray(batch.column(0))
+        new = np.append(last is None or order[0] != last, order[1:] != order[:-1])  # further texts of a document
+        last = order[-1]
+        total = held + 4 * np.cumsum(np.where(new, np.diff(at), 0))
+        held = int(total[-1])
+        part = (np.flatnonzero(new & (total <= most_bytes)), np.asarray(batch.column(1)), at, np.frombuffer(data or b"", np.int32))
+        if len(part[0]):
+            learn(part)
+            if epochs > 1:
+                kept.append(part)
     for _ in range(epochs - 1):
         for part in kept:
             learn(part)
@@ -124,18 +135,21 @@ def _train_batches(batches: Iterator[pa.RecordBatch], epochs: int) -> Iterator[p
 
 
 def train(
-    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", most: int = MAX_TRAINING, epochs: int = EPOCHS
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", most: int = MAX_TRAINING, epochs: int = EPOCHS, most_bytes: int = MAX_TRAINING_BYTES
 ) -> np.ndarray:
-    """Weights (the last is the intercept) from the labelled rows given; null labels, ids and texts are left out."""
+    """Weights (the last is the intercept) from the labelled rows given; null labels, ids and texts are left out.
+
+    Of several texts of one id the one with the smallest features is learned from.
+    """
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("known_id")).agg(F.max(label_col).cast("double").alias("label"))
     known = known.withColumn("order", F.xxhash64("known_id"))
     sample = written(known.orderBy("order", "known_id").limit(most), "training")
     rows = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rows = rows.join(small_side(sample), F.col("doc_id") == F.col("known_id")).select("order", "label", "text")
     found = written(arrow_map(rows, _feature_batches, "order long, label double, features binary"), "training-features")
-    stream = found.repartition(1).sortWithinPartitions("order", "features").select("label", "features")
+    stream = found.repartition(1).sortWithinPartitions("order", "features").select("order", "label", "features")
     weights = np.zeros((1 << BITS) + 1, np.float32)
-    for r in arrow_map(stream, partial(_train_batches, epochs=epochs), "feature int, weight double").collect():
+    for r in arrow_map(stream, partial(_train_batches, epochs=epochs, most_bytes=most_bytes), "feature int, weight double").collect():
         weights[r["feature"]] = r["weight"]
     return weights
 

@@ -58,6 +58,51 @@ def test_toxic_words_are_learned_sparsely(spark):
     assert toxicity.toxicity(docs.limit(0), weights).collect() == []
 
 
+def plain_ftrl(stream, epochs=toxicity.EPOCHS):
+    """Per-coordinate FTRL-proximal with dictionaries, one coordinate at a time."""
+    z, n = {}, {}
+
+    def weight(i):
+        if abs(z.get(i, 0.0)) <= toxicity.L1:
+            return 0.0
+        sign = 1.0 if z[i] > 0 else -1.0
+        return -(z[i] - sign * toxicity.L1) / ((toxicity.BETA + n[i] ** 0.5) / toxicity.ALPHA + toxicity.L2)
+
+    for _ in range(epochs):
+        for found, label in stream:
+            used = [*found, 1 << toxicity.BITS]
+            w = {i: weight(i) for i in used}
+            g = 1 / (1 + np.exp(-max(-35.0, min(35.0, sum(w.values()))))) - label
+            for i in used:
+                before = n.get(i, 0.0)
+                n[i] = before + g * g
+                z[i] = z.get(i, 0.0) + g - (n[i] ** 0.5 - before**0.5) / toxicity.ALPHA * w[i]
+    return {i: weight(i) for i in z if weight(i)}
+
+
+def feature_set(text):
+    raw = np.frombuffer(text.encode(), np.uint8)
+    return np.unique(toxicity.features(raw, np.array([0, len(raw)]))[0]).astype(np.int32)
+
+
+def test_training_equals_a_plain_one(spark):
+    rows = [(i, prose(i, 40) + (" vile rotten" if i % 4 == 0 else " fine day")) for i in range(150)]
+    docs = spark.createDataFrame(rows + rows[:30] + [(7, prose(7, 90)), (8, prose(300, 90))], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(150)], "doc_id long, toxic int")
+    at = {r["doc_id"]: r["o"] for r in labels.selectExpr("doc_id", "xxhash64(doc_id) AS o").collect()}
+    texts = {}
+    for r in docs.collect():
+        texts.setdefault(r["doc_id"], []).append(feature_set(r["text"]))
+    one = {d: min(sets, key=lambda f: f.tobytes()) for d, sets in texts.items()}
+    stream = [(one[d], float(d % 4 == 0)) for d in sorted(one, key=lambda d: at[d])]
+    for bound in (toxicity.MAX_TRAINING_BYTES, 20_000):
+        sizes = np.cumsum([4 * len(f) for f, _ in stream])
+        want = plain_ftrl([x for x, s in zip(stream, sizes) if s <= bound])
+        got = toxicity.train(docs, labels, most_bytes=bound)
+        assert set(np.flatnonzero(got)) == set(want) and want
+        assert np.allclose([got[i] for i in want], list(want.values()), rtol=1e-5)
+
+
 def test_no_labels(spark, odd_docs):
     labels = spark.createDataFrame([], "doc_id long, toxic int, quality int")
     assert {r["score"] for r in toxicity.toxicity(odd_docs, toxicity.train(odd_docs, labels)).collect()} == {0.5}
