@@ -42,35 +42,43 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents with 85 % of equal 5-word shingles; texts without words are components of their own."""
     return near_dup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
 def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page; null html gives an empty text."""
     return site_text.main_texts(_table(spark, sf_dir, "pages"))
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens and log score of every document under the unigram vocabulary; null texts have none."""
     return unigram_counts.token_counts(_table(spark, sf_dir, "documents"), unigram_counts.read_vocabulary(UNIGRAM_FILE))
 
 
 def op4_reply_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message with its parent by quotation, its path and its own text; ``parent_turn`` is -1 without a parent."""
     replies = quotes.reply_ordered(_table(spark, sf_dir, "conversations"))
     return replies.withColumn("parent_turn", F.coalesce("parent_turn", F.lit(-1).cast("long")))
 
 
 def op5_mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document, and its slots; null texts have size 0."""
     return mixing.mixed(_table(spark, sf_dir, "documents"))
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document; null texts have no words and fail the base rules."""
     return divergence.quality_rules(_table(spark, sf_dir, "documents"))
 
 
 def op7_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every document in sequences of 1,024 tokens; a null text is the closing id alone."""
     return packing.packed(_table(spark, sf_dir, "documents"), packing.read_ranks(PACKING_FILE))
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned outside the held-out fold; empty texts get the intercept."""
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     held_out = toxicity.held_out(F.col("doc_id"), TOXIC_FOLDS, TOXIC_FOLD)
     weights = toxicity.train(docs, labels.where(~held_out))
@@ -78,12 +86,14 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned outside the held-out fold; empty texts have the statistics of no words."""
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     held_out = toxicity.held_out(F.col("doc_id"), QUALITY_FOLDS, QUALITY_FOLD)
     return quality_qda.quality(docs, labels.where(~held_out)).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
 def op10_top_inner_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best partners of every 50th vector; vectors with null or non-finite components take no part."""
     return pivot_search.top_k(_table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0", 5)
 
 
