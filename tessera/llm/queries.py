@@ -163,14 +163,14 @@ _SQL = {
       direct AS (SELECT conv_id, turn, q, sum(n) AS n FROM best WHERE level = 1 GROUP BY ALL),
       parent AS (SELECT conv_id, turn, arg_max(q, (n, q)) AS p FROM direct GROUP BY 1, 2),
       total AS (SELECT conv_id, turn, CAST(sum(n) AS BIGINT) AS n_quoted FROM best GROUP BY 1, 2),
-      chain AS (SELECT conv_id, turn, p AS up, lpad(CAST(turn AS VARCHAR), 13, '0') AS path, 0 AS depth FROM parent
-        UNION ALL SELECT c.conv_id, c.turn, parent.p, lpad(CAST(c.up AS VARCHAR), 13, '0') || '/' || c.path, c.depth + 1
+      chain AS (SELECT conv_id, turn, p AS up, lpad(CAST(turn AS VARCHAR), 19, '0') AS path, 0 AS depth FROM parent
+        UNION ALL SELECT c.conv_id, c.turn, parent.p, lpad(CAST(c.up AS VARCHAR), 19, '0') || '/' || c.path, c.depth + 1
         FROM chain c LEFT JOIN parent ON parent.conv_id = c.conv_id AND parent.turn = c.up WHERE c.up IS NOT NULL),
       paths AS (SELECT conv_id, turn, path, depth FROM chain WHERE up IS NULL),
       own AS (SELECT rid, string_agg(body, chr(10) ORDER BY i) AS body FROM numbered WHERE level = 0 AND NOT (coalesce(after, 0) > 0 AND
         regexp_matches(body, '^\s*(?:On\b.*\bwrote|Am\b.*\bschrieb.*|Le\b.*\ba écrit|El\b.*\bescribió)\s*:\s*$')) GROUP BY rid)
       SELECT m.conv_id, m.turn, m.role, coalesce(parent.p, -1) AS parent_turn, CAST(coalesce(paths.depth, 0) AS BIGINT) AS depth,
-        coalesce(paths.path, lpad(CAST(m.turn AS VARCHAR), 13, '0')) AS path, coalesce(total.n_quoted, 0) AS n_quoted,
+        coalesce(paths.path, lpad(CAST(m.turn AS VARCHAR), 19, '0')) AS path, coalesce(total.n_quoted, 0) AS n_quoted,
         CASE WHEN m.text IS NOT NULL THEN regexp_replace(coalesce(own.body, ''), '^(?:[ \t]*\n)+|(?:\n[ \t]*)+$', '', 'g') END AS text
       FROM m LEFT JOIN own ON own.rid = m.rid LEFT JOIN parent ON parent.conv_id = m.conv_id AND parent.turn = m.turn
         LEFT JOIN total ON total.conv_id = m.conv_id AND total.turn = m.turn LEFT JOIN paths ON paths.conv_id = m.conv_id AND paths.turn = m.turn""",

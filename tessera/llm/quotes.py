@@ -16,11 +16,16 @@ is a third of all rows meets nowhere.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.tables import small_side, written
 
+#: Digits of the largest turn.
+KEY_DIGITS = 19
+
 _PREFIX = r"^[ \t]*(?:>[ \t]?)+"
 _ATTRIBUTION = r"^\s*(?:On\b.*\bwrote|Am\b.*\bschrieb.*|Le\b.*\ba écrit|El\b.*\bescribió)\s*:\s*$"
 
@@ -104,8 +109,9 @@ def quote_links(messages: DataFrame, conv_col: str = "conv_id", turn_col: str =
 
 
 def _key(turn: F.Column) -> F.Column:
-    """Turn as text that sorts like the number (negative ones first)."""
-    return F.when(turn < 0, F.concat(F.lit("-"), F.lpad((turn + F.lit(10**12)).cast("string"), 13, "0"))).otherwise(F.lpad(turn.cast("string"), 13, "0"))
+    """Turn as text that sorts like the number, all 64 bits of it (negative ones first)."""
+    up = (turn.cast("decimal(20,0)") + F.lit(Decimal(1 << 63))).cast("string")
+    return F.when(turn < 0, F.concat(F.lit("-"), F.lpad(up, KEY_DIGITS, "0"))).otherwise(F.lpad(turn.cast("string"), KEY_DIGITS, "0"))
 
 
 def _paths(parents: DataFrame) -> DataFrame:

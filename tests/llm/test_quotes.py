@@ -63,3 +63,12 @@ def test_two_texts_of_one_turn(spark):
     cols = ["conv_id", "turn", "role", "depth", "path", "n_quoted", "text"]
     want = sorted(map(str, con.sql(oracle_sql()["op4_reply_ordered"]).df()[cols].itertuples(index=False, name=None)))
     assert sorted(map(str, reply_ordered(m).toPandas()[cols].itertuples(index=False, name=None))) == want
+
+
+def test_wide_turns_sort_like_numbers(spark):
+    turns = [-(2**63), -5, -1, 0, 7, 10**13, 10**13 + 1, 1_700_000_000_000_000, 2**63 - 1]
+    rows = [(1, t, "u", f"> text {turns[i - 1]}\ntext {t}" if i % 2 else f"text {t}") for i, t in enumerate(turns)]
+    m = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = [r for r in reply_ordered(m).orderBy("path").collect()]
+    assert [r["turn"] for r in got] == turns
+    assert [r["parent_turn"] for r in got] == [turns[i - 1] if i % 2 else None for i in range(len(turns))]
