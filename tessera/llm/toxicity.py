@@ -146,7 +146,7 @@ def train(
     sample = written(known.orderBy("order", "known_id").limit(most), "training")
     rows = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rows = rows.join(small_side(sample), F.col("doc_id") == F.col("known_id")).select("order", "label", "text")
-    found = written(arrow_map(rows, _feature_batches, "order long, label double, features binary"), "training-features")
+    found = arrow_map(rows, _feature_batches, "order long, label double, features binary")
     stream = found.repartition(1).sortWithinPartitions("order", "features").select("order", "label", "features")
     weights = np.zeros((1 << BITS) + 1, np.float32)
     for r in arrow_map(stream, partial(_train_batches, epochs=epochs, most_bytes=most_bytes), "feature int, weight double").collect():
