@@ -29,7 +29,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that the quality rules keep; the language references are those of the rows at hand."""
+    """Rows that the quality rules keep; the language references are those of the rows at hand.
+
+    Null and empty texts have fewer than 50 words and go; a null language is judged by the base rules alone.
+    """
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text", "lang")
     return divergence.quality_rules(rows, id_col="row").where("kept").select("doc_id.*")
 
@@ -56,7 +59,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each row as often as the mix takes its words, in whole copies (nearest number; 0 to 3).
 
-    Rows equal in id and text share their copies evenly.
+    Rows equal in id and text share their copies evenly; null and empty texts have no words and go.  Order is
+    not kept: packing deals the rows anew.
     """
     key = F.xxhash64("doc_id", "text")
     taken = mixing.mixed(docs.select(key.alias("key"), "text", "source"), id_col="key")
@@ -70,7 +74,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all rows in sequences of 1024 tokens."""
+    """Pieces of all rows in sequences of 1024 tokens; a null or empty text is the closing id alone."""
     return packing.packed(docs, packing.read_ranks(queries.PACKING_FILE))
 
 
