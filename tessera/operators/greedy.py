@@ -40,6 +40,8 @@ REBASE = 16
 BUFFER_ROWS = 900
 BUFFER_VALUES = 1 << 20
 MERGED_ROWS = 1 << 24
+#: Numbers of the vectors in a partition of the persisted points (64 MB), if the session's shuffles are no narrower.
+PART_VALUES = 1 << 23
 #: Rounds of a race that a pass looks ahead, and points per round that it expects under its bound.
 RACE_ROUNDS = 16
 RACE_ROWS = 64
@@ -104,10 +106,14 @@ def folded(rows: DataFrame, new: Choices, keep: list[str]) -> DataFrame:
 class Passes:
     """The persisted points and the state of the pass at hand."""
 
-    def __init__(self, points: DataFrame, keys: list[str], extra: list[str]) -> None:
+    def __init__(self, points: DataFrame, keys: list[str], extra: list[str], values: int | None = None) -> None:
+        """``values``: numbers of all vectors, where the caller counted them; a small set is not cut as finely as shuffles are."""
         self.keys, self.extra = keys, extra
         self.narrow = [*keys, "id", *extra]
-        parts = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        spark = points.sparkSession
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        if values is not None:
+            parts = min(parts, max(spark.sparkContext.defaultParallelism, -(-values // PART_VALUES)))
         # dealt and sorted by id: joins with the state need no exchange and no sort
         self.base = hold_partitioned(points.select(*keys, "id", "v", *extra).repartition(parts, "id").sortWithinPartitions("id"))
         self.parts = parts

@@ -97,12 +97,13 @@ def _traverse(
         raise ValueError(f"k = {k} is more than the {stats[0]['n'] if stats else 0} points")
     if on_small_block == "error" and stats and min(r["n"] for r in stats) < k:
         raise ValueError(f"a block has {min(r['n'] for r in stats)} points, fewer than k = {k}")
-    passes = Passes(points, keys, extra)
+    dim = (stats[0]["longest"] or 0) if stats else 0
+    passes = Passes(points, keys, extra, sum(r["n"] for r in stats) * max(1, dim))
     try:
         checks.check_unique_ids(passes.base)
         first = _first_picks(passes.base, stats, keys, first_id, seed)
         sizes = {r["block"] if keys else 0: r["n"] for r in stats}
-        choices = choose(passes, first, sizes, stats[0]["longest"] or 0 if stats else 0)
+        choices = choose(passes, first, sizes, dim)
     finally:
         passes.close()
     order = by_place(choices)

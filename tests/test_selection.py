@@ -334,3 +334,15 @@ def test_matching_half_of_optimum_dispersion(spark):
         got = [r["id"] for r in S.max_matching(P, k).collect()]
         best = max(spread(c) for c in itertools.combinations(range(9), k))
         assert spread(got) >= 0.5 * best - 1e-12
+
+
+def test_small_sets_are_not_cut_like_large_shuffles(spark):
+    P = _pts(spark, np.random.default_rng(35).normal(size=(50, 3)))
+    spark.conf.set("spark.sql.shuffle.partitions", "500")
+    try:
+        for values, parts in ((150, spark.sparkContext.defaultParallelism), (100 * greedy.PART_VALUES, 100), (10**12, 500), (None, 500)):
+            passes = greedy.Passes(P, [], [], values)
+            assert passes.base.rdd.getNumPartitions() == parts
+            passes.close()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
