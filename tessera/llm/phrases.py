@@ -241,7 +241,9 @@ def frequent_buckets(chunks: DataFrame, bits: int, least: int) -> np.ndarray:
         raise ValueError("counters of a byte: the least count is 1 to 127")
     parts = arrow_map(chunks, lambda b: _counter_batches(b, bits, least), "slice long, counters binary")
     n_slices = max(1, (1 << bits) >> SLICE_BITS)
-    dealt = parts.repartition(max(1, min(n_slices, chunks.sparkSession.sparkContext.defaultParallelism)), "slice")
+    # each task of the chunks sends its counters, so the tasks that add them up grow with those
+    wide = max(chunks.sparkSession.sparkContext.defaultParallelism, chunks.rdd.getNumPartitions() // 8)
+    dealt = parts.repartition(min(n_slices, wide), "slice")
     rows = arrow_map(dealt, lambda b: _merged_batches(b, least), "slice long, bits binary").collect()
     out = np.zeros(max(1, (1 << bits) // 8), np.uint8)
     step = (1 << min(SLICE_BITS, bits)) // 8
