@@ -209,7 +209,7 @@ def _intersections(x: np.ndarray, nx: np.ndarray, y: np.ndarray, ny: np.ndarray)
 
 
 def _block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links of two blocks that join components not joined before in this block pair."""
+    """The components that links of two blocks join, without those joined before in this block pair."""
     for batch in batches:
         a_out, b_out = [], []
         for r in range(batch.num_rows):
@@ -230,8 +230,8 @@ def _block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 p, q = root(int(x[1][i])), root(int(y[1][j]))
                 if p != q:
                     parent[max(p, q)] = min(p, q)
-                    a_out.append(int(x[0][i]))
-                    b_out.append(int(y[0][j]))
+                    a_out.append(p)
+                    b_out.append(q)
         yield pa.RecordBatch.from_arrays([pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64())], ["a", "b"])
 
 
@@ -320,19 +320,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     label = components(links)
 
     # dense regions that still hold several components: complete, in blocks
-    split = dense.join(label, "node", "left").select("tree", "key", "c", "node", F.coalesce("component", "node").alias("component"))
-    open_regions = (
-        split.groupBy("tree", "key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("tree", "key")
+    split = dense.join(label, "node", "left").select("tree", "key", "node", F.coalesce("component", "node").alias("component"))
+    held = written(split.join(lengths, "node"), "regions")
+    shares = written(
+        held.groupBy("tree", "key", "component").agg(
+            F.sum(8 * F.col("n")).alias("bytes"), F.count("*").alias("c"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("same")
+        ),
+        "shares",
     )
-    held = written(split.join(open_regions, ["tree", "key"]).join(lengths, "node"), "open-regions")
     # one comparison per set of nodes: a region that another order repeats is left out
-    whole = held.groupBy("tree", "key").agg(
-        F.sum(8 * F.col("n")).alias("bytes"), F.count("*").alias("c"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("same")
-    )
-    once = whole.groupBy("c", "bytes", "same").agg(F.min(F.struct("tree", "key")).alias("r")).select("r.tree", "r.key")
+    whole = shares.groupBy("tree", "key").agg(F.count("*").alias("components"), *[F.sum(x).alias(x) for x in ("bytes", "c", "same")])
+    once = whole.where("components > 1").groupBy("c", "bytes", "same").agg(F.min(F.struct("tree", "key")).alias("r")).select("r.tree", "r.key")
     # a component of more than a block has blocks of its own, which are not compared with each other
-    parts = held.join(once, ["tree", "key"]).groupBy("tree", "key", "component").agg(F.sum(8 * F.col("n")).alias("bytes"))
-    parts = parts.withColumn("own", F.when(F.col("bytes") >= BLOCK_BYTES, F.col("component")))
+    parts = shares.join(once, ["tree", "key"]).select("tree", "key", "component", "bytes")
+    parts = written(parts.withColumn("own", F.when(F.col("bytes") >= BLOCK_BYTES, F.col("component"))), "parts")
     total = parts.groupBy("tree", "key", "own").agg(F.ceil(F.sum("bytes") / BLOCK_BYTES).alias("blocks"))
     placed_parts = (
         parts.select("tree", "key", "component", "own")
@@ -353,12 +354,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     left, right = blocked.toDF("tree", "key", "own_x", "i", "x"), blocked.toDF("tree", "key", "own_y", "j", "y")
     met = left.join(right, ["tree", "key"]).where("i <= j AND (own_x IS NULL OR own_y IS NULL OR own_x <> own_y)")
     rest = arrow_map(met.select("x", "y"), _block_links, "a long, b long")
-    more = written(rest.distinct(), "more-links")
-    if more.limit(1).count():
-        tree_links = label.select(F.col("node").alias("a"), F.col("component").alias("b")).where("a <> b")
-        label = components(tree_links.unionByName(more))
-
+    more = written(rest, "more-links")
     of_node = nodes.select("node", "doc_id").join(label, "node", "left").select("node", "doc_id", F.coalesce("component", "node").alias("component"))
+    if more.limit(1).count():  # between whole components
+        joined = components(more).toDF("component", "into")
+        of_node = of_node.join(joined, "component", "left").select("node", "doc_id", F.coalesce("into", "component").alias("component"))
+
     least = of_node.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     named = of_node.join(least, "component").select("node", "component_id")
     out = sketch.select("doc_id", F.col("n").alias("n_shingles"), "node").join(named, "node", "left")
