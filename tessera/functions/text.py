@@ -74,24 +74,3 @@ def fold_key(word: Column | str) -> Column:
     word = _c(word)
     full = F.translate(F.lower(F.translate(word, *FOLD_BEFORE)), *FOLD_AFTER)
     return F.when(F.octet_length(word) == F.char_length(word), F.lower(word)).otherwise(full)
-
-
-def repeated(values: Column | str) -> Column:
-    """The values of an array of strings that it holds more than once (each of them at least once)."""
-    s = F.sort_array(_c(values))
-    return F.filter(s, lambda x, i: (i > 0) & (x == F.get(s, i - 1)))
-
-
-def run_ends(sorted_col: Column | str) -> Column:
-    """0-based indexes of the last element of every run of equal ``f``."""
-    s = _c(sorted_col)
-    n = F.size(s)
-    idx = F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)))
-    return F.filter(idx, lambda i: (i < n) & ((i == n - 1) | (s[i]["f"] != s[i + 1]["f"])))
-
-
-def run_words(sorted_col: Column | str, ends_col: Column | str) -> Column:
-    """For sorted ``struct<f, p, w>`` and the ends of its runs: the last ``w`` of each run, as often as the run is long."""
-    s, ends = _c(sorted_col), _c(ends_col)
-    size = lambda e, j: e - F.when(j == 0, F.lit(-1)).otherwise(ends[j - 1])
-    return F.flatten(F.transform(ends, lambda e, j: F.array_repeat(s[e]["w"], size(e, j))))

@@ -13,28 +13,31 @@ Three counts with three different answers:
   spelling.  The random key spreads a hot word over ``sqrt(N)`` reducers.
 
 All tokens of one line come from one input row, so the per-line fold is
-done inside that row, and in two ways.  A token changes its spelling only if
-the line holds another spelling of it: two tokens that differ but fold alike, of
-which at least one differs from its fold.  Lines without such tokens (found by
-array operations that hash) are exploded as they are; in the others the few
-tokens concerned are replaced by the last spelling.  A line with more than
-``MANY`` such words sorts its tokens instead.  No shuffle comes before the words
-are summed, and every fold after that is an aggregate with a map-side
-partial step.
+done where the line is read, a batch of lines at a time: the line and its fold
+are split alike, and a table of the line's folds keeps the last spelling and
+the count of each.  No shuffle comes before the words are summed, and every
+fold after that is an aggregate with a map-side partial step.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
 from decimal import Decimal
+from hashlib import md5
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from tessera.functions.rand import u01
-from tessera.functions.text import count_lines, fold_key, repeated, run_ends, run_words, tokenize
+from tessera.functions.rand import TWO_POW_52
+from tessera.functions.text import count_lines, fold_key, tokenize
+from tessera.llm.tables import arrow_map
 
-#: Words of several spellings in a line that are looked up one by one.
-MANY = 32
+#: Entries of a batch that the per-line fold gives back.
+BATCH_ENTRIES = 1 << 16
 
 
 def line_count(documents: DataFrame, text_col: str = "text") -> Column:
@@ -53,57 +56,75 @@ def word_count(lines: DataFrame) -> DataFrame:
     return tokens(lines).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
-def respelled(lines: DataFrame) -> DataFrame:
-    """``lines`` without ``line``, with ``words``: its tokens, each spelled as the last token of the line that is equal
-    to it up to case (in no particular order)."""
-    keep = [c for c in lines.columns if c != "line"]
-    none = F.array().cast("array<string>")
-    folded = lines.select(*keep, "line", fold_key("line").alias("_fl"))
-    both = folded.select(*keep, "line", "_fl", tokenize("line").alias("_t"), tokenize("_fl").alias("_f"))
-    # the spellings that differ from their fold, and their folds: folding leaves spaces, so a line of them folds at once
-    odd = both.select(*keep, "line", "_t", "_f", F.when(F.col("line") == F.col("_fl"), none).otherwise(F.array_except("_t", "_f")).alias("_x"))
-    x = F.concat_ws(" ", "_x")
-    odd = odd.select(*keep, "line", "_t", "_f", "_x", F.when(F.size("_x") == 0, none).otherwise(F.split(fold_key(x), " ")).alias("_fx"))
-    several = F.array_union(F.array_intersect("_fx", "_t"), F.when(F.size(F.array_distinct("_fx")) < F.size("_fx"), repeated("_fx")).otherwise(none))
-    odd = odd.select(*keep, "line", "_t", "_f", "_x", "_fx", F.when(F.size("_fx") == 0, none).otherwise(several).alias("_c"))
-
-    # few such words: they are replaced in the line, every token between blanks of its own, and the line is split again
-    cs = F.col("_c")
-    spellings = F.concat(cs, F.filter("_x", lambda w, i: F.array_contains(cs, F.get("_fx", i))))
-    folds = F.concat(cs, F.filter("_fx", lambda c: F.array_contains(cs, c)))
-    few = (F.size("_c") > 0) & (F.size("_c") <= MANY)
-    met = odd.select(*keep, "line", "_t", "_f", "_c", F.when(few, spellings).alias("_v"), F.when(few, folds).alias("_g"), F.when(few, F.reverse("_f")).alias("_rf"))
-    met = met.select(*keep, "line", "_t", "_f", "_c", "_v", F.when(few, F.transform("_g", lambda c: F.get("_t", F.size("_t") - F.array_position(F.col("_rf"), c).cast("int")))).alias("_l"))
-    spaced = F.concat(F.lit(" "), F.replace(F.rtrim("line"), F.lit(" "), F.lit("  ")), F.lit(" "))
-    blank = lambda w: F.concat(F.lit(" "), w, F.lit(" "))
-    swap = lambda text, i: F.replace(text, blank(F.get("_v", i)), blank(F.get("_l", i)))
-    swapped = F.aggregate(F.sequence(F.lit(0), F.size("_v") - 1), spaced, swap)
-    place = F.sequence(F.lit(0), F.size("_t") - 1)
-    ordered = F.sort_array(F.arrays_zip(F.col("_f").alias("f"), place.alias("p"), F.col("_t").alias("w")))
-    met = met.select(*keep, "_t", "_c", F.when(few, swapped).alias("_w"), F.when(F.size("_c") > MANY, ordered).alias("_s"))
-    met = met.select(*keep, "_t", "_c", "_w", "_s", F.when(F.col("_s").isNotNull(), run_ends("_s")).alias("_e"))
-    again = F.split(F.substring("_w", F.lit(2), F.char_length("_w") - 2), "  ")
-    words = F.when(F.size("_c") == 0, F.col("_t")).when(few, again).otherwise(run_words("_s", "_e"))
-    return met.select(*keep, words.alias("words"))
-
-
-def _respelled_tokens(lines: DataFrame) -> DataFrame:
-    """One row per token of :func:`respelled`, as ``word``."""
-    rows = respelled(lines)
-    # outer: a plain explode makes a filter on its array, which would copy the whole expression down to the scan
-    return rows.select(*[c for c in rows.columns if c != "words"], F.explode_outer("words").alias("word")).where("word IS NOT NULL")
+def _split(line: bytes) -> list[bytes]:
+    """The tokens of :func:`tokenize`."""
+    kept = line.rstrip(b" ")
+    return kept.split(b" ") if kept or not line else []
+
+
+def _entry_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``[columns to keep], key, line, fold`` -> the columns kept, ``word, n, u``; a null ``fold`` is the line itself."""
+    for batch in batches:
+        *_, keys, lines, folds = batch.columns
+        kept = batch.num_columns - 3
+        words: list[bytes] = []
+        counts: list[int] = []
+        digests: list[bytes] = []
+        rows: list[int] = []
+        sizes: list[int] = []
+
+        def out() -> pa.RecordBatch:
+            at = pa.array(np.repeat(np.array(rows, np.int64), sizes))
+            bits = np.frombuffer(b"".join(digests), ">u8")[::2] >> np.uint64(12)
+            u = pa.array(bits / TWO_POW_52) if digests else pa.nulls(len(words), pa.float64())
+            columns = [batch.column(k).take(at) for k in range(kept)]
+            columns += [pa.array(words, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64()), u]
+            return pa.RecordBatch.from_arrays(columns, batch.schema.names[:kept] + ["word", "n", "u"])
+
+        for i, (key, line, fold) in enumerate(zip(keys.to_pylist(), lines.to_pylist(), folds.to_pylist())):
+            if line is None:
+                continue
+            spelled = _split(line)
+            folded = spelled if fold is None else _split(fold)
+            last = dict(zip(folded, spelled))
+            words += last.values()
+            counts += [1] * len(last) if len(last) == len(folded) else Counter(folded).values()
+            if key is not None:
+                digests += [md5(key + w, usedforsecurity=False).digest() for w in last]
+            rows.append(i)
+            sizes.append(len(last))
+            if len(words) >= BATCH_ENTRIES:
+                yield out()
+                for x in (words, counts, digests, rows, sizes):
+                    x.clear()
+        if words:
+            yield out()
+
+
+def line_entries(lines: DataFrame, *keep: str, seed: int | None = None) -> DataFrame:
+    """One row per row of ``lines`` and word up to case: the columns to keep, ``word`` as the last such token of the line
+    spells it, ``n`` tokens, and with a seed the number ``u`` of :func:`u01` for ``(seed, 0, doc_id, line_no, fold)``."""
+    fold = fold_key("line")
+    key = F.lit(None).cast("binary")
+    if seed is not None:
+        key = F.concat_ws(":", F.lit(str(int(seed))), F.lit("0"), F.col("doc_id").cast("string"), F.col("line_no").cast("string"), F.lit("")).cast("binary")
+    rows = lines.select(
+        *keep, key.alias("_key"), F.col("line").cast("binary").alias("_line"), F.when(fold != F.col("line"), fold).cast("binary").alias("_fold")
+    )
+    schema = StructType([lines.schema[c] for c in keep] + [StructField("word", StringType()), StructField("n", LongType()), StructField("u", DoubleType())])
+    return arrow_map(rows, _entry_batches, schema)
 
 
 def line_folded(lines: DataFrame) -> DataFrame:
     """One row per (line, case-folded word): ``doc_id, line_no, fold, word, n`` with the word spelled as its last
     occurrence in the line.  (The counts below need the words alone and do not group by line.)"""
-    words = _respelled_tokens(lines.select("doc_id", "line_no", "line"))
-    return words.groupBy("doc_id", "line_no", fold_key("word").alias("fold"), "word").agg(F.count(F.lit(1)).alias("n"))
+    words = line_entries(lines, "doc_id", "line_no")
+    return words.groupBy("doc_id", "line_no", fold_key("word").alias("fold"), "word").agg(F.sum("n").alias("n"))
 
 
 def word_count_line_folded(lines: DataFrame) -> DataFrame:
     """Case folded inside each line, then summed by spelling: ``word, n``."""
-    return _respelled_tokens(lines.select("line")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    return line_entries(lines).groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def word_count_salted(lines: DataFrame, seed: int = 0, n_lines: Column | int | None = None) -> DataFrame:
@@ -124,15 +145,16 @@ def word_count_salted(lines: DataFrame, seed: int = 0, n_lines: Column | int | N
         n_lines = lines.select(F.count(F.lit(1))).scalar()
     elif not isinstance(n_lines, Column):
         n_lines = F.lit(int(n_lines))
-    # one key per line, one salt per token: equal tokens of a line get equal salts
+    # one key per line, one salt per entry
     line_key = F.col("doc_id").cast("decimal(38,0)") * F.lit(Decimal(1 << 63)) + F.col("line_no")
     keyed = lines.select("doc_id", "line_no", line_key.cast("decimal(38,0)").alias("line_key"), "line")
+    salt = F.floor(F.col("u") * F.sqrt(n_lines.cast("double"))).cast("bigint")
+    entries = line_entries(keyed, "line_key", seed=seed).select("line_key", "word", "n", salt.alias("salt"))
     # a word has one fold, so it need not be a key beside the word
-    words = _respelled_tokens(keyed).withColumn("fold", fold_key("word"))
-    salt = F.floor(u01(seed, 0, "doc_id", "line_no", "fold") * F.sqrt(n_lines.cast("double"))).cast("bigint")
-    spellings = words.groupBy(salt.alias("salt"), "word").agg(F.count(F.lit(1)).alias("n"), F.max("line_key").alias("last"))
-    spellings = spellings.withColumn("fold", fold_key("word"))
-    round1 = spellings.groupBy("salt", "fold").agg(F.max_by("word", "last").alias("word"), F.sum("n").alias("n"))
+    spellings = entries.groupBy("salt", "word").agg(F.sum("n").alias("n"), F.max("line_key").alias("last"))
+    # dealt and sorted by a number of the group before the group itself: what is left is sorted once, hardly by strings
+    spellings = spellings.withColumn("fold", fold_key("word")).withColumn("place", F.xxhash64("salt", "fold")).repartition("place")
+    round1 = spellings.groupBy("place", "salt", "fold").agg(F.max_by("word", "last").alias("word"), F.sum("n").alias("n"))
     return round1.groupBy("word").agg(F.sum("n").alias("n"))
 
 
